@@ -46,7 +46,7 @@ def without_whitespace(text: Column) -> Column:
 
 
 def has_digits(text: Column, at_least: int = MIN_PHONE_DIGITS) -> Column:
-    return F.length(F.regexp_replace(text, r"\D", "")) >= at_least
+    return F.length(F.regexp_replace(text, r"\D+", "")) >= at_least
 
 
 def is_longer_than(text: Column, limit: int) -> Column:

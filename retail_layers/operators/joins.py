@@ -5,22 +5,36 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from retail_layers.operators.columns import quoted
+from retail_layers.operators.skew import MAX_BROADCAST_KEYS, if_small, keys_above, matches, set_apart
 
 
-def lookup_left(df: DataFrame, dim: DataFrame, on: str,
-                cols: Sequence[str] | Mapping[str, str], dim_on: str | None = None) -> DataFrame:
+def lookup_left(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str] | Mapping[str, str],
+                dim_on: str | None = None, max_key_rows: int | None = None,
+                sizes: DataFrame | None = None) -> DataFrame:
     """Add ``cols`` of ``dim`` to every row of ``df``; rows without a match get NULLs.
 
     Only the key and the asked-for columns of ``dim`` take part, so nothing else can
     collide and the scan of ``dim`` is pruned. ``cols`` may map names to new names.
-    There is no broadcast hint on purpose: the size that decides is the one adaptive
-    execution measures at the exchange, and past its threshold the join is
-    sort-merged with hot keys split. ``dim`` has to be unique on its key
-    (``dedup`` it, or check with ``duplicate_keys``).
+    ``dim`` has to be unique on its key (``dedup`` it, or check with ``duplicate_keys``).
+
+    There is no broadcast hint on ``dim``: the size that decides is the one Spark
+    measures, and past its threshold the join is sort-merged, with hot keys split where
+    the join ends its stage. An aggregation that reuses the join's partitioning keeps
+    Spark from splitting; for that case ``max_key_rows`` sets keys with more rows apart
+    (``sizes`` may name a cheaper frame to count them on) and joins their rows to their
+    few rows of ``dim`` without shuffling them.
     """
     renames = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     right = dim.select(quoted(dim_on or on).alias(on),
                        *[quoted(c).alias(out) for c, out in renames.items()])
-    return df.join(right, on, "left")
+    hot = None if max_key_rows is None else keys_above(df if sizes is None else sizes, [on], max_key_rows)
+    if hot is None:
+        return df.join(right, on, "left")
+    in_hot, others = set_apart(df, [on], hot)
+    few = right.join(if_small(hot), matches(right, [on], hot), "left_semi")
+    if hot.count() <= MAX_BROADCAST_KEYS:
+        few = F.broadcast(few)  # at most one row per hot key
+    return others.join(right, on, "left").unionByName(in_hot.join(few, on, "left"))

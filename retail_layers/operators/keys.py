@@ -9,14 +9,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_layers.operators.columns import quoted, sortable
+from retail_layers.operators.skew import (
+    MAX_BROADCAST_KEYS,
+    MAX_GROUP_ROWS,
+    keys_above,
+    matches,
+    set_apart,
+)
 from retail_layers.scratch import keep
 
-# A group up to this many rows is numbered by one task; larger ones are split.
-MAX_GROUP_ROWS = 2_000_000
-
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys))
+    """Rows with every key present, as plain filters that reach the file scan."""
+    return df.where(reduce(lambda a, b: a & b, [quoted(k).isNotNull() for k in keys]))
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
@@ -40,9 +45,21 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] |
     return first_per_group(df, keys, order_by) if order_by else df.dropDuplicates(list(keys))
 
 
-def _same_key(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b,
-                  [left[n].eqNullSafe(right[f"{prefix}{i}"]) for i, n in enumerate(names)])
+def dedup_rare(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None,
+               max_repeated: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """``dedup`` for tables whose keys hardly ever repeat, such as exported primary keys.
+
+    A first pass over the key columns finds the repeated keys. Only their rows are
+    shuffled and ranked; all others pass straight through, so a wide table is not
+    shuffled at all. With more than ``max_repeated`` repeated keys this is ``dedup``.
+    """
+    repeated = keys_above(df, keys, 1)
+    if repeated is None:
+        return df
+    if repeated.count() > max_repeated:
+        return dedup(df, keys, order_by)
+    copies, single = set_apart(df, keys, repeated)
+    return single.unionByName(dedup(copies, keys, order_by))
 
 
 def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str,
@@ -60,37 +77,25 @@ def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Colu
     table. It only steers which way a group goes; the numbers are the same either way.
     """
     group = [quoted(c) for c in partition_by]
-    small_window = Window.partitionBy(*group).orderBy(*order_by)
-    large = keep(
-        (df if sizes is None else sizes)
-        .groupBy(*[quoted(c).alias(f"_large_{i}") for i, c in enumerate(partition_by)])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > max_group_rows)
-        .drop("_n")
-    )
-    if large.isEmpty():
-        return df.withColumn(out, F.row_number().over(small_window))
-
-    in_large = _same_key(df, large, partition_by, "_large_")
-    small_rows = df.join(large, in_large, "left_anti")
-    slices = keep(
-        df.join(large, in_large, "left_semi")
-        .repartitionByRange(*group, *order_by)
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
+    large = keys_above(df if sizes is None else sizes, partition_by, max_group_rows)
+    if large is None:
+        return df.withColumn(out, place)
+
+    in_large, others = set_apart(df, partition_by, large)
+    slices = keep(in_large.repartitionByRange(*group, *order_by).withColumn("_slice", F.spark_partition_id()))
+    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        slices.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-        .select(*[c.alias(f"_start_{i}") for i, c in enumerate(group)],
-                F.col("_slice").alias("_start_slice"),
-                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        slices.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*[c.alias(f"_key_{i}") for i, c in enumerate(group)],
+                F.col("_slice").alias("_from_slice"),
+                F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
-    within = Window.partitionBy(*group, "_slice").orderBy(*order_by)
+    within = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order_by))
+    placed = slices.withColumn("_place", within)
     numbered = (
-        slices.withColumn("_place", F.row_number().over(within))
-        .join(starts, _same_key(slices, starts, partition_by, "_start_")
-              & (slices["_slice"] == starts["_start_slice"]))
+        placed.join(starts, matches(placed, partition_by, starts) & (placed["_slice"] == starts["_from_slice"]))
         .withColumn(out, (F.col("_place") + F.col("_start")).cast("int"))
         .select(*[quoted(c) for c in df.columns], out)
     )
-    return small_rows.withColumn(out, F.row_number().over(small_window)).unionByName(numbered)
+    return others.withColumn(out, place).unionByName(numbered)

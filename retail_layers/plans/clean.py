@@ -25,7 +25,7 @@ from retail_layers.operators.columns import (
     generic_clean,
 )
 from retail_layers.operators.derive import Rule, derive
-from retail_layers.operators.keys import dedup, require_keys
+from retail_layers.operators.keys import dedup, dedup_rare, require_keys
 
 # Accepted codes, money columns, limits.
 CUSTOMER_STATUSES = ("ACTIVE", "INACTIVE", "BLOCKED")
@@ -145,17 +145,23 @@ RULES: dict[str, TableRules] = {
 
 
 def clean_table(name: str, df: DataFrame, run_ts: Column | datetime,
-                null_tokens: Sequence[str] = ()) -> DataFrame:
-    """Clean one table by the rules for ``name``, or generically when there are none."""
+                null_tokens: Sequence[str] = (), rare_duplicates: bool = False) -> DataFrame:
+    """Clean one table by the rules for ``name``, or generically when there are none.
+
+    ``rare_duplicates`` says that keys hardly ever repeat, as with tables exported from
+    a database that enforces them; the result is the same, the wide shuffle is saved.
+    """
     df = generic_clean(df, run_ts, null_tokens)
     rules = RULES.get(name)
     if rules is None:
         return df
     for step in rules.steps:
         df = step(df)
-    return dedup(require_keys(df, rules.required or rules.keys), rules.keys)
+    keep_one = dedup_rare if rare_duplicates else dedup
+    return keep_one(require_keys(df, rules.required or rules.keys), rules.keys)
 
 
 def clean_tables(tables: Mapping[str, DataFrame], run_ts: Column | datetime,
-                 null_tokens: Sequence[str] = ()) -> dict[str, DataFrame]:
-    return {name: clean_table(name, df, run_ts, null_tokens) for name, df in tables.items()}
+                 null_tokens: Sequence[str] = (), rare_duplicates: bool = False) -> dict[str, DataFrame]:
+    return {name: clean_table(name, df, run_ts, null_tokens, rare_duplicates)
+            for name, df in tables.items()}

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from retail_layers.functions import dates, numbers, text
 from retail_layers.operators.derive import Rule, derive
-from retail_layers.operators.keys import MAX_GROUP_ROWS, sequence
+from retail_layers.operators.keys import sequence
+from retail_layers.operators.skew import MAX_GROUP_ROWS
 
 # Cities, band limits as (upper bound, label, inclusive), thresholds, codes.
 METRO_CITIES = ("MUMBAI", "DELHI", "BENGALURU", "BANGALORE", "KOLKATA", "CHENNAI", "HYDERABAD", "PUNE")

@@ -7,7 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from retail_layers.operators.keys import MAX_GROUP_ROWS
+from retail_layers.operators.skew import MAX_GROUP_ROWS
 from retail_layers.plans import clean, enrich, marts, star
 from retail_layers.sinks.writers import read_back, sink_kind, write_tables
 from retail_layers.sources import readers
@@ -33,12 +33,14 @@ def build_layers(tables: Mapping[str, DataFrame], as_of: Column | date, run_ts:
                  ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Silver and gold of ``tables`` as lazy frames, nothing written."""
     cleaned = clean.clean_tables(tables, run_ts, null_tokens)
-    silver = star.build_star(enrich.enrich_tables(cleaned, as_of, tables, max_group_rows))
+    silver = star.build_star(enrich.enrich_tables(cleaned, as_of, tables, max_group_rows),
+                             max_group_rows, tables)
     return silver, marts.build_marts(silver, unique_orders=True)
 
 
 def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Column | datetime,
-        null_tokens: Sequence[str] = (), max_group_rows: int = MAX_GROUP_ROWS) -> dict[str, int]:
+        null_tokens: Sequence[str] = (), max_group_rows: int = MAX_GROUP_ROWS,
+        rare_duplicates: bool = True) -> dict[str, int]:
     """Read, clean, enrich, write silver, write gold; rows written per table.
 
     Silver is written in two steps and read back in between: tables that need
@@ -51,7 +53,7 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
         raise ValueError("silver is read back for gold and so needs a folder or catalog sink")
     sink_kind(gold_sink, "gold")
     tables = read_sources(spark, settings)
-    cleaned = clean.clean_tables(tables, run_ts, null_tokens)
+    cleaned = clean.clean_tables(tables, run_ts, null_tokens, rare_duplicates)
     enriched = enrich.enrich_tables(cleaned, as_of, tables, max_group_rows)
 
     rows = write_tables(star.base_tables(enriched), silver_sink)

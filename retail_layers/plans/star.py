@@ -15,6 +15,7 @@ from retail_layers.functions import dates
 from retail_layers.operators.columns import project
 from retail_layers.operators.joins import lookup_left
 from retail_layers.operators.keys import dedup, first_per_group
+from retail_layers.operators.skew import MAX_GROUP_ROWS
 
 # Columns of each star table in order. A type is used only for a column
 # that the sources lack.
@@ -141,10 +142,16 @@ def fact_orders(orders: DataFrame) -> DataFrame:
     return project(keyed.withColumnRenamed("customer_id", "customer_key"), FACT_ORDERS)
 
 
-def fact_order_items(items: DataFrame, orders: DataFrame | None = None) -> DataFrame:
-    """Every line with its order's customer and date key; ``orders`` is ``fact_orders``."""
+def fact_order_items(items: DataFrame, orders: DataFrame | None = None,
+                     max_key_rows: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
+    """Every line with its order's customer and date key; ``orders`` is ``fact_orders``.
+
+    ``max_key_rows`` and ``sizes`` are for a plan that goes on to aggregate, see
+    ``lookup_left``; when the result is written, Spark splits hot orders by itself.
+    """
     if orders is not None:
-        items = lookup_left(items, orders, "order_id", ["customer_key", "order_date_key"])
+        items = lookup_left(items, orders, "order_id", ["customer_key", "order_date_key"],
+                            max_key_rows=max_key_rows, sizes=sizes)
     return project(items.withColumnRenamed("product_variant_id", "product_variant_key"),
                    FACT_ORDER_ITEMS)
 
@@ -176,7 +183,9 @@ def base_tables(enriched: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return star
 
 
-def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataFrame],
+                     max_key_rows: int | None = None,
+                     raw: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The star tables that read ``base_tables``, best once those are written: the order
     date and customer of a line then come from a narrow scan of ``fact_orders`` instead
     of cleaning and numbering all orders again."""
@@ -186,11 +195,14 @@ def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataF
     if "product_variant" in enriched:
         more["dim_product_variant"] = dim_product_variant(enriched["product_variant"], star.get("dim_product"))
     if "order_item" in enriched:
-        more["fact_order_items"] = fact_order_items(enriched["order_item"], star.get("fact_orders"))
+        more["fact_order_items"] = fact_order_items(enriched["order_item"], star.get("fact_orders"),
+                                                    max_key_rows, (raw or {}).get("order_item"))
     return more
 
 
-def build_star(enriched: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All star tables as one set of lazy frames."""
+def build_star(enriched: Mapping[str, DataFrame], max_key_rows: int | None = MAX_GROUP_ROWS,
+               raw: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All star tables as one set of lazy frames. Orders with more than ``max_key_rows``
+    lines are set apart; ``raw`` holds the tables before cleaning, to find those on."""
     star = base_tables(enriched)
-    return star | dependent_tables(enriched, star)
+    return star | dependent_tables(enriched, star, max_key_rows, raw)

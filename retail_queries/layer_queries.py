@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_layers.plans import clean, enrich, marts, star
@@ -16,7 +16,6 @@ from retail_queries.shapes import raw
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF_DATE = date.fromisoformat(AS_OF)
-RUN_TIME = datetime.fromisoformat(RUN_TS)
 SOURCES = {
     "dim_date": ("orders",),
     "dim_customer": ("customer", "customer_address"),
@@ -36,16 +35,23 @@ MART_SOURCES = {
 }
 
 
+def run_time() -> Column:
+    return F.expr(f"timestamp_ntz'{RUN_TS}'")
+
+
 def cleaned(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return clean.clean_table(name, raw(spark, sf, name), F.lit(RUN_TIME).cast("timestamp_ntz"))
+    return clean.clean_table(name, raw(spark, sf, name), run_time())
 
 
 def enriched(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return enrich.enrich_table(name, cleaned(spark, sf, name), AS_OF_DATE, sizes=raw(spark, sf, name))
+    source = raw(spark, sf, name)
+    return enrich.enrich_table(name, clean.clean_table(name, source, run_time()), AS_OF_DATE, sizes=source)
 
 
 def star_tables(spark: SparkSession, sf: str, sources: tuple[str, ...]) -> dict[str, DataFrame]:
-    return star.build_star({name: enriched(spark, sf, name) for name in sources})
+    tables = {name: enriched(spark, sf, name) for name in sources}
+    raw_items = {"order_item": raw(spark, sf, "order_item")} if "order_item" in sources else None
+    return star.build_star(tables, raw=raw_items)
 
 
 def star_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -80,7 +86,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _add(name: str, build: Callable, table: str) -> None:
+def _add(name: str, build: Callable, table: str, sql_name: str | None = None) -> None:
     flatten, columns = NESTED.get(table, (None, "*"))
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,9 +94,23 @@ def _add(name: str, build: Callable, table: str) -> None:
         return flatten(df) if flatten else df
 
     QUERIES[name] = query
-    ORACLE[name] = layer(name, columns)
+    ORACLE[name] = layer(sql_name or name, columns)
+
+
+def cleaned_rare(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return clean.clean_table(name, raw(spark, sf, name), run_time(), rare_duplicates=True)
+
+
+def items_hot_orders(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The same facts with every order above five lines set apart from the shuffled join."""
+    tables = {t: enriched(spark, sf, t) for t in SOURCES[name]}
+    return star.build_star(tables, max_key_rows=5, raw={"order_item": raw(spark, sf, "order_item")})[name]
 
 
+_add("clean_orders_rare_duplicates", cleaned_rare, "orders", "clean_orders")
+_add("clean_inventory_rare_duplicates", cleaned_rare, "inventory_level", "clean_inventory_level")
+_add("clean_reviews_rare_duplicates", cleaned_rare, "product_reviews", "clean_product_reviews")
+_add("fact_order_items_hot_orders", items_hot_orders, "fact_order_items", "fact_order_items")
 for _table in [*clean.RULES, "customer_address", "brand", "category", "promotion"]:
     _add(f"clean_{_table}", cleaned, _table)
 for _table in ("customer", "customer_address", "product", "product_variant", "inventory_level", "orders",
