@@ -83,7 +83,10 @@ def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Colu
         return df.withColumn(out, place)
 
     in_large, others = set_apart(df, partition_by, large)
-    slices = keep(in_large.repartitionByRange(*group, *order_by).withColumn("_slice", F.spark_partition_id()))
+    wanted = -(-large.agg(F.sum("_rows")).first()[0] // max(max_group_rows, 1))
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = keep(in_large.repartitionByRange(max(2, min(wanted, most)), *group, *order_by)
+                  .withColumn("_slice", F.spark_partition_id()))
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         slices.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_rows"))

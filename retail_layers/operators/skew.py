@@ -18,7 +18,7 @@ MAX_BROADCAST_KEYS = 500_000
 
 
 def keys_above(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
-    """The keys held by more than ``rows`` rows, or None when there are none.
+    """The keys held by more than ``rows`` rows with their ``_rows``, or None without any.
 
     Rows are counted before the exchange, so it carries at most one row per key and map
     task. The result is written down: it steers two branches that have to agree.
@@ -27,7 +27,6 @@ def keys_above(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | Non
         df.groupBy(*[quoted(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > rows)
-        .drop("_rows")
     )
     return None if found.isEmpty() else keep(found)
 

@@ -1,0 +1,130 @@
+"""Generic cleaning, typed projection and schema tolerance."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from retail_layers.operators import columns as c
+from retail_layers.operators.derive import Rule, derive
+
+RUN = datetime(2025, 11, 30)
+
+
+def test_standardize_names(spark):
+    assert c.standardize_names(spark.createDataFrame([(1, 2)], [" Order ID ", "b"])).columns == ["order_id", "b"]
+
+
+def test_standardize_names_rejects_clashes(spark):
+    with pytest.raises(ValueError, match="a_b"):
+        c.standardize_names(spark.createDataFrame([(1, 2)], ["A b", "a B"]))
+
+
+def test_trim_touches_top_level_spaces_only(spark, rows):
+    df = spark.createDataFrame([("  x ", "\ty ", (" z ",), 1)], "a string, `b.c d` string, n struct<s:string>, i int")
+    got = c.trim_strings(df).first()
+    assert (got["a"], got["b.c d"], got["n"]["s"]) == ("x", "\ty ", " z ")
+
+
+def test_blanks_to_null_in_all_or_some_columns(spark):
+    df = spark.createDataFrame([("", "", "NULL")], ["a", "b", "c"])
+    assert tuple(c.blanks_to_null(df).first()) == (None, None, "NULL")
+    assert tuple(c.blanks_to_null(df, ["a"]).first()) == (None, "", "NULL")
+    assert tuple(c.blanks_to_null(df, tokens=["NULL"]).first()) == (None, None, None)
+    missing = spark.createDataFrame([(None,)], "a string")
+    assert c.blanks_to_null(missing, tokens=["NULL"]).first()["a"] is None
+
+
+def test_stamp_keeps_an_existing_load_time(spark):
+    df = spark.createDataFrame([(1,)], ["a"])
+    assert c.stamp(df, RUN).first()["ingestion_ts"] == RUN
+    assert c.stamp(df.withColumn("ingestion_ts", F.lit("old")), RUN).first()["ingestion_ts"] == "old"
+
+
+def test_generic_clean_makes_padding_null(spark):
+    got = c.generic_clean(spark.createDataFrame([("   ", " a ")], ["x", "y"]), RUN).first()
+    assert (got["x"], got["y"], got["ingestion_ts"]) == (None, "a", RUN)
+
+
+def test_clamp_negative_flags_the_original_value(spark, rows):
+    df = spark.createDataFrame([(-1, Decimal("-0.50")), (0, Decimal("0.00")), (3, None), (None, None)],
+                               "q int, m decimal(10,2)")
+    out = c.clamp_negative(df, ["q", "m", "absent"])
+    assert out.schema["m"].dataType.simpleString() == "decimal(10,2)"
+    assert rows(out, "q", "q_was_negative", "m", "m_was_negative") == sorted([
+        (0, True, Decimal("0.00"), True), (0, False, Decimal("0.00"), False),
+        (3, False, None, False), (None, False, None, False),
+    ], key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+def test_clip_keeps_null_and_bounds(spark):
+    df = spark.createDataFrame([(0,), (1,), (3,), (5,), (6,), (None,)], "r int")
+    assert [r["r"] for r in c.clip_range(df, "r", 1, 5).collect()] == [1, 1, 3, 5, 5, None]
+    assert c.clip_range(df, "absent", 1, 5) is df
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_safe_casts_do_not_depend_on_ansi(spark, conf, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    df = spark.createDataFrame(
+        [("4", "2025-11-08T09:30:00Z"), ("4.7", "2025-11-08 09:30:00"), ("-4.7", "2025-11-08"), ("junk", "soon"),
+         ("", ""), ("99999999999", "2025-13-01"), (None, None)], "n string, t string")
+    got = c.cast_timestamps(c.cast_integers(df, "n", "absent"), "t", "absent").collect()
+    assert [r["n"] for r in got] == [4, 4, -4, None, None, None, None]
+    at = datetime(2025, 11, 8, 9, 30)
+    assert [r["t"] for r in got] == [at, at, datetime(2025, 11, 8), None, None, None, None]
+
+
+def test_timestamps_of_either_kind_pass_through(spark):
+    df = spark.sql("select timestamp_ntz'2025-01-01 00:00:00' a, timestamp'2025-01-01 00:00:00' b, date'2025-01-01' d")
+    assert [t for _, t in c.cast_timestamps(df, "a", "b", "d").dtypes] == ["timestamp_ntz", "timestamp", "timestamp"]
+
+
+def test_flag_in_set_is_null_for_null(spark):
+    df = spark.createDataFrame([("A",), ("x",), (None,)], "s string")
+    assert [r["ok"] for r in c.flag_in_set(df, "s", ["A", "B"], "ok").collect()] == [True, False, None]
+    assert c.flag_in_set(df, "absent", ["A"], "ok") is df
+
+
+def test_project_orders_columns_and_types_absent_ones(spark):
+    df = spark.createDataFrame([(1, 2)], "b int, a bigint")
+    out = c.project(df, "a int, missing decimal(10,2), b int")
+    assert out.dtypes == [("a", "bigint"), ("missing", "decimal(10,2)"), ("b", "int")]
+    assert tuple(out.first()) == (2, None, 1)
+
+
+def test_conform_casts_what_fits(spark):
+    df = spark.createDataFrame(
+        [("0007", "1", 10.5, 400001, "x"), ("4.7", "true", None, None, "y"), ("no", "maybe", 1e15, 1, "z")],
+        "i string, flag string, m double, postal int, kept string")
+    out = c.conform(df, "i int, flag boolean, m decimal(12,2), postal string, elsewhere int")
+    assert out.dtypes == [("i", "int"), ("flag", "boolean"), ("m", "decimal(12,2)"), ("postal", "string"), ("kept", "string")]
+    assert [tuple(r) for r in out.collect()] == [
+        (7, True, Decimal("10.50"), "400001", "x"), (4, True, None, None, "y"), (None, None, None, "1", "z")]
+
+
+def test_sortable_covers_maps_and_variants(spark):
+    df = spark.sql("select 1 a, map('k', 1) m, parse_json('{\"a\":1}') v, named_struct('m', map('k', 1)) s, array(1) r")
+    for name in df.columns:
+        df.orderBy(c.sortable(df, name)).collect()
+
+
+def test_derive_skips_rules_without_inputs_and_keeps_order(spark):
+    df = spark.createDataFrame([(1,)], ["a"])
+    out = derive(
+        df,
+        Rule("b", ("a",), lambda: F.col("a") + 1),
+        Rule("nope", ("absent",), lambda: F.col("absent")),
+        Rule("after_nope", ("nope",), lambda: F.col("nope")),
+        Rule("a", ("a",), lambda: F.col("a") * 10),
+        Rule("c", ("a", "b"), lambda: F.col("a") + F.col("b")),
+    )
+    assert out.columns == ["a", "b", "c"]
+    assert tuple(out.first()) == (10, 2, 12)
+    assert derive(df, Rule("x", ("absent",), lambda: F.col("absent"))) is df
+
+
+def test_from_date_types(spark):
+    df = spark.createDataFrame([(date(2025, 1, 2),)], ["d"])
+    assert c.cast_timestamps(df, "d").first()["d"] == datetime(2025, 1, 2)
