@@ -22,14 +22,16 @@ def orphans(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence
     """Foreign keys (no part NULL) without a parent, with the number of child rows.
 
     The child is counted per key before the join, so a key that many rows share
-    travels as one row.
+    travels as one row. An anti join would undo that: the optimizer moves it below the
+    aggregation. An outer join that keeps what found no partner stays above it.
     """
     held = (
         child.dropna(subset=list(fk))
         .groupBy(*map(quoted, fk)).agg(F.count(F.lit(1)).alias("row_count"))
     )
-    known = parent.select(*[quoted(p).alias(f) for p, f in zip(pk, fk, strict=True)])
-    return held.join(known, list(fk), "left_anti")
+    known = parent.select(*[quoted(p).alias(f) for p, f in zip(pk, fk, strict=True)],
+                          F.lit(True).alias("_known"))
+    return held.join(known, list(fk), "left").where(F.col("_known").isNull()).drop("_known")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

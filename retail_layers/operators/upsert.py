@@ -39,15 +39,15 @@ def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], order_col: st
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
-    incoming = precombine(batch, keys, order_col).select(*[quoted(c) for c in base.columns])
+    whole = [quoted(c) for c in base.columns]
+    incoming = precombine(batch, keys, order_col).select(*whole)
     if policy == "latest_wins":
         hits = base.select(*map(quoted, keys), quoted(order_col).alias("_held")).join(
             incoming.select(*map(quoted, keys)), list(keys), "inner")
         older = F.col("_held").isNotNull() & (
             quoted(order_col).isNull() | (quoted(order_col) < F.col("_held")))
         incoming = (
-            incoming.join(hits, list(keys), "left").where(~older)
-            .select(*[quoted(c) for c in base.columns])
+            incoming.join(hits, list(keys), "left").where(~older).select(*whole)
         )
     kept = base.join(incoming.select(*map(quoted, keys)), list(keys), "left_anti")
-    return kept.unionByName(incoming)
+    return kept.select(*whole).unionByName(incoming)
