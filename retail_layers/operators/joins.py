@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from retail_layers.operators.columns import quoted
-from retail_layers.operators.skew import MAX_BROADCAST_KEYS, if_small, keys_above, matches, set_apart
+from retail_layers.operators.skew import if_small, keys_above, set_apart
+from retail_layers.scratch import keep
 
 
 def lookup_left(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str] | Mapping[str, str],
@@ -34,7 +34,5 @@ def lookup_left(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str] | Ma
     if hot is None:
         return df.join(right, on, "left")
     in_hot, others = set_apart(df, [on], hot)
-    few = right.join(if_small(hot), matches(right, [on], hot), "left_semi")
-    if hot.count() <= MAX_BROADCAST_KEYS:
-        few = F.broadcast(few)  # at most one row per hot key
-    return others.join(right, on, "left").unionByName(in_hot.join(few, on, "left"))
+    few = keep(set_apart(right, [on], hot)[0])  # at most one row per hot key
+    return others.join(right, on, "left").unionByName(in_hot.join(if_small(few), on, "left"))

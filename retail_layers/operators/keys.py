@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from retail_layers.operators.columns import quoted, sortable
 from retail_layers.operators.skew import (
-    MAX_BROADCAST_KEYS,
+    MAX_BROADCAST_BYTES,
     MAX_GROUP_ROWS,
+    is_small,
     keys_above,
     matches,
     set_apart,
@@ -46,17 +47,17 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] |
 
 
 def dedup_rare(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None,
-               max_repeated: int = MAX_BROADCAST_KEYS) -> DataFrame:
+               max_repeated_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``dedup`` for tables whose keys hardly ever repeat, such as exported primary keys.
 
     A first pass over the key columns finds the repeated keys. Only their rows are
     shuffled and ranked; all others pass straight through, so a wide table is not
-    shuffled at all. With more than ``max_repeated`` repeated keys this is ``dedup``.
+    shuffled at all. With more than ``max_repeated_bytes`` of them this is ``dedup``.
     """
-    repeated = keys_above(df, keys, 1)
+    repeated = keys_above(df, keys, 1, likely=True)
     if repeated is None:
         return df
-    if repeated.count() > max_repeated:
+    if not is_small(repeated, max_repeated_bytes):
         return dedup(df, keys, order_by)
     copies, single = set_apart(df, keys, repeated)
     return single.unionByName(dedup(copies, keys, order_by))
@@ -77,7 +78,7 @@ def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Colu
     table. It only steers which way a group goes; the numbers are the same either way.
     """
     group = [quoted(c) for c in partition_by]
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)).cast("bigint")
     large = keys_above(df if sizes is None else sizes, partition_by, max_group_rows)
     if large is None:
         return df.withColumn(out, place)
@@ -98,7 +99,7 @@ def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Colu
     placed = slices.withColumn("_place", within)
     numbered = (
         placed.join(starts, matches(placed, partition_by, starts) & (placed["_slice"] == starts["_from_slice"]))
-        .withColumn(out, (F.col("_place") + F.col("_start")).cast("int"))
+        .withColumn(out, F.col("_place") + F.col("_start"))
         .select(*[quoted(c) for c in df.columns], out)
     )
     return others.withColumn(out, place).unionByName(numbered)

@@ -1,7 +1,8 @@
 """Source tables: types, keys and references.
 
 Fixed values: names, types and constraints are those of the operational database and
-the two JSON feeds whose tables this library reads.
+the two JSON feeds whose tables this library reads. Identifiers are wider than there, so
+that merged or much larger exports cannot overflow them.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ RELATIONAL: dict[str, str] = {
     "customer_status": "status_code string not null, description string not null",
     "address_type": "address_type_code string not null, description string not null",
     "country": "country_code string not null, country_name string not null",
-    "brand": f"brand_id int not null, brand_name string not null, description string, {STAMPS}",
+    "brand": f"brand_id bigint not null, brand_name string not null, description string, {STAMPS}",
     "category": (
-        "category_id int not null, category_name string not null, parent_category_id int, "
+        "category_id bigint not null, category_name string not null, parent_category_id bigint, "
         f"category_level int not null, {STAMPS}"
     ),
     "currency": "currency_code string not null, currency_name string not null, symbol string not null",
@@ -24,76 +25,76 @@ RELATIONAL: dict[str, str] = {
     "payment_status": "payment_status_code string not null, description string not null",
     "refund_reason": "refund_reason_code string not null, description string not null",
     "refund_status": "refund_status_code string not null, description string not null",
-    "carrier": "carrier_id int not null, carrier_name string not null, contact_phone string, website_url string",
+    "carrier": "carrier_id bigint not null, carrier_name string not null, contact_phone string, website_url string",
     "shipment_status": "shipment_status_code string not null, description string not null",
     "promotion": (
-        "promotion_id int not null, promotion_code string not null, promotion_name string not null, "
+        "promotion_id bigint not null, promotion_code string not null, promotion_name string not null, "
         "discount_type string not null, discount_value decimal(10,2) not null, "
         "start_date timestamp not null, end_date timestamp, min_order_amount decimal(10,2), "
         "max_discount_amount decimal(10,2), is_active boolean not null"
     ),
     "customer": (
-        "customer_id int not null, first_name string not null, last_name string not null, "
+        "customer_id bigint not null, first_name string not null, last_name string not null, "
         "email string not null, phone_number string, date_of_birth date, gender string, "
         f"status_code string not null, {STAMPS}"
     ),
     "customer_address": (
-        "customer_address_id int not null, customer_id int not null, address_line1 string not null, "
+        "customer_address_id bigint not null, customer_id bigint not null, address_line1 string not null, "
         "address_line2 string, landmark string, city string not null, state string not null, "
         "postal_code string not null, country_code string not null, "
         f"address_type_code string not null, is_default boolean not null, {STAMPS}"
     ),
     "product": (
-        "product_id int not null, product_name string not null, brand_id int not null, "
-        f"default_category_id int not null, short_description string, {STAMPS}, is_active boolean not null"
+        "product_id bigint not null, product_name string not null, brand_id bigint not null, "
+        f"default_category_id bigint not null, short_description string, {STAMPS}, is_active boolean not null"
     ),
     "product_variant": (
-        "product_variant_id int not null, product_id int not null, sku string not null, "
+        "product_variant_id bigint not null, product_id bigint not null, sku string not null, "
         f"variant_name string not null, {STAMPS}, is_active boolean not null"
     ),
     "warehouse": (
-        "warehouse_id int not null, warehouse_name string not null, address_line1 string not null, "
+        "warehouse_id bigint not null, warehouse_name string not null, address_line1 string not null, "
         "address_line2 string, city string not null, state string not null, postal_code string not null, "
         f"country_code string not null, {STAMPS}"
     ),
     "inventory_level": (
-        "warehouse_id int not null, product_variant_id int not null, on_hand_qty int not null, "
+        "warehouse_id bigint not null, product_variant_id bigint not null, on_hand_qty int not null, "
         "reserved_qty int not null, last_updated_at timestamp not null"
     ),
     "orders": (
-        "order_id int not null, customer_id int not null, order_date timestamp not null, "
+        "order_id bigint not null, customer_id bigint not null, order_date timestamp not null, "
         "order_status_code string not null, order_channel_code string not null, "
-        "currency_code string not null, billing_address_id int not null, shipping_address_id int not null, "
+        "currency_code string not null, billing_address_id bigint not null, shipping_address_id bigint not null, "
         "total_item_amount decimal(12,2) not null, total_discount_amount decimal(12,2) not null, "
         "total_tax_amount decimal(12,2) not null, total_shipping_amount decimal(12,2) not null, "
         f"grand_total_amount decimal(12,2) not null, {STAMPS}"
     ),
     "order_item": (
-        "order_item_id int not null, order_id int not null, product_variant_id int not null, "
+        "order_item_id bigint not null, order_id bigint not null, product_variant_id bigint not null, "
         "quantity int not null, base_unit_price decimal(12,2) not null, "
         "discount_amount decimal(12,2) not null, tax_amount decimal(12,2) not null, "
         f"shipping_amount decimal(12,2) not null, line_total_amount decimal(12,2) not null, {STAMPS}"
     ),
     "shipment": (
-        "shipment_id int not null, order_id int not null, warehouse_id int not null, "
-        "carrier_id int not null, shipment_status_code string not null, tracking_number string, "
+        "shipment_id bigint not null, order_id bigint not null, warehouse_id bigint not null, "
+        "carrier_id bigint not null, shipment_status_code string not null, tracking_number string, "
         f"shipped_date timestamp, delivered_date timestamp, {STAMPS}"
     ),
-    "shipment_item": "shipment_id int not null, order_item_id int not null, shipped_quantity int not null",
+    "shipment_item": "shipment_id bigint not null, order_item_id bigint not null, shipped_quantity int not null",
     "payment": (
-        "payment_id int not null, order_id int not null, payment_method_code string not null, "
+        "payment_id bigint not null, order_id bigint not null, payment_method_code string not null, "
         "payment_status_code string not null, amount decimal(12,2) not null, "
         "currency_code string not null, transaction_reference string, "
         f"payment_date timestamp not null, {STAMPS}"
     ),
     "refund": (
-        "refund_id int not null, payment_id int not null, order_id int not null, "
+        "refund_id bigint not null, payment_id bigint not null, order_id bigint not null, "
         "refund_amount decimal(12,2) not null, currency_code string not null, "
         "refund_reason_code string not null, refund_status_code string not null, "
         f"refund_date timestamp not null, {STAMPS}"
     ),
     "order_promotion": (
-        "order_promotion_id int not null, order_id int not null, promotion_id int not null, "
+        "order_promotion_id bigint not null, order_id bigint not null, promotion_id bigint not null, "
         "discount_amount_applied decimal(12,2) not null"
     ),
 }

@@ -22,7 +22,7 @@ from retail_layers.operators.skew import MAX_GROUP_ROWS
 DIM_DATE = ("date_key int, date date, year int, quarter int, month int, month_name string, "
             "weekofyear int, day int, day_of_week string")
 DIM_CUSTOMER = (
-    "customer_key int, first_name string, last_name string, full_name string, email string, "
+    "customer_key bigint, first_name string, last_name string, full_name string, email string, "
     "email_is_valid boolean, phone_number string, phone_is_valid boolean, gender string, "
     "date_of_birth date, birth_year int, age_years bigint, age_band string, status_code string, "
     "is_active_flag boolean, address_line1 string, address_line2 string, landmark string, city string, "
@@ -30,42 +30,42 @@ DIM_CUSTOMER = (
     "state_normalized string, is_metro_city boolean, ingestion_ts timestamp"
 )
 DIM_PRODUCT = (
-    "product_key int, product_name string, product_name_search string, brand_id int, brand_name string, "
-    "default_category_id int, default_category_name string, parent_category_id int, category_level int, "
+    "product_key bigint, product_name string, product_name_search string, brand_id bigint, brand_name string, "
+    "default_category_id bigint, default_category_name string, parent_category_id bigint, category_level int, "
     "short_description string, is_active boolean, is_active_flag boolean, created_at timestamp, "
     "updated_at timestamp, ingestion_ts timestamp"
 )
 DIM_PRODUCT_VARIANT = (
-    "product_variant_key int, product_id int, sku string, sku_normalized string, variant_name string, "
-    "variant_key string, product_name string, product_name_search string, brand_id int, "
-    "brand_name string, default_category_id int, default_category_name string, is_active boolean, "
+    "product_variant_key bigint, product_id bigint, sku string, sku_normalized string, variant_name string, "
+    "variant_key string, product_name string, product_name_search string, brand_id bigint, "
+    "brand_name string, default_category_id bigint, default_category_name string, is_active boolean, "
     "created_at timestamp, updated_at timestamp, ingestion_ts timestamp"
 )
 DIM_PROMOTION = (
-    "promotion_key int, promotion_code string, promotion_name string, discount_type string, "
+    "promotion_key bigint, promotion_code string, promotion_name string, discount_type string, "
     "discount_value decimal(10,2), min_order_amount decimal(10,2), max_discount_amount decimal(10,2), "
     "start_date timestamp, end_date timestamp, is_active boolean, is_percentage_discount boolean, "
     "is_flat_discount boolean, is_currently_active boolean, ingestion_ts timestamp"
 )
 FACT_ORDERS = (
-    "order_id int, customer_key int, order_date timestamp, order_date_key int, order_status_code string, "
+    "order_id bigint, customer_key bigint, order_date timestamp, order_date_key int, order_status_code string, "
     "order_status_is_valid boolean, order_channel_code string, currency_code string, "
-    "billing_address_id int, shipping_address_id int, total_item_amount decimal(12,2), "
+    "billing_address_id bigint, shipping_address_id bigint, total_item_amount decimal(12,2), "
     "total_discount_amount decimal(12,2), total_tax_amount decimal(12,2), "
     "total_shipping_amount decimal(12,2), grand_total_amount decimal(12,2), order_value_band string, "
-    "customer_order_sequence int, is_first_order boolean, amount_mismatch_flag boolean, "
+    "customer_order_sequence bigint, is_first_order boolean, amount_mismatch_flag boolean, "
     "created_at timestamp, updated_at timestamp, ingestion_ts timestamp"
 )
 FACT_ORDER_ITEMS = (
-    "order_item_id int, order_id int, customer_key int, product_variant_key int, order_date_key int, "
+    "order_item_id bigint, order_id bigint, customer_key bigint, product_variant_key bigint, order_date_key int, "
     "quantity int, base_unit_price decimal(12,2), discount_amount decimal(12,2), "
     "tax_amount decimal(12,2), shipping_amount decimal(12,2), gross_amount decimal(18,2), "
     "effective_discount_pct double, net_line_amount decimal(18,2), created_at timestamp, "
     "updated_at timestamp, ingestion_ts timestamp"
 )
 FACT_PAYMENTS = (
-    "payment_id int, order_id int, payment_method_code string, payment_status_code string, "
-    "is_successful boolean, is_failed boolean, payment_attempt_number int, amount decimal(12,2), "
+    "payment_id bigint, order_id bigint, payment_method_code string, payment_status_code string, "
+    "is_successful boolean, is_failed boolean, payment_attempt_number bigint, amount decimal(12,2), "
     "currency_code string, transaction_reference string, payment_date timestamp, created_at timestamp, "
     "updated_at timestamp, ingestion_ts timestamp"
 )

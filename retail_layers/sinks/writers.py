@@ -49,30 +49,35 @@ def jdbc_options(jdbc: Mapping, table: str) -> dict[str, str]:
     return options
 
 
-def write_table(df: DataFrame, name: str, sink: Mapping) -> None:
-    """Write one table. ``partition_by`` of the sink may name folder columns per table."""
+def write_table(df: DataFrame, name: str, sink: Mapping) -> int:
+    """Write one table and return its rows, counted by the writing tasks themselves.
+
+    ``partition_by`` of the sink may name folder columns per table.
+    """
     kind = sink_kind(sink)
-    mode = sink.get("mode", "overwrite")
-    if kind == "jdbc":
-        df.write.mode(mode).format("jdbc").options(**jdbc_options(sink["jdbc"], name)).save()
-        return
-    columns = sink.get("partition_by", {}).get(name)
+    columns = sink.get("partition_by", {}).get(name, ()) if kind != "jdbc" else ()
     if columns:
         # rebalancing brings a folder's rows together, yet splits a large folder
-        writer = df.hint("rebalance", *columns).write.partitionBy(*columns)
-    else:
-        writer = df.write
-    writer = writer.mode(mode).format(sink.get("format", "parquet"))
+        df = df.hint("rebalance", *columns)
+    seen = Observation(f"rows of {name}")
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(sink.get("mode", "overwrite"))
+    if kind == "jdbc":
+        writer.format("jdbc").options(**jdbc_options(sink["jdbc"], name)).save()
+        return seen.get["n"]
+    writer = writer.format(sink.get("format", "parquet"))
+    if columns:
+        writer = writer.partitionBy(*columns)
     path = f"{sink['base_path'].rstrip('/')}/{name}"
     if kind == "folder":
         writer.save(path)
     else:
         writer.option("path", path).saveAsTable(
             f"{sink['catalog_db']}.{sink.get('table_prefix', '')}{name}")
+    return seen.get["n"]
 
 
 def write_tables(tables: Mapping[str, DataFrame], sink: Mapping, at_once: int = 4) -> dict[str, int]:
-    """Write every table and return its row count, counted by the write itself.
+    """Write every table; rows per table.
 
     Up to ``at_once`` writes run side by side, so small tables fill the gaps that the
     last tasks of large ones leave.
@@ -81,9 +86,7 @@ def write_tables(tables: Mapping[str, DataFrame], sink: Mapping, at_once: int =
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, int]:
         name, df = item
-        seen = Observation(f"rows of {name}")
-        write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), name, sink)
-        return name, seen.get["n"]
+        return name, write_table(df, name, sink)
 
     if not tables:
         return {}

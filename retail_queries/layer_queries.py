@@ -43,15 +43,14 @@ def cleaned(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return clean.clean_table(name, raw(spark, sf, name), run_time())
 
 
-def enriched(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    source = raw(spark, sf, name)
+def enriched(spark: SparkSession, sf: str, name: str, source: DataFrame | None = None) -> DataFrame:
+    source = raw(spark, sf, name) if source is None else source
     return enrich.enrich_table(name, clean.clean_table(name, source, run_time()), AS_OF_DATE, sizes=source)
 
 
 def star_tables(spark: SparkSession, sf: str, sources: tuple[str, ...]) -> dict[str, DataFrame]:
-    tables = {name: enriched(spark, sf, name) for name in sources}
-    raw_items = {"order_item": raw(spark, sf, "order_item")} if "order_item" in sources else None
-    return star.build_star(tables, raw=raw_items)
+    given = {name: raw(spark, sf, name) for name in sources}
+    return star.build_star({name: enriched(spark, sf, name, df) for name, df in given.items()}, raw=given)
 
 
 def star_table(spark: SparkSession, sf: str, name: str) -> DataFrame:

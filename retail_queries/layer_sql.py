@@ -178,7 +178,7 @@ CTES |= {
                cast(weekofyear(order_date) as int) as order_weekofyear,
                case when grand_total_amount < 2000 then 'LOW' when grand_total_amount <= 10000 then 'MEDIUM'
                     when grand_total_amount > 10000 then 'HIGH' else 'UNKNOWN' end as order_value_band,
-               cast(row_number() over by_customer as int) as customer_order_sequence,
+               row_number() over by_customer as customer_order_sequence,
                row_number() over by_customer = 1 as is_first_order
         from clean_orders
         window by_customer as (partition by customer_id order by order_date asc nulls first, order_id)""",
@@ -191,8 +191,8 @@ CTES |= {
         from priced_order_item""",
     "enrich_payment": """
         select *, payment_status_code = 'SUCCESS' as is_successful, payment_status_code = 'FAILED' as is_failed,
-               cast(row_number() over (partition by order_id order by payment_date asc nulls first, payment_id)
-                    as int) as payment_attempt_number
+               row_number() over (partition by order_id order by payment_date asc nulls first, payment_id)
+                   as payment_attempt_number
         from clean_payment""",
     "enrich_product_reviews": """
         select *, cast(length(review_text) as int) as review_length_chars,

@@ -376,7 +376,7 @@ def _orders(spark, sf):
 SEQUENCE_SQL = """
     select o_orderkey as order_id, o_custkey as customer_id,
            case when o_orderpriority <> '1-URGENT' then o_orderdate end as order_date,
-           cast(row_number() over w as int) as customer_order_sequence, row_number() over w = 1 as is_first_order
+           row_number() over w as customer_order_sequence, row_number() over w = 1 as is_first_order
     from orders
     window w as (partition by o_custkey order by case when o_orderpriority <> '1-URGENT' then o_orderdate end
                  asc nulls first, o_orderkey)"""
@@ -394,7 +394,7 @@ def order_sequence_split(spark, sf):
 
 
 @query("""
-    select event_id, user_id, ts, cast(row_number() over (partition by user_id order by ts asc nulls first, event_id) as int)
+    select event_id, user_id, ts, row_number() over (partition by user_id order by ts asc nulls first, event_id)
                as payment_attempt_number
     from events""")
 def attempt_number(spark, sf):
@@ -405,7 +405,7 @@ def attempt_number(spark, sf):
 
 
 @query("""
-    select event_id, event_type, ts, cast(row_number() over (partition by event_type order by ts asc nulls first, event_id) as int)
+    select event_id, event_type, ts, row_number() over (partition by event_type order by ts asc nulls first, event_id)
                as place
     from events""")
 def sequence_few_groups(spark, sf):

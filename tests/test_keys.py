@@ -48,7 +48,7 @@ def test_dedup_rare_equals_dedup_and_shuffles_no_single_rows(spark, rows):
     df = spark.createDataFrame(data, "a int, b int, p string")
     want = rows(keys.dedup(df, ["a", "b"]))
     assert rows(keys.dedup_rare(df, ["a", "b"])) == want
-    assert rows(keys.dedup_rare(df, ["a", "b"], max_repeated=1)) == want
+    assert rows(keys.dedup_rare(df, ["a", "b"], max_repeated_bytes=1)) == want
     unique = spark.range(50).selectExpr("id as k", "id as v")
     assert keys.dedup_rare(unique, ["k"]) is unique
 
@@ -75,7 +75,7 @@ def test_sequence_with_one_key_holding_a_third(spark, limit):
     got = {(r["customer_id"], r["order_id"]): r["customer_order_sequence"] for r in out.collect()}
     assert got == brute_sequence(data)
     assert out.where("is_first_order <> (customer_order_sequence = 1)").count() == 0
-    assert out.schema["customer_order_sequence"].dataType.simpleString() == "int"
+    assert out.schema["customer_order_sequence"].dataType.simpleString() == "bigint"
 
 
 def test_large_groups_are_spread_over_slices(spark, monkeypatch):

@@ -1,6 +1,9 @@
 """Integrity checks."""
 
+import pytest
+
 from retail_layers.operators import quality
+from retail_layers.plans import integrity
 
 
 def test_duplicate_keys(spark, rows):
@@ -32,3 +35,19 @@ def test_null_counts(spark, rows):
     df = spark.createDataFrame([(None, "x"), (None, None), (1, "y")], "`a b` int, c string")
     assert rows(quality.null_counts(df, ["a b", "c"])) == [("a b", 2), ("c", 1)]
     assert rows(quality.null_counts(df.limit(0), ["c"])) == [("c", 0)]
+
+
+def test_report_over_declared_constraints(spark, rows):
+    tables = {
+        "brand": spark.createDataFrame([(1, "a"), (1, None)], "brand_id int, brand_name string"),
+        "category": spark.createDataFrame([(1, None, 1), (2, 9, 2)], "category_id int, parent_category_id int, category_level int"),
+        "unrelated": spark.range(1),
+    }
+    assert rows(integrity.report(tables)) == sorted([
+        ("unique", "brand", "brand_id", 1), ("unique", "category", "category_id", 0),
+        ("reference", "category", "parent_category_id", 1),
+        ("not null", "brand", "brand_id", 0), ("not null", "brand", "brand_name", 1),
+        ("not null", "category", "category_id", 0), ("not null", "category", "category_level", 0)],
+        key=lambda r: [(v is not None, str(v)) for v in r])
+    with pytest.raises(ValueError, match="none"):
+        integrity.report({"unrelated": spark.range(1)})
