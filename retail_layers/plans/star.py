@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_layers.functions import dates
-from retail_layers.operators.columns import project
+from retail_layers.operators.columns import conform, project
 from retail_layers.operators.joins import lookup_left
 from retail_layers.operators.keys import dedup, first_per_group
 from retail_layers.operators.skew import MAX_GROUP_ROWS
@@ -160,7 +160,11 @@ def fact_payments(payment: DataFrame) -> DataFrame:
     return project(payment, FACT_PAYMENTS)
 
 
-def fact_product_reviews(reviews: DataFrame) -> DataFrame:
+def fact_product_reviews(reviews: DataFrame, typed_keys: bool = False) -> DataFrame:
+    """The feed carries product and customer as text; ``typed_keys`` casts both to the
+    dimensions' key type, NULL where the text is no number."""
+    if typed_keys:
+        reviews = conform(reviews, "product_id bigint, customer_id bigint")
     return project(reviews, FACT_PRODUCT_REVIEWS)
 
 

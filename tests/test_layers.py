@@ -139,6 +139,13 @@ def test_reviews_keep_their_metadata(spark, shop, written):
     assert (row["review_length_chars"], row["review_date"]) == (28, datetime(2025, 11, 8, 9, 30))
 
 
+def test_review_keys_can_take_the_dimension_type(spark, rows):
+    feed = spark.createDataFrame([("R1", "7", "x")], ["review_id", "product_id", "customer_id"])
+    out = star.fact_product_reviews(feed, typed_keys=True)
+    assert rows(out, "review_id", "product_id", "customer_id") == [("R1", 7, None)]
+    assert star.fact_product_reviews(feed).first()["product_id"] == "7"
+
+
 def test_absent_tables_leave_their_outputs_out(lazy, spark, shop):
     tables = layers.read_sources(spark, shop)
     silver, gold = layers.build_layers({"payment": tables["payment"]}, AS_OF, RUN)
