@@ -58,7 +58,7 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
 
     rows = write_tables(star.base_tables(enriched), silver_sink)
     written = read_back(spark, rows, silver_sink)
-    more = write_tables(star.dependent_tables(enriched, written), silver_sink)
+    more = write_tables(star.dependent_tables(enriched, written, max_group_rows, tables), silver_sink)
     written |= read_back(spark, more, silver_sink)
     gold = write_tables(marts.build_marts(written, unique_orders=True), gold_sink)
     return rows | more | gold

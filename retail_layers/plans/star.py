@@ -146,8 +146,8 @@ def fact_order_items(items: DataFrame, orders: DataFrame | None = None,
                      max_key_rows: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """Every line with its order's customer and date key; ``orders`` is ``fact_orders``.
 
-    ``max_key_rows`` and ``sizes`` are for a plan that goes on to aggregate, see
-    ``lookup_left``; when the result is written, Spark splits hot orders by itself.
+    Lines of orders with more than ``max_key_rows`` lines (counted on ``sizes``) are set
+    apart and not shuffled, see ``lookup_left``.
     """
     if orders is not None:
         items = lookup_left(items, orders, "order_id", ["customer_key", "order_date_key"],
@@ -188,7 +188,7 @@ def base_tables(enriched: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataFrame],
-                     max_key_rows: int | None = None,
+                     max_key_rows: int | None = MAX_GROUP_ROWS,
                      raw: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The star tables that read ``base_tables``, best once those are written: the order
     date and customer of a line then come from a narrow scan of ``fact_orders`` instead
