@@ -1,0 +1,110 @@
+"""What the optimizer makes of the layers: few exchanges, pruned scans, nothing per row in Python."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from retail_layers.plans import marts, star
+from retail_queries import layer_queries as lq
+from retail_queries import operator_queries as oq
+
+SF = "/root/testdata/sf0.001"
+NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    """Partitioning columns of each shuffle, without expression ids."""
+    return [re.sub(r"#\d+L?", "", e) for e in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan(df))]
+
+
+@pytest.fixture(scope="module")
+def silver(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("silver")
+    sources = {s for names in (*lq.SOURCES.values(), *lq.MART_SOURCES.values()) for s in names}
+    tables = {}
+    for name, df in lq.star_tables(spark, SF, tuple(sorted(sources))).items():
+        df.write.parquet(f"{base}/{name}")
+        tables[name] = spark.read.parquet(f"{base}/{name}")
+    return tables
+
+
+@pytest.mark.parametrize("name", [
+    "clean_customer_address", "clean_brand", "clean_category", "clean_promotion", "enrich_customer_address",
+    "enrich_promotion", "dim_promotion", "clamp_negative_balance", "title_case_names", "trim_blank_to_null", "safe_casts",
+    "clip_range", "email_flag", "phone_flag", "truncate_text", "domain_flag", "age_bands", "stock_flags", "order_date_parts",
+    "value_band", "line_amounts", "payment_flags", "validity_interval", "standardize_names"])
+def test_column_work_shuffles_nothing(spark, name):
+    assert "Exchange" not in plan(entry.queries()[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["clean_customer", "clean_orders", "clean_order_item", "clean_inventory_level", "dedup_by_key"])
+def test_one_row_per_key_shuffles_once(spark, name):
+    df = entry.queries()[name](spark, SF)
+    assert len(exchanges(df)) == 1 and plan(df).count("WindowGroupLimit") == 2
+
+
+def test_customer_and_address_meet_without_another_exchange(spark, conf):
+    conf(**NO_BROADCAST)
+    df = lq.star_table(spark, SF, "dim_customer")
+    assert exchanges(df) == ["customer_id", "customer_id"]
+
+
+def test_marts_over_written_silver(silver, conf):
+    conf(**NO_BROADCAST)
+    customers = marts.daily_sales_by_customer(silver["fact_orders"], unique_orders=True)
+    assert exchanges(customers) == ["order_date_key, customer_key"]
+    assert exchanges(marts.payment_summary(silver["fact_payments"])) != []
+    assert len(exchanges(marts.payment_summary(silver["fact_payments"]))) == 1
+    assert len(exchanges(marts.review_summary(silver["fact_product_reviews"]))) == 1
+    products = marts.daily_sales_by_product(silver["fact_order_items"])
+    assert exchanges(products) == ["order_date_key, product_variant_key", "order_date_key, product_variant_key, order_id"]
+
+
+def test_scans_read_only_what_is_used(silver):
+    def read_schema(df):
+        return set(re.findall(r"(\w+):", plan(df).split("ReadSchema: struct<")[1].split(">")[0]))
+
+    assert read_schema(star.dim_date(silver["fact_orders"])) == {"order_date"}
+    assert read_schema(marts.payment_summary(silver["fact_payments"]).select("payment_method_code", "payment_attempts")) <= {
+        "payment_id", "payment_method_code", "payment_status_code", "payment_date"}
+    assert "IsNotNull(order_date)" in plan(silver["fact_orders"].where(F.col("order_date").isNotNull()))
+
+
+def test_mart_totals_equal_the_facts(silver):
+    items, orders = silver["fact_order_items"], silver["fact_orders"]
+    product = marts.daily_sales_by_product(items, silver["dim_product_variant"])
+    assert product.agg(F.sum("total_quantity_sold"), F.sum("total_net_sales")).first() == \
+        items.agg(F.sum("quantity"), F.sum("net_line_amount")).first()
+    customer = marts.daily_sales_by_customer(orders, silver["dim_customer"])
+    assert customer.agg(F.sum("order_count"), F.sum("total_revenue")).first() == \
+        orders.agg(F.count("order_id"), F.sum("grand_total_amount")).first()
+    payments = marts.payment_summary(silver["fact_payments"])
+    assert payments.agg(F.sum("payment_attempts")).first()[0] == silver["fact_payments"].count()
+
+
+@pytest.mark.parametrize(("table", "source"), [
+    ("dim_customer", "customer"), ("dim_product", "product"), ("dim_product_variant", "product_variant"),
+    ("fact_orders", "orders"), ("fact_order_items", "order_item")])
+def test_lookups_keep_the_rows_of_their_left_side(spark, silver, table, source):
+    assert silver[table].count() == lq.cleaned(spark, SF, source).count()
+
+
+@pytest.mark.parametrize(("table", "key"), [
+    ("dim_customer", "customer_key"), ("dim_product", "product_key"), ("dim_product_variant", "product_variant_key"),
+    ("dim_date", "date_key"), ("fact_orders", "order_id"), ("fact_order_items", "order_item_id")])
+def test_keys_are_unique(silver, table, key):
+    assert silver[table].groupBy(key).count().where("count > 1 or " + key + " is null").count() == 0
+
+
+def test_no_query_runs_python_per_row_or_pairs_everything(spark):
+    for module in (oq, lq):
+        for name, query in module.QUERIES.items():
+            shown = plan(query(spark, SF))
+            for word in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
+                assert word not in shown or (name, word) == ("null_report", "SinglePartition"), (name, word)
