@@ -56,9 +56,10 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
     cleaned = clean.clean_tables(tables, run_ts, null_tokens, rare_duplicates)
     enriched = enrich.enrich_tables(cleaned, as_of, tables, max_group_rows)
 
-    rows = write_tables(star.base_tables(enriched), silver_sink)
-    written = read_back(spark, rows, silver_sink)
-    more = write_tables(star.dependent_tables(enriched, written, max_group_rows, tables), silver_sink)
-    written |= read_back(spark, more, silver_sink)
-    gold = write_tables(marts.build_marts(written, unique_orders=True), gold_sink)
-    return rows | more | gold
+    base = star.base_tables(enriched)
+    rows = write_tables(base, silver_sink)
+    written = read_back(spark, base, silver_sink)
+    dependent = star.dependent_tables(enriched, written, max_group_rows, tables)
+    rows |= write_tables(dependent, silver_sink)
+    written |= read_back(spark, dependent, silver_sink)
+    return rows | write_tables(marts.build_marts(written, unique_orders=True), gold_sink)

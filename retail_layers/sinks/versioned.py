@@ -124,6 +124,8 @@ class KeyedTable:
         # rebalancing brings a partition's rows together, yet splits a large partition
         (rows.withColumn("_part", self._part()).hint("rebalance", "_part")
          .write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/data/version={version}"))
+        if not paths.folders(spark, f"{self.path}/data/version={version}", "_part=*"):
+            raise ValueError("no rows to commit")
         listing = self._files(spark, [version]).select("_part", "version").distinct()
         if rest is not None:
             listing = listing.unionByName(rest)

@@ -95,15 +95,17 @@ def write_tables(tables: Mapping[str, DataFrame], sink: Mapping, at_once: int =
         return dict(pool.map(inheritable_thread_target(session)(write), tables.items()))
 
 
-def read_back(spark: SparkSession, names, sink: Mapping) -> dict[str, DataFrame]:
-    """The tables of a folder or catalog sink as written."""
+def read_back(spark: SparkSession, tables: Mapping[str, DataFrame], sink: Mapping) -> dict[str, DataFrame]:
+    """The tables of a folder or catalog sink as written, with the columns and types they
+    were written with, whatever folders hold them and even when they are empty."""
     kind = sink_kind(sink)
     if kind == "jdbc":
         raise ValueError("a JDBC sink is not read back")
     if kind == "catalog":
-        return {n: spark.table(f"{sink['catalog_db']}.{sink.get('table_prefix', '')}{n}") for n in names}
-    reader = spark.read.format(sink.get("format", "parquet"))
-    return {n: reader.load(f"{sink['base_path'].rstrip('/')}/{n}") for n in names}
+        return {n: spark.table(f"{sink['catalog_db']}.{sink.get('table_prefix', '')}{n}") for n in tables}
+    base, form = sink["base_path"].rstrip("/"), sink.get("format", "parquet")
+    return {n: spark.read.format(form).schema(df.schema).load(f"{base}/{n}").select(*map(quoted, df.columns))
+            for n, df in tables.items()}
 
 
 def tsv_to_parquet(spark: SparkSession, files: Mapping[str, str], base: str,

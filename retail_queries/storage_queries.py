@@ -198,8 +198,9 @@ def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     """An external table of the session's catalog at a path of its own."""
     prefix = f"run_{uuid.uuid4().hex}_"
     sink = {"base_path": scratch_path(spark, "catalog"), "catalog_db": "default", "table_prefix": prefix}
-    writers.write_tables({"reviews": flat_metadata(cleaned(spark, sf, "product_reviews"))}, sink)
-    return writers.read_back(spark, ["reviews"], sink)["reviews"]
+    tables = {"reviews": flat_metadata(cleaned(spark, sf, "product_reviews"))}
+    writers.write_tables(tables, sink)
+    return writers.read_back(spark, tables, sink)["reviews"]
 
 
 QUERIES["catalog_table"] = catalog_table

@@ -130,10 +130,10 @@ def test_writes_report_rows_and_read_back(spark, folder):
     assert sorted(p.name for p in Path(folder, "b").glob("half=*")) == ["half=0", "half=1"]
     assert {n: df.count() for n, df in writers.read_back(spark, tables, sink).items()} == {"a": 5, "b": 7}
     assert writers.write_tables({"a": spark.range(2)}, sink | {"mode": "append"}) == {"a": 2}
-    assert writers.read_back(spark, ["a"], sink)["a"].count() == 7
+    assert writers.read_back(spark, tables, sink)["a"].count() == 7
     assert writers.write_tables({}, sink) == {}
     with pytest.raises(ValueError, match="JDBC"):
-        writers.read_back(spark, ["a"], {"jdbc": {}})
+        writers.read_back(spark, tables, {"jdbc": {}})
 
 
 def test_catalog_sink_makes_external_tables(spark, folder):
@@ -141,10 +141,20 @@ def test_catalog_sink_makes_external_tables(spark, folder):
     assert writers.write_tables({"t": spark.range(3)}, sink) == {"t": 3}
     assert spark.table("default.shop_t").count() == 3
     assert Path(folder, "t").is_dir()
-    assert writers.read_back(spark, ["t"], sink)["t"].count() == 3
+    assert writers.read_back(spark, {"t": spark.range(3)}, sink)["t"].count() == 3
     spark.sql("drop table default.shop_t")
 
 
+def test_empty_tables_and_folder_columns_read_back(spark, folder):
+    some = spark.createDataFrame([("007", 1)], "code string, n int")
+    tables = {"none": some.where("n < 0"), "some": some, "joined": some.where("n < 0").join(spark.range(3).toDF("n"), "n")}
+    sink = {"base_path": folder, "partition_by": {"none": ["code"], "some": ["code"]}}
+    assert writers.write_tables(tables, sink) == {"none": 0, "some": 1, "joined": 0}
+    back = writers.read_back(spark, tables, sink)
+    assert {n: df.dtypes for n, df in back.items()} == {n: df.dtypes for n, df in tables.items()}
+    assert tuple(back["some"].first()) == ("007", 1) and back["none"].count() == 0
+
+
 def test_summary(spark, rows):
     out = writers.summary({"a": spark.range(3), "b": spark.range(0)})
     assert rows(out) == [("a", "struct<id:bigint>", 3), ("b", "struct<id:bigint>", 0)]

@@ -107,6 +107,12 @@ def test_first_upsert_starts_the_table(spark, folder):
     assert len(short(t.snapshot(spark))) == 2
 
 
+def test_a_table_does_not_start_empty(spark, folder):
+    with pytest.raises(ValueError, match="no rows"):
+        table(folder).insert(typed(spark, []))
+    assert table(folder).version(spark) == 0
+
+
 def test_untouched_partitions_are_not_rewritten(spark, folder):
     t = table(folder)
     t.insert(typed(spark, BASE + [("o9", "c9", 1.0, "NEW", "2025-11-19 10:00:00", "2025-11-19")]))
