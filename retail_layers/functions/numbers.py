@@ -35,9 +35,13 @@ def clipped(number: Column, low, high, dtype: T.DataType) -> Column:
     )
 
 
-def safe_int(value: Column) -> Column:
+def safe_int(value: Column, dtype: T.DataType) -> Column:
     """Whole part as int; NULL for text that is no number and for overflow."""
-    return value.try_cast("double").try_cast("int")
+    if isinstance(dtype, T.IntegerType):
+        return value
+    if isinstance(dtype, T.StringType):  # a direct cast would refuse a fraction
+        value = value.try_cast("double")
+    return value.try_cast("int")
 
 
 def band(number: Column, uppers: Sequence[tuple[object, str, bool]], top: str,

@@ -74,7 +74,9 @@ def cast_timestamps(df: DataFrame, *cols: str) -> DataFrame:
 
 def cast_integers(df: DataFrame, *cols: str) -> DataFrame:
     found = [c for c in cols if c in df.columns]
-    return df.withColumns({c: numbers.safe_int(quoted(c)) for c in found}) if found else df
+    return df.withColumns(
+        {c: numbers.safe_int(quoted(c), df.schema[c].dataType) for c in found}
+    ) if found else df
 
 
 def flag_in_set(df: DataFrame, col: str, allowed: Sequence[str], out: str) -> DataFrame:
@@ -115,7 +117,7 @@ def conform(df: DataFrame, ddl: str | T.StructType) -> DataFrame:
             casts[f.name] = F.coalesce(source.try_cast("boolean"),
                                        source.try_cast("int").cast("boolean"))
         elif isinstance(target, T.IntegerType):
-            casts[f.name] = numbers.safe_int(source)
+            casts[f.name] = numbers.safe_int(source, f.dataType)
         else:
             casts[f.name] = source.try_cast(target)
     return df.withColumns(casts) if casts else df

@@ -35,6 +35,12 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def tie_break(df: DataFrame, key: str, used: Sequence[str]) -> list[Column]:
+    """Order columns that settle ties: the row's key, or all other columns without one."""
+    rest = [key] if key in df.columns else [c for c in df.columns if c not in used]
+    return [sortable(df, c).asc_nulls_first() for c in rest]
+
+
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None) -> DataFrame:
     """One row per key (NULL keys are one key), the least by ``order_by``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from retail_layers.functions import dates, numbers, text
 from retail_layers.operators.derive import Rule, derive
-from retail_layers.operators.keys import sequence
+from retail_layers.operators.keys import sequence, tie_break
 from retail_layers.operators.skew import MAX_GROUP_ROWS
 
 # Cities, band limits as (upper bound, label, inclusive), thresholds, codes.
@@ -143,7 +143,7 @@ def rules_for(name: str, as_of: Column | date) -> tuple[Rule, ...]:
 def number_orders(df: DataFrame, max_group_rows: int = MAX_GROUP_ROWS,
                   sizes: DataFrame | None = None) -> DataFrame:
     """Place of each order among its customer's, undated ones first, ties by ``order_id``."""
-    tie = [F.col("order_id").asc_nulls_first()] if "order_id" in df.columns else []
+    tie = tie_break(df, "order_id", ("customer_id", "order_date"))
     numbered = sequence(df, ["customer_id"], [F.col("order_date").asc_nulls_first(), *tie],
                         "customer_order_sequence", max_group_rows, sizes)
     return numbered.withColumn("is_first_order", F.col("customer_order_sequence") == 1)
@@ -152,7 +152,7 @@ def number_orders(df: DataFrame, max_group_rows: int = MAX_GROUP_ROWS,
 def number_payments(df: DataFrame, max_group_rows: int = MAX_GROUP_ROWS,
                     sizes: DataFrame | None = None) -> DataFrame:
     """Attempt number of each payment within its order, ties by ``payment_id``."""
-    tie = [F.col("payment_id").asc_nulls_first()] if "payment_id" in df.columns else []
+    tie = tie_break(df, "payment_id", ("order_id", "payment_date"))
     return sequence(df, ["order_id"], [F.col("payment_date").asc_nulls_first(), *tie],
                     "payment_attempt_number", max_group_rows, sizes)
 

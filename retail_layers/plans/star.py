@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from retail_layers.functions import dates
 from retail_layers.operators.columns import conform, project
 from retail_layers.operators.joins import lookup_left
-from retail_layers.operators.keys import dedup, first_per_group
+from retail_layers.operators.keys import dedup, first_per_group, tie_break
 from retail_layers.operators.skew import MAX_GROUP_ROWS
 
 # Columns of each star table in order. A type is used only for a column
@@ -98,8 +98,7 @@ def dim_date(orders: DataFrame) -> DataFrame:
 def default_address(addresses: DataFrame, address_type: str = DEFAULT_ADDRESS_TYPE) -> DataFrame:
     """The earliest default address of the given type per customer."""
     wanted = F.col("is_default").cast("boolean") & (F.col("address_type_code") == address_type)
-    tie = ([F.col("customer_address_id").asc_nulls_first()]
-           if "customer_address_id" in addresses.columns else [])
+    tie = tie_break(addresses, "customer_address_id", ("customer_id", "created_at"))
     return first_per_group(addresses.where(wanted), ["customer_id"],
                            [F.col("created_at").asc_nulls_first(), *tie])
 

@@ -76,6 +76,16 @@ def test_safe_casts_do_not_depend_on_ansi(spark, conf, ansi):
     assert [r["t"] for r in got] == [at, at, datetime(2025, 11, 8), None, None, None, None]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_whole_numbers_from_numbers(spark, conf, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    df = spark.createDataFrame([(7, 7, 7.9, Decimal("7.9")), (1, 2**40, 1e12, Decimal("-7.9")), (None,) * 4],
+                               "i int, l bigint, d double, m decimal(12,2)")
+    out = c.cast_integers(df, "i", "l", "d", "m")
+    assert {t for _, t in out.dtypes} == {"int"}
+    assert [tuple(r) for r in out.collect()] == [(7, 7, 7, 7), (1, None, None, -7), (None,) * 4]
+
+
 def test_timestamps_of_either_kind_pass_through(spark):
     df = spark.sql("select timestamp_ntz'2025-01-01 00:00:00' a, timestamp'2025-01-01 00:00:00' b, date'2025-01-01' d")
     assert [t for _, t in c.cast_timestamps(df, "a", "b", "d").dtypes] == ["timestamp_ntz", "timestamp", "timestamp"]

@@ -113,6 +113,14 @@ def test_keys_above_counts_before_the_exchange(spark, rows):
     assert skew.keys_above(df, ["k"], 2) is None
 
 
+def test_ties_without_a_key_are_settled_by_the_other_columns(spark):
+    data = [(1, 5, "b"), (1, 5, "a"), (1, None, "c")]
+    df = spark.createDataFrame(data, "customer_id int, order_date int, status string")
+    for limit in (10, 0):
+        out = enrich.number_orders(df, max_group_rows=limit)
+        assert {r["status"]: r["customer_order_sequence"] for r in out.collect()} == {"c": 1, "a": 2, "b": 3}
+
+
 def lookup_frames(spark):
     facts = spark.createDataFrame([(i, 7 if i % 3 == 0 else (None if i % 10 == 1 else i)) for i in range(300)], "id int, k int")
     dim = spark.createDataFrame([(i, f"name{i}", "unused") for i in range(0, 300, 7)], "key int, name string, other string")
