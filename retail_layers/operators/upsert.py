@@ -26,8 +26,9 @@ def precombine(batch: DataFrame, keys: Sequence[str], order_col: str) -> DataFra
 
 
 def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], order_col: str,
-           policy: str = "incoming_wins") -> DataFrame:
-    """``base`` after ``batch``. ``base`` is unique on ``keys``; ``batch`` need not be.
+           policy: str = "incoming_wins", precombined: bool = False) -> DataFrame:
+    """``base`` after ``batch``. ``base`` is unique on ``keys``; ``batch`` need not be,
+    unless it is said to be ``precombined``.
 
     ``incoming_wins`` replaces a known key always, ``latest_wins`` only when the batch
     row is not older (a base row without ``order_col`` gives way, a batch row without
@@ -40,7 +41,7 @@ def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], order_col: st
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
     whole = [quoted(c) for c in base.columns]
-    incoming = precombine(batch, keys, order_col).select(*whole)
+    incoming = (batch if precombined else precombine(batch, keys, order_col)).select(*whole)
     if policy == "latest_wins":
         hits = base.select(*map(quoted, keys), quoted(order_col).alias("_held")).join(
             incoming.select(*map(quoted, keys)), list(keys), "inner")

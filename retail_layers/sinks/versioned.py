@@ -71,7 +71,7 @@ class KeyedTable:
         same = listing["_part"].eqNullSafe(touched["_part"])
         before = self._rows(spark, listing.join(touched, same, "left_semi"))
         merged = incoming if before is None else merging.upsert(
-            before, incoming, self.identity, self.order_col, self.policy)
+            before, incoming, self.identity, self.order_col, self.policy, precombined=True)
         return self._commit(merged, listing.join(touched, same, "left_anti"), current + 1)
 
     def snapshot(self, spark: SparkSession, version: int | None = None) -> DataFrame:
