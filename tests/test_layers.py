@@ -7,6 +7,7 @@ from decimal import Decimal as D
 import pytest
 
 import samples
+from retail_layers import __main__ as cli
 from retail_layers.plans import clean, enrich, layers, marts, schemas, star
 from retail_layers.sinks import writers
 from retail_layers.sources import readers
@@ -200,6 +201,18 @@ def test_results_do_not_depend_on_settings(spark, shop, lazy, conf, rows, partit
     assert {n: rows(df) for n, df in gold.items()} == want
 
 
+def test_command_line(spark, shop, written, tmp_path, capsys):
+    sinks = {layer: {"base_path": str(tmp_path / layer)} for layer in ("silver", "gold")}
+    config = tmp_path / "settings.json"
+    config.write_text(json.dumps({"environments": {"dev": shop | sinks}}))
+    rows = cli.main(["--config", str(config), "--as-of", "2025-11-30", "--null-token", "NULL", "--show-summary"])
+    assert rows == written
+    printed = capsys.readouterr().out
+    assert "fact_orders: 3 rows" in printed and "|gold_payment_summary" in printed
+    with pytest.raises(ValueError, match="prod"):
+        cli.main(["--config", str(config), "--env", "prod"])
+
+
 def test_run_checks_its_settings_first(spark, shop):
     with pytest.raises(ValueError, match="gold"):
         layers.run(spark, {k: v for k, v in shop.items() if k != "gold"}, AS_OF, RUN)
