@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from retail_layers.functions import dates
 from retail_layers.operators.columns import conform, project
+from retail_layers.operators.derive import Rule, derive
 from retail_layers.operators.joins import lookup_left
 from retail_layers.operators.keys import dedup, first_per_group, tie_break
 from retail_layers.operators.skew import MAX_GROUP_ROWS
@@ -113,10 +114,10 @@ def dim_customer(customer: DataFrame, addresses: DataFrame | None = None) -> Dat
 
 def dim_product(product: DataFrame, brand: DataFrame | None = None,
                 category: DataFrame | None = None) -> DataFrame:
-    if brand is not None:
+    if brand is not None and "brand_id" in product.columns:
         product = lookup_left(product, dedup(brand.select("brand_id", "brand_name"), ["brand_id"]),
                               "brand_id", ["brand_name"])
-    if category is not None:
+    if category is not None and "default_category_id" in product.columns:
         named = {"category_name": "default_category_name", "parent_category_id": "parent_category_id",
                  "category_level": "category_level"}
         product = lookup_left(product, dedup(category.select("category_id", *named), ["category_id"]),
@@ -126,7 +127,7 @@ def dim_product(product: DataFrame, brand: DataFrame | None = None,
 
 def dim_product_variant(variant: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Every variant with its product's columns; ``products`` is ``dim_product``."""
-    if products is not None:
+    if products is not None and "product_id" in variant.columns:
         variant = lookup_left(variant, products, "product_id", PRODUCT_COLUMNS, dim_on="product_key")
     return project(variant.withColumnRenamed("product_variant_id", "product_variant_key"),
                    DIM_PRODUCT_VARIANT)
@@ -137,7 +138,7 @@ def dim_promotion(promotion: DataFrame) -> DataFrame:
 
 
 def fact_orders(orders: DataFrame) -> DataFrame:
-    keyed = orders.withColumn("order_date_key", dates.date_key(F.col("order_date")))
+    keyed = derive(orders, Rule("order_date_key", ("order_date",), lambda: dates.date_key(F.col("order_date"))))
     return project(keyed.withColumnRenamed("customer_id", "customer_key"), FACT_ORDERS)
 
 
@@ -148,7 +149,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame | None = None,
     Lines of orders with more than ``max_key_rows`` lines (counted on ``sizes``) are set
     apart and not shuffled, see ``lookup_left``.
     """
-    if orders is not None:
+    if orders is not None and "order_id" in items.columns:
         items = lookup_left(items, orders, "order_id", ["customer_key", "order_date_key"],
                             max_key_rows=max_key_rows, sizes=sizes)
     return project(items.withColumnRenamed("product_variant_id", "product_variant_key"),

@@ -164,6 +164,18 @@ def test_absent_lookups_leave_typed_nulls(spark, shop, lazy):
     assert gold["gold_daily_sales_product"].count() == 3
 
 
+def test_tables_of_nothing_but_keys_make_full_star_tables(spark, shop, lazy):
+    full, _ = lazy
+    tables = layers.read_sources(spark, shop)
+    bare = {n: tables[n].select(*schemas.PRIMARY_KEYS[n]) for n in ("customer", "product", "product_variant", "orders", "order_item", "payment", "promotion")}
+    silver, gold = layers.build_layers(bare | {n: tables[n] for n in ("brand", "category")}, AS_OF, RUN)
+    for name, df in silver.items():
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in full[name].schema], name
+        assert name == "dim_date" or df.count() == full[name].count(), name
+    assert {n: df.count() for n, df in gold.items()} == {
+        "gold_daily_sales_product": 1, "gold_daily_sales_customer": 1, "gold_payment_summary": 1}
+
+
 def test_repeated_lookup_keys_do_not_multiply_rows(spark, shop):
     tables = layers.read_sources(spark, shop)
     doubled = {n: tables[n].unionAll(tables[n]) for n in ("product", "brand", "category", "customer", "customer_address", "orders", "order_item")}
