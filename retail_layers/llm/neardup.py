@@ -12,7 +12,7 @@ streams its sorted rows: up to ``FULL`` members of a bucket are compared with ea
 later ones with the first and the preceding member. Links are verified in rounds, and a
 pair is looked at only while its ends are in different components. Members of buckets that
 were cut or longer than ``FULL`` and still lie in several components are then compared
-across components, so no link between them is missed for the bucket's size. What remains is
+across components, block against block, so no link is missed for a bucket's size. What remains is
 the chance that two linked texts share no band: below 3 in a million at similarity 0.75.
 
 Defined cases: a missing or empty text has no set, is linked with nothing and is its own
@@ -38,6 +38,7 @@ SHINGLE = 5
 BANDS, ROWS = 48, 5
 RING = 1 << 18
 FULL = 16
+BLOCK = 512
 SPACE = bytes([32, *range(9, 14)])
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -267,27 +268,22 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", perce
     sets = keep(_sets(documents, doc_id, text, sources))
     release(spark)
 
-    # a first link per node decides most components; then only pairs across components matter
-    star = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    # each node's likeliest link decides most components; then only pairs across components matter
+    counted = keep(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
+    either = counted.select(F.col("a").alias("node"), F.col("b").alias("other"), "shared").unionByName(
+        counted.select(F.col("b").alias("node"), F.col("a").alias("other"), "shared"))
+    star = keep(either.groupBy("node").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+                .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
     labels = components(verified(star, sets, percent))
-    across = relabelled(pairs.distinct().select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")), labels, "ca")
+    across = relabelled(counted.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")), labels, "ca")
     across = relabelled(across, labels, "cb").where("ca <> cb").join(star, ["a", "b"], "left_anti").select("a", "b")
     labels = _merged(labels, keep(verified(across, sets, percent)))
 
     # long or cut buckets whose members still lie in several components
-    placed = keep(relabelled(members.distinct().withColumn("label", F.col("node")), labels, "label")
-                  .join(nodes.select("node", "n"), "node"))
-    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    placed = keep(placed.join(split, "key", "left_semi"))
+    members = keep(members.distinct())
+    placed = _split(members, labels)
     if not placed.isEmpty():
-        x = placed.select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-        y = placed.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
-        rest = (
-            x.join(y, "key").where("a < b and la <> lb")
-            .where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent))
-            .select("a", "b").distinct()
-        )
-        labels = _merged(labels, keep(verified(rest, sets, percent)))
+        labels = _merged(labels, keep(_links_across(placed, sets, percent)))
 
     named = keep(_named(nodes, labels))
     release(spark)
@@ -299,6 +295,71 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", perce
     )
 
 
+def _split(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, node, label of the members of buckets that lie in several components; kept."""
+    placed = keep(relabelled(members.withColumn("label", F.col("node")), labels, "label"))
+    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return keep(placed.join(split.select("key"), "key", "left_semi"))
+
+
+def _links_across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of the same cluster of buckets, one per pair of components at least.
+
+    placed has key, node, label. Buckets that share a node are one cluster. Its nodes
+    outside its largest component are compared with all its nodes in blocks of whole
+    sets: a task gets two blocks and hands on links only, never pairs.
+    """
+    first = placed.groupBy("key").agg(F.min("node").alias("a"))
+    cluster = components(placed.join(first, "key").select("a", F.col("node").alias("b")))
+    nodes = keep(placed.select("node", "label").distinct().join(cluster.withColumnRenamed("label", "cluster"), "node"))
+    sizes = nodes.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("_n")).groupBy("cluster").agg(
+        F.sum("_n").alias("_all"), F.max("_n").alias("_most"), F.max_by("label", F.struct("_n", "label")).alias("_main"))
+    n_all = F.ceil(F.col("_all") / BLOCK).cast("int")
+    n_rest = F.ceil((F.col("_all") - F.col("_most")) / BLOCK).cast("int")
+    nodes = nodes.join(sizes, "cluster").withColumn("_h", F.xxhash64("node"))
+    right = nodes.select("cluster", "node", "label", F.lit(False).alias("rest"), F.pmod("_h", n_all).alias("j"),
+                         F.explode(F.sequence(F.lit(0), n_rest - 1)).alias("i"))
+    left = nodes.where("label <> _main").select("cluster", "node", "label", F.lit(True).alias("rest"),
+                                                F.explode(F.sequence(F.lit(0), n_all - 1)).alias("j"),
+                                                F.pmod("_h", n_rest).alias("i"))
+    blocks = right.select("cluster", "i", "j", "node", "label", "rest").unionByName(
+        left.select("cluster", "i", "j", "node", "label", "rest")).join(sets.select("node", "members"), "node")
+
+    def compare(held: pd.DataFrame) -> pd.DataFrame:
+        x, y = held[held["rest"]], held[~held["rest"]]
+        sides = [[unpack(m) for m in side["members"]] for side in (x, y)]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        both = _intersections(*sides)
+        n = [np.array([len(s) for s in side]) for side in sides]
+        linked = both * 100 >= (n[0][:, None] + n[1][None, :] - both) * percent
+        linked &= x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None, :]
+        i, j = np.nonzero(linked)
+        found = pd.DataFrame({"a": x["node"].to_numpy()[i], "b": y["node"].to_numpy()[j],
+                              "la": x["label"].to_numpy()[i], "lb": y["label"].to_numpy()[j]})
+        return found.drop_duplicates(["la", "lb"])[["a", "b"]]
+
+    return blocks.groupBy("cluster", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections between two blocks of sets."""
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    total = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, len(shared), 4096):  # the shared shingles in slices of bounded width
+        part = shared[at:at + 4096]
+        rows = []
+        for side in (left, right):
+            table = np.zeros((len(side), len(part)), np.float32)
+            for k, s in enumerate(side):
+                place = np.searchsorted(part, s)
+                place[place == len(part)] = 0
+                table[k, place[part[place] == s]] = 1
+            rows.append(table)
+        total += (rows[0] @ rows[1].T).astype(np.int64)
+    return total
+
+
 def _named(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """node, component_id: the smallest doc_id of each component."""
     labelled = relabelled(nodes.select("node", "doc_id", F.col("node").alias("label")), labels, "label")

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_layers.llm import decontaminate, mixing, neardup, quality, secrets
+from retail_layers.llm import decontaminate, mixing, neardup, quality, repeats, secrets
 from retail_layers.llm.common import held_out, table
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.train(documents, table(spark, sf_dir, "labels"))
@@ -44,6 +49,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_quality, op7_mixing, op8_secrets, op9_neardup, op10_decontamination)
+    f.__name__: f for f in (op3_repeats, op5_quality, op7_mixing, op8_secrets, op9_neardup, op10_decontamination)
 }
 ORACLE: dict[str, str] = {}
