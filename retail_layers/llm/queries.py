@@ -7,15 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_layers.llm import decontaminate, mixing, neardup, quality, repeats, secrets
+from retail_layers.llm import decontaminate, language, mixing, neardup, neighbours, pages, quality, quotes, repeats, secrets
 from retail_layers.llm.common import held_out, table
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.train(documents, table(spark, sf_dir, "labels"))
@@ -25,6 +38,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = documents.select("doc_id", held_out("doc_id").alias("held_out"),
+                             language.identify(F.col("text"), language.train(documents)).alias("_l"))
+    return found.select("doc_id", "held_out", "_l.lang_pred", "_l.score", "_l.ambiguous")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -49,6 +69,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_repeats, op5_quality, op7_mixing, op8_secrets, op9_neardup, op10_decontamination)
+    f.__name__: f for f in (op1_neighbours, op2_quotes, op3_repeats, op4_pages, op5_quality, op6_language, op7_mixing, op8_secrets, op9_neardup, op10_decontamination)
 }
 ORACLE: dict[str, str] = {}
