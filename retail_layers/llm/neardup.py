@@ -12,7 +12,8 @@ streams its sorted rows: up to ``FULL`` members of a bucket are compared with ea
 later ones with the first and the preceding member. Links are verified in rounds, and a
 pair is looked at only while its ends are in different components. Members of buckets that
 were cut or longer than ``FULL`` and still lie in several components are then compared
-across components, block against block, so no link is missed for a bucket's size. What remains is
+across components, block against block: what a task hands on are links, never all pairs
+of a group, and no link is missed for a bucket's size. What remains is
 the chance that two linked texts share no band: below 3 in a million at similarity 0.75.
 
 Defined cases: a missing or empty text has no set, is linked with nothing and is its own
