@@ -71,38 +71,38 @@ def test_star_columns(lazy):
 
 def test_dim_date(spark, shop, written, rows):
     assert rows(read(spark, shop, "silver", "dim_date")) == [
-        (20251105 + i, date(2025, 11, 5 + i), 2025, 4, 11, "November", 45, 5 + i, day) for i, day in enumerate(("Wed", "Thu", "Fri"))]
+        (20240304 + i, date(2024, 3, 4 + i), 2024, 1, 3, "March", 10, 4 + i, day) for i, day in enumerate(("Mon", "Tue", "Wed"))]
 
 
 def test_dim_customer(spark, shop, written, rows):
     got = rows(read(spark, shop, "silver", "dim_customer"), "customer_key", "age_years", "age_band", "is_active_flag", "gender",
                "city_normalized", "is_metro_city", "postal_code", "email_is_valid", "phone_is_valid")
-    assert got == [(1, 35, "26_35", True, "M", "MUMBAI", True, "400001", True, True),
-                   (2, 32, "26_35", True, "F", "BENGALURU", True, "560001", True, True),
-                   (3, None, "UNKNOWN", False, None, "PUNE", True, "411001", True, True)]
+    assert got == [(21, 41, "36_45", True, "F", "CHENNAI", True, "022765", True, True),
+                   (22, 21, "18_25", True, "M", "HAMBURG", False, "020095", True, True),
+                   (23, None, "UNKNOWN", False, None, "DELHI", True, "011001", True, True)]
 
 
 def test_fact_orders(spark, shop, written, rows):
     got = rows(read(spark, shop, "silver", "fact_orders"), "order_id", "amount_mismatch_flag", "order_value_band",
                "customer_order_sequence", "is_first_order", "order_status_is_valid", "order_date_key")
-    assert got == [(1, False, "HIGH", 1, True, True, 20251105), (2, True, "HIGH", 1, True, True, 20251106),
-                   (3, False, "HIGH", 1, True, True, 20251107)]
+    assert got == [(61, False, "MEDIUM", 1, True, True, 20240304), (62, True, "HIGH", 1, True, True, 20240305),
+                   (63, False, "LOW", 1, True, True, 20240306)]
 
 
 def test_fact_order_items(spark, shop, written, rows):
     got = rows(read(spark, shop, "silver", "fact_order_items"), "order_item_id", "customer_key", "gross_amount", "net_line_amount")
-    assert got == [(1, 1, D("15000.00"), D("15900.00")), (2, 1, D("1000.00"), D("1130.00")),
-                   (3, 2, D("60000.00"), D("66900.00")), (4, 3, D("15000.00"), D("16900.00"))]
+    assert got == [(71, 21, D("2000.00"), D("2098.00")), (72, 21, D("480.00"), D("482.00")),
+                   (73, 22, D("12000.00"), D("12640.00")), (74, 23, D("930.00"), D("1005.00"))]
     shares = [r[1] for r in rows(read(spark, shop, "silver", "fact_order_items"), "order_item_id", "effective_discount_pct")]
-    assert shares == pytest.approx([100 / 15, 10, 5 / 6, 0])
+    assert shares == pytest.approx([2.5, 6.25, 5 / 3, 0])
 
 
 def test_attempts_stock_and_promotions(spark, shop, written, rows):
-    assert rows(read(spark, shop, "silver", "fact_payments"), "payment_id", "payment_attempt_number") == [(1, 1), (2, 1), (3, 2), (4, 1)]
+    assert rows(read(spark, shop, "silver", "fact_payments"), "payment_id", "payment_attempt_number") == [(81, 1), (82, 1), (83, 2), (84, 1)]
     tables = layers.read_sources(spark, shop)
     stock = enrich.enrich_table("inventory_level", clean.clean_table("inventory_level", tables["inventory_level"], RUN), AS_OF)
-    assert rows(stock.where("is_low_stock or is_out_of_stock"), "warehouse_id", "product_variant_id", "available_qty") == [(2, 3, 9)]
-    for day, active in ((date(2025, 11, 30), [1, 2]), (date(2025, 12, 1), [1])):
+    assert rows(stock.where("is_low_stock or is_out_of_stock"), "warehouse_id", "product_variant_id", "available_qty") == [(8, 53, 8), (9, 53, 0)]
+    for day, active in ((date(2025, 11, 30), [5, 6]), (date(2025, 12, 1), [5])):
         out = enrich.enrich_table("promotion", tables["promotion"], day).where("is_currently_active")
         assert [r[0] for r in rows(out, "promotion_id")] == active
 
@@ -110,34 +110,34 @@ def test_attempts_stock_and_promotions(spark, shop, written, rows):
 def test_daily_sales_by_product(spark, shop, written, rows):
     got = rows(read(spark, shop, "gold", "gold_daily_sales_product").drop("product_name", "brand_id", "default_category_id"))
     assert got == [
-        (20251105, 1, 1, "TechNova", "Mobile Phones", 1, D("15000.00"), D("1000.00"), D("1800.00"), D("100.00"), D("15900.00"), 1),
-        (20251105, 4, 3, "UrbanWear", "T-Shirts", 2, D("1000.00"), D("100.00"), D("180.00"), D("50.00"), D("1130.00"), 1),
-        (20251106, 3, 2, "WorkPro", "Laptops", 1, D("60000.00"), D("500.00"), D("7200.00"), D("200.00"), D("66900.00"), 1),
-        (20251107, 1, 1, "TechNova", "Mobile Phones", 1, D("15000.00"), D("0.00"), D("1800.00"), D("100.00"), D("16900.00"), 1)]
+        (20240304, 51, 41, "Harbour Bakery", "Bread", 4, D("2000.00"), D("50.00"), D("140.00"), D("8.00"), D("2098.00"), 1),
+        (20240304, 54, 43, "Oakroot", "Spades", 1, D("480.00"), D("30.00"), D("28.00"), D("4.00"), D("482.00"), 1),
+        (20240305, 53, 42, "Mill Lane", "Cheese", 3, D("12000.00"), D("200.00"), D("840.00"), D("0.00"), D("12640.00"), 1),
+        (20240306, 51, 41, "Harbour Bakery", "Bread", 2, D("930.00"), D("0.00"), D("65.10"), D("9.90"), D("1005.00"), 1)]
 
 
 def test_daily_sales_by_customer(spark, shop, written, rows):
     got = rows(read(spark, shop, "gold", "gold_daily_sales_customer"), "order_date_key", "customer_key", "order_count",
                "total_revenue", "avg_order_value", "first_order_count", "repeat_order_count")
-    assert got == [(20251105, 1, 1, D("17030.00"), 17030.0, 1, 0), (20251106, 2, 1, D("66500.00"), 66500.0, 1, 0),
-                   (20251107, 3, 1, D("16900.00"), 16900.0, 1, 0)]
+    assert got == [(20240304, 21, 1, D("2580.00"), 2580.0, 1, 0), (20240305, 22, 1, D("12600.00"), 12600.0, 1, 0),
+                   (20240306, 23, 1, D("1005.00"), 1005.0, 1, 0)]
 
 
 def test_review_and_payment_summaries(spark, shop, written, rows):
     assert rows(read(spark, shop, "gold", "gold_product_review_summary")) == [
-        ("1", 20251108, 1, 5.0, 1, 0, 0, 1), ("2", 20251107, 1, 3.0, 0, 1, 0, 0), ("3", 20251109, 1, 4.0, 1, 0, 0, 0)]
+        ("41", 20240310, 1, 5.0, 1, 0, 0, 1), ("42", 20240308, 1, 3.0, 0, 1, 0, 0), ("43", 20240312, 1, 4.0, 1, 0, 0, 0)]
     assert rows(read(spark, shop, "gold", "gold_payment_summary")) == [
-        (20251105, "UPI", "SUCCESS", 1, 1, 0, D("17030.00"), 17030.0),
-        (20251106, "CARD", "FAILED", 1, 0, 1, D("66500.00"), 66500.0),
-        (20251106, "CARD", "SUCCESS", 1, 1, 0, D("66500.00"), 66500.0),
-        (20251107, "COD", "PENDING", 1, 0, 0, D("16900.00"), 16900.0)]
+        (20240304, "CARD", "SUCCESS", 1, 1, 0, D("2580.00"), 2580.0),
+        (20240305, "WALLET", "FAILED", 1, 0, 1, D("12600.00"), 12600.0),
+        (20240305, "WALLET", "SUCCESS", 1, 1, 0, D("12600.00"), 12600.0),
+        (20240306, "CASH", "PENDING", 1, 0, 0, D("1005.00"), 1005.0)]
 
 
 def test_reviews_keep_their_metadata(spark, shop, written):
-    held = read(spark, shop, "silver", "fact_product_reviews").where("review_id = 'R1001'")
+    held = read(spark, shop, "silver", "fact_product_reviews").where("review_id = 'V-1'")
     row = held.selectExpr("to_json(metadata) as m", "review_length_chars", "review_date").first()
     assert json.loads(row["m"]) == samples.REVIEWS[0]["metadata"]
-    assert (row["review_length_chars"], row["review_date"]) == (28, datetime(2025, 11, 8, 9, 30))
+    assert (row["review_length_chars"], row["review_date"]) == (23, datetime(2024, 3, 10, 7, 45))
 
 
 def test_review_keys_can_take_the_dimension_type(spark, rows):
@@ -182,7 +182,7 @@ def test_repeated_lookup_keys_do_not_multiply_rows(spark, shop):
     silver, gold = layers.build_layers(tables | doubled, AS_OF, RUN)
     assert {n: silver[n].count() for n in ("dim_product", "dim_customer", "fact_orders", "fact_order_items")} == {
         "dim_product": 3, "dim_customer": 3, "fact_orders": 3, "fact_order_items": 4}
-    assert gold["gold_daily_sales_product"].agg({"total_net_sales": "sum"}).first()[0] == D("100830.00")
+    assert gold["gold_daily_sales_product"].agg({"total_net_sales": "sum"}).first()[0] == D("16225.00")
 
 
 def test_marts_group_by_what_exists(spark):
