@@ -4,13 +4,16 @@ A commit writes the partitions it touches, whole, under ``data/version=<n>`` and
 lists under ``versions/<n>`` which version holds each partition. The listing is written
 last and counts once complete, so readers see all of a commit or none of it, a failed
 commit leaves the table as it was, and partitions a batch does not touch are neither
-read nor rewritten. One writer at a time.
+read nor rewritten. The table's columns are stored with each version, so a batch that lacks
+one changes nothing for readers. One writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +32,9 @@ class KeyedTable:
     """Where a keyed table lives and how its rows are identified and ordered.
 
     ``scope`` says where a key is looked for: in its own ``partition`` (the same key in
-    another partition is another row) or in the whole ``table`` (a key may move).
+    another partition is another row) or in the whole ``table`` (a key may move). NULL keys
+    are refused; a NULL partition value is a partition of its own. A table that may
+    ``evolve`` takes columns it does not have and batches that lack some of its own.
     """
 
     path: str
@@ -38,10 +43,13 @@ class KeyedTable:
     partition_col: str
     scope: str = "partition"
     policy: str = "incoming_wins"
+    evolve: bool = False
 
     def __post_init__(self) -> None:
         if self.scope not in SCOPES:
             raise ValueError(f"scope must be one of {SCOPES}, not {self.scope!r}")
+        if self.policy not in merging.POLICIES:
+            raise ValueError(f"policy must be one of {merging.POLICIES}, not {self.policy!r}")
 
     @property
     def identity(self) -> list[str]:
@@ -49,6 +57,7 @@ class KeyedTable:
 
     def insert(self, rows: DataFrame) -> int:
         """Start the table, replacing any earlier state; returns the version written."""
+        rows = merging.refuse_missing(rows, self.keys)
         first = merging.precombine(rows, self.identity, self.order_col)
         return self._commit(first, None, self.version(rows.sparkSession) + 1)
 
@@ -58,26 +67,30 @@ class KeyedTable:
         current = self.version(spark)
         if current == 0:
             return self.insert(batch)
+        empty = spark.createDataFrame([], self._schema(spark, current))
+        _, batch = merging.aligned(empty, batch, self.evolve)
+        batch = merging.refuse_missing(batch, self.keys)
         incoming = keep(merging.precombine(batch, self.identity, self.order_col))
         if incoming.isEmpty():
             return current
         touched = incoming.select(self._part())
         if self.scope == "table":
             held = self.snapshot(spark).select(*map(quoted, self.keys), self._part())
-            moved = held.join(incoming.select(*map(quoted, self.keys)), [*self.keys], "left_semi")
+            moved = merging.matching(held, incoming.select(*map(quoted, self.keys)), self.keys, "left_semi")
             touched = touched.union(moved.select("_part"))
         touched = keep(touched.distinct())
         listing = self._listing(spark, current)
         same = listing["_part"].eqNullSafe(touched["_part"])
-        before = self._rows(spark, listing.join(touched, same, "left_semi"))
+        before = self._rows(spark, listing.join(touched, same, "left_semi"), current)
         merged = incoming if before is None else merging.upsert(
-            before, incoming, self.identity, self.order_col, self.policy, precombined=True)
+            before, incoming, self.identity, self.order_col, self.policy, precombined=True,
+            may_be_missing=(self.partition_col,), evolve=self.evolve)
         return self._commit(merged, listing.join(touched, same, "left_anti"), current + 1)
 
     def snapshot(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         """The rows as of the last, or the given, version."""
         at = self.version(spark) if version is None else version
-        rows = self._rows(spark, self._listing(spark, at)) if at else None
+        rows = self._rows(spark, self._listing(spark, at), at) if at else None
         if rows is None:
             raise ValueError(f"no committed version under {self.path}")
         return rows
@@ -89,45 +102,47 @@ class KeyedTable:
         return max(done, default=0)
 
     def _part(self) -> Column:
-        return quoted(self.partition_col).cast("string").alias("_part")
+        """The partition's folder name: text after a mark, so that NULL, blank and any text differ."""
+        value = quoted(self.partition_col).cast("string")
+        return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), value)).alias("_part")
 
     def _listing(self, spark: SparkSession, version: int) -> DataFrame:
         return spark.read.schema("_part string, version int").parquet(f"{self.path}/versions/{version}")
 
-    def _files(self, spark: SparkSession, versions: list[int]) -> DataFrame:
-        """All rows written by ``versions``, stale ones included."""
-        folders = [f"{self.path}/data/version={v}" for v in versions]
-        stored = [f for f in spark.read.parquet(folders[-1]).schema.fields if f.name != "_part"]
-        schema = T.StructType([*stored, T.StructField("_part", T.StringType()),
-                               T.StructField("version", T.IntegerType())])
-        return spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
+    def _schema(self, spark: SparkSession, version: int) -> T.StructType:
+        """The table's columns as of a version."""
+        return T.StructType.fromJson(json.loads(spark.read.text(f"{self.path}/schemas/{version}").first()[0]))
 
-    def _rows(self, spark: SparkSession, listing: DataFrame) -> DataFrame | None:
-        """The rows of the listed partitions; the filter is on folder columns only, so it
-        prunes folders before any file is opened."""
-        held: dict[int, list[str | None]] = {}
+    def _rows(self, spark: SparkSession, listing: DataFrame, at: int) -> DataFrame | None:
+        """The rows of the listed partitions with the columns of version ``at``; the filter is
+        on folder columns only, so it prunes folders before any file is opened."""
+        held: dict[int, list[str]] = {}
         for entry in listing.toLocalIterator():  # one short entry per partition, no rows
             held.setdefault(entry["version"], []).append(entry["_part"])
         if not held:
             return None
         wanted = []
         for version, parts in held.items():
-            inside = F.col("_part").isin([p for p in parts if p is not None])
-            if None in parts:
-                inside = inside | F.col("_part").isNull()
-            wanted.append((F.col("version") == version) & inside)
-        rows = self._files(spark, sorted(held)).where(reduce(lambda a, b: a | b, wanted))
-        return rows.drop("version", "_part")
+            wanted.append((F.col("version") == version) & F.col("_part").isin(parts))
+        schema = T.StructType([*self._schema(spark, at).fields, T.StructField("_part", T.StringType()),
+                               T.StructField("version", T.IntegerType())])
+        folders = [f"{self.path}/data/version={v}" for v in sorted(held)]
+        rows = spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
+        return rows.where(reduce(lambda a, b: a | b, wanted)).drop("version", "_part")
 
     def _commit(self, rows: DataFrame, rest: DataFrame | None, version: int) -> int:
         spark = rows.sparkSession
         # rebalancing brings a partition's rows together, yet splits a large partition
         (rows.withColumn("_part", self._part()).hint("rebalance", "_part")
          .write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/data/version={version}"))
-        if not paths.folders(spark, f"{self.path}/data/version={version}", "_part=*"):
+        written = [unquote(name.removeprefix("_part=")) for name in
+                   paths.folders(spark, f"{self.path}/data/version={version}", "_part=*")]
+        if not written:
             raise ValueError("no rows to commit")
-        listing = self._files(spark, [version]).select("_part", "version").distinct()
+        columns = json.dumps(rows.schema.jsonValue())
+        spark.createDataFrame([(columns,)], "value string").write.mode("overwrite").text(f"{self.path}/schemas/{version}")
+        listing = spark.createDataFrame([(part, version) for part in written], "_part string, version int")
         if rest is not None:
             listing = listing.unionByName(rest)
-        listing.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/versions/{version}")
+        listing.write.mode("overwrite").parquet(f"{self.path}/versions/{version}")
         return version
