@@ -24,14 +24,19 @@ def read_sources(spark: SparkSession, settings: Mapping) -> dict[str, DataFrame]
             relational.get("suffix", "_parquet"), required=relational.get("required", ()),
             names=relational.get("names")),
         readers.read_json_feeds(spark, required(feeds, "base_path", "feeds"),
-                                feeds.get("files", {}), multi_line=feeds.get("multi_line", True)),
+                                feeds.get("files", {}), multi_line=feeds.get("multi_line", True),
+                                malformed=feeds.get("malformed", "fail")),
     )
 
 
 def build_layers(tables: Mapping[str, DataFrame], as_of: Column | date, run_ts: Column | datetime,
                  null_tokens: Sequence[str] = (), max_group_rows: int = MAX_GROUP_ROWS,
                  ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Silver and gold of ``tables`` as lazy frames, nothing written."""
+    """Silver and gold of ``tables`` as frames that no sink has been given yet.
+
+    Large groups are looked for while the plan is built, so jobs run and their rows are kept
+    in the shared folder.
+    """
     cleaned = clean.clean_tables(tables, run_ts, null_tokens)
     silver = star.build_star(enrich.enrich_tables(cleaned, as_of, tables, max_group_rows),
                              max_group_rows, tables)

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_layers.operators.columns import cast_timestamps, conform, parse_schema
+from retail_layers.operators.columns import cast_timestamps, conform, parse_schema, quoted
 from retail_layers.plans import schemas
+from retail_layers.scratch import keep
 from retail_layers.sources import paths
 
+REJECT = "_rejected_record"
+
 
 def discover_parquet(spark: SparkSession, base: str, suffix: str = "_parquet") -> dict[str, str]:
     """Table name to folder for every ``<name><suffix>`` folder under ``base``."""
@@ -37,6 +40,8 @@ def read_parquet_tables(spark: SparkSession, base: str, suffix: str = "_parquet"
     tables = {}
     for found, path in discover_parquet(spark, base, suffix).items():
         name = aliases.get(found, found)
+        if name in tables:
+            raise ValueError(f"two folders under {base} are table {name!r}")
         df = spark.read.parquet(path)
         tables[name] = conform(df, table_schemas[name]) if name in table_schemas else df
     missing = sorted(set(required) - tables.keys())
@@ -46,22 +51,49 @@ def read_parquet_tables(spark: SparkSession, base: str, suffix: str = "_parquet"
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-              multi_line: bool = True) -> DataFrame:
+              multi_line: bool = True, malformed: str = "fail") -> DataFrame:
     """A JSON feed: arrays over many lines, or one object per line (``multi_line=False``).
 
+    A record that is no JSON of the schema is an error; with ``malformed="reject"`` it is
+    left out, to be had from ``json_rejects``.
+
     Spark cannot split a file with an array in it; a feed that grows large should arrive
     as many files or as one object per line.
     """
-    reader = spark.read.option("multiLine", multi_line)
+    if malformed not in ("fail", "reject"):
+        raise ValueError(f"malformed must be fail or reject, not {malformed!r}")
+    if malformed == "reject" and schema is not None:
+        found = _with_rejects(spark, path, schema, multi_line)
+        # Spark refuses to filter on the rejected text alone, so the filter names another column too
+        also = F.hash(quoted(found.columns[0])) >= F.lit(-(1 << 31))
+        return found.where(F.col(REJECT).isNull() & also).drop(REJECT)
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST" if malformed == "fail" else "DROPMALFORMED")
     return (reader if schema is None else reader.schema(schema)).json(path)
 
 
+def json_rejects(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True) -> DataFrame:
+    """The records of a feed that are no JSON of ``schema``, as text in column ``record``."""
+    return keep(_with_rejects(spark, path, schema, multi_line).where(F.col(REJECT).isNotNull())).select(F.col(REJECT).alias("record"))
+
+
+def _with_rejects(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool) -> DataFrame:
+    declared = T.StructType([*parse_schema(schema).fields, T.StructField(REJECT, T.StringType())])
+    return (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", REJECT).schema(declared).json(path))
+
+
 def read_json_feeds(spark: SparkSession, base: str, files: Mapping[str, str],
                     feed_schemas: Mapping[str, str] = schemas.JSON_FEEDS,
-                    multi_line: bool = True) -> dict[str, DataFrame]:
-    """The feeds named in ``files`` (feed to path under ``base``); others are left out."""
+                    multi_line: bool = True, malformed: str = "fail") -> dict[str, DataFrame]:
+    """The feeds named in ``files`` (feed to path under ``base``); others are left out.
+
+    A name without a schema is an error, as it would otherwise be left out without a word.
+    """
+    unknown = sorted(set(files) - set(feed_schemas))
+    if unknown:
+        raise ValueError(f"unknown feeds: {unknown}")
     return {
-        name: read_json(spark, f"{base.rstrip('/')}/{files[name]}", schema, multi_line)
+        name: read_json(spark, f"{base.rstrip('/')}/{files[name]}", schema, multi_line, malformed)
         for name, schema in feed_schemas.items() if name in files
     }
 

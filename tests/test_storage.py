@@ -18,12 +18,12 @@ from retail_layers.sources import paths, readers, settings
 def test_tsv_types_flags_and_empty_fields(spark, folder):
     files = samples.write(folder)
     customer = readers.read_tsv(spark, files["customer"], schemas.RELATIONAL["customer"])
-    assert customer.where("customer_id = 3").select("date_of_birth", "gender").first() == (None, "NULL")
+    assert customer.where("customer_id = 23").select("date_of_birth", "gender").first() == (None, "NULL")
     address = readers.read_tsv(spark, files["customer_address"], schemas.RELATIONAL["customer_address"])
     assert [r["is_default"] for r in address.orderBy("customer_address_id").collect()] == [True, False, True, True]
-    assert address.first()["postal_code"] == "400001"
+    assert address.first()["postal_code"] == "022765"
     item = readers.read_tsv(spark, files["order_item"], schemas.RELATIONAL["order_item"]).orderBy("order_item_id").first()
-    assert (item["base_unit_price"], item["created_at"]) == (Decimal("15000.00"), datetime(2025, 11, 5, 10, 5))
+    assert (item["base_unit_price"], item["created_at"]) == (Decimal("500.00"), datetime(2024, 3, 4, 8, 16))
 
 
 def test_tsv_header_has_to_match(spark, tmp_path):
@@ -69,11 +69,11 @@ def test_json_feeds_read_only_what_is_named(spark, folder):
     feeds = readers.read_json_feeds(spark, f"{folder}/feeds", {"product_attributes": "product_attributes.json"})
     assert set(feeds) == {"product_attributes"}
     got = feeds["product_attributes"].orderBy("product_id").select(
-        F.try_variant_get("attributes", "$.ram_gb", "int").alias("ram"),
-        F.try_variant_get("attributes", "$.color_options[1]", "string").alias("color"),
-        F.try_variant_get("attributes", "$.size_chart.M.chest_cm", "int").alias("chest"),
-        F.try_variant_get("attributes", "$.keyboard_backlight", "boolean").alias("lit")).collect()
-    assert [tuple(r) for r in got] == [(8, "Blue", None, None), (16, None, None, True), (None, None, 96, None)]
+        F.try_variant_get("attributes", "$.weight_g", "int").alias("weight"),
+        F.try_variant_get("attributes", "$.flavours[1]", "string").alias("flavour"),
+        F.try_variant_get("attributes", "$.sizes.S.cm", "int").alias("cm"),
+        F.try_variant_get("attributes", "$.raw_milk", "boolean").alias("raw")).collect()
+    assert [tuple(r) for r in got] == [(1000, "malt", None, None), (7000, None, None, True), (None, None, 95, None)]
 
 
 def test_json_lines_and_inference(spark, tmp_path):
@@ -83,7 +83,30 @@ def test_json_lines_and_inference(spark, tmp_path):
     whole = tmp_path / "array.json"
     whole.write_text(json.dumps(samples.REVIEWS))
     inferred = readers.read_json(spark, str(whole))
-    assert set(inferred.schema["metadata"].dataType.names) == {"ip_address", "device", "browser"}
+    assert set(inferred.schema["metadata"].dataType.names) == {"shop_ip", "device", "browser"}
+
+
+def test_malformed_json_fails_or_is_set_apart(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text('{"a": 1, "b": "x"}\n{"a": 2, "b"\nnothing\n{"a": 3, "b": null}\n')
+    read = lambda **how: readers.read_json(spark, str(path), "a int, b string", multi_line=False, **how)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read().collect()
+    assert sorted(tuple(r) for r in read(malformed="reject").collect()) == [(1, "x"), (3, None)]
+    assert read(malformed="reject").count() == 2
+    rejects = readers.json_rejects(spark, str(path), "a int, b string", multi_line=False)
+    assert sorted(r["record"] for r in rejects.collect()) == ["nothing", '{"a": 2, "b"']
+    with pytest.raises(ValueError, match="clicks"):
+        readers.read_json_feeds(spark, str(tmp_path), {"clicks": "lines.json"})
+    with pytest.raises(ValueError, match="fail or reject"):
+        read(malformed="ignore")
+
+
+def test_two_folders_of_one_table_are_an_error(spark, folder):
+    for name in ("orders", "order"):
+        spark.range(1).write.parquet(f"{folder}/{name}_parquet")
+    with pytest.raises(ValueError, match="orders"):
+        readers.read_parquet_tables(spark, folder, names={"order": "orders"})
 
 
 def test_catalog_later_source_wins(spark):
