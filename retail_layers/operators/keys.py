@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 from retail_layers.operators.columns import quoted, sortable
 from retail_layers.operators.skew import (
-    MAX_BROADCAST_BYTES,
     MAX_GROUP_ROWS,
-    is_small,
     keys_above,
     matches,
     set_apart,
@@ -52,19 +50,17 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] |
     return first_per_group(df, keys, order_by) if order_by else df.dropDuplicates(list(keys))
 
 
-def dedup_rare(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None,
-               max_repeated_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def dedup_rare(df: DataFrame, keys: Sequence[str],
+               order_by: Sequence[Column | str] | None = None) -> DataFrame:
     """``dedup`` for tables whose keys hardly ever repeat, such as exported primary keys.
 
     A first pass over the key columns finds the repeated keys. Only their rows are
-    shuffled and ranked; all others pass straight through, so a wide table is not
-    shuffled at all. With more than ``max_repeated_bytes`` of them this is ``dedup``.
+    shuffled and ranked; all others pass straight through. As long as the list of
+    repeated keys is small it is broadcast, and the table is not shuffled at all.
     """
     repeated = keys_above(df, keys, 1, likely=True)
     if repeated is None:
         return df
-    if not is_small(repeated, max_repeated_bytes):
-        return dedup(df, keys, order_by)
     copies, single = set_apart(df, keys, repeated)
     return single.unionByName(dedup(copies, keys, order_by))
 
@@ -91,8 +87,7 @@ def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Colu
 
     in_large, others = set_apart(df, partition_by, large)
     wanted = -(-large.agg(F.sum("_rows")).first()[0] // max(max_group_rows, 1))
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = keep(in_large.repartitionByRange(max(2, min(wanted, most)), *group, *order_by)
+    slices = keep(in_large.repartitionByRange(max(2, wanted), *group, *order_by)
                   .withColumn("_slice", F.spark_partition_id()))
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

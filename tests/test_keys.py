@@ -48,7 +48,6 @@ def test_dedup_rare_equals_dedup_and_shuffles_no_single_rows(spark, rows):
     df = spark.createDataFrame(data, "a int, b int, p string")
     want = rows(keys.dedup(df, ["a", "b"]))
     assert rows(keys.dedup_rare(df, ["a", "b"])) == want
-    assert rows(keys.dedup_rare(df, ["a", "b"], max_repeated_bytes=1)) == want
     unique = spark.range(50).selectExpr("id as k", "id as v")
     assert keys.dedup_rare(unique, ["k"]) is unique
 
