@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_layers.llm import decontaminate, language, mixing, neardup, neighbours, pages, quality, quotes, repeats, secrets
+from retail_layers.llm import decontaminate, language, mixing, neardup, neighbours, pages, quality, quotes, repeats, secrets, sql
 from retail_layers.llm.common import held_out, table
 
 
@@ -71,4 +71,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_neighbours, op2_quotes, op3_repeats, op4_pages, op5_quality, op6_language, op7_mixing, op8_secrets, op9_neardup, op10_decontamination)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_mixing": sql.MIXING, "op10_decontamination": sql.DECONTAMINATION}

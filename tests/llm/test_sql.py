@@ -1,0 +1,13 @@
+"""Queries that SQL can express against their SQL."""
+
+import pytest
+
+import oracle
+from retail_layers.llm import queries
+
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_agrees_with_sql(spark, name):
+    assert oracle.difference(queries.QUERIES[name](spark, SF01), oracle.connect(SF01), queries.ORACLE[name]) is None
