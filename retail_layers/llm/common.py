@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +37,14 @@ def release(spark: SparkSession) -> None:
     may be long after the files were last needed.
     """
     spark.sparkContext._jvm.System.gc()
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``.
+
+    Spark sends thousands of texts at a time; turning a few of them into Python objects at
+    once keeps a worker's memory near the batch itself.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

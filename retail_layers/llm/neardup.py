@@ -32,7 +32,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_layers.llm.common import free_name, release
+from retail_layers.llm.common import free_name, release, sliced
 from retail_layers.scratch import keep
 
 SHINGLE = 5
@@ -119,20 +119,19 @@ def unpack(packed: bytes) -> np.ndarray:
 def signatures(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, node (None without a set) and its band keys."""
 
-    @F.pandas_udf("n bigint, node bigint, bands array<bigint>")
-    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = Hashing()
-        for texts in batches:
-            out = []
-            for t in texts:
-                s = h.shingles(t)
-                out.append((len(s), set_id(s), h.band_keys(s)) if len(s) else (0, 0, []))
-            yield pd.DataFrame(out, columns=["n", "node", "bands"])
+        for batch in sliced(batches):
+            sets = [h.shingles(t) for t in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("text_hash"), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([set_id(x) if len(x) else None for x in sets], pa.int64()),
+                pa.array([h.band_keys(x) if len(x) else [] for x in sets], pa.list_(pa.int64())),
+            ], ["doc_id", "text_hash", "n_shingles", "node", "bands"])
 
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                            signed.asNondeterministic()(F.col(text)).alias("_s"))
-    return rows.select("doc_id", "text_hash", F.col("_s.n").alias("n_shingles"),
-                       F.when(F.col("_s.n") > 0, F.col("_s.node")).alias("node"), F.col("_s.bands").alias("bands"))
+                            F.col(text).cast("string").alias("_text"))
+    return rows.mapInArrow(signed, "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, bands array<bigint>")
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,20 +378,20 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _sets(documents: DataFrame, doc_id: str, text: str, sources: DataFrame) -> DataFrame:
     """node, n, members of the wanted nodes, from one document of each."""
-    texts = documents.select(F.col(doc_id).cast("bigint").alias("_id"), F.col(text).alias("_text"))
+    texts = documents.select(F.col(doc_id).cast("bigint").alias("_id"), F.col(text).cast("string").alias("_text"))
     picked = texts.join(sources, texts["_id"].eqNullSafe(sources["_id"])).select("node", "_text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = Hashing()
-        for batch in batches:
-            out = []
-            for node, t in zip(batch["node"], batch["_text"]):
-                s = h.shingles(t)
-                if len(s) and set_id(s) == node:  # the id may have other texts too
-                    out.append((node, len(s), pack(s)))
-            yield pd.DataFrame(out, columns=["node", "n", "members"])
-
-    return picked.mapInPandas(run, "node bigint, n bigint, members binary").groupBy("node").agg(
+        for batch in sliced(batches):
+            sets = zip(batch.column("node").to_pylist(), map(h.shingles, batch.column("_text").to_pylist()))
+            # the id may have other texts too
+            found = [(node, len(x), pack(x)) for node, x in sets if len(x) and set_id(x) == node]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))],
+                ["node", "n", "members"])
+
+    return picked.mapInArrow(run, "node bigint, n bigint, members binary").groupBy("node").agg(
         F.first("n").alias("n"), F.first("members").alias("members"))
 
 

@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_layers.llm.common import fold
+from retail_layers.llm.common import fold, sliced
 
 FEATURES = (
     "log_words", "word_length", "letters", "upper", "digits", "symbols", "marks", "distinct_words",
@@ -213,9 +214,12 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_
 def score(text: Column, model: AdditiveModel) -> Column:
     """The score of each whole text as a column; the model travels with the function."""
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        x = np.array([text_features(t) for t in texts], float).reshape(len(texts), len(FEATURES))
-        return pd.Series(model.score(x))
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        out = [np.zeros(0)]
+        for part in sliced([pa.RecordBatch.from_arrays([texts], ["text"])]):
+            x = [text_features(t) for t in part.column(0).to_pylist()]
+            out.append(model.score(np.array(x, float).reshape(len(x), len(FEATURES))))
+        return pa.array(np.concatenate(out))
 
     return scored.asNondeterministic()(text)
