@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,20 @@ from retail_layers.sources import readers
 from retail_layers.sources.settings import required
 
 
+SESSION_ZONE = "spark.sql.session.timeZone"
+
+
+@contextmanager
+def session_zone(spark: SparkSession, zone: str) -> Iterator[None]:
+    """The session's time zone is ``zone`` for a while."""
+    before = spark.conf.get(SESSION_ZONE)
+    spark.conf.set(SESSION_ZONE, zone)
+    try:
+        yield
+    finally:
+        spark.conf.set(SESSION_ZONE, before)
+
+
 def read_sources(spark: SparkSession, settings: Mapping) -> dict[str, DataFrame]:
     """The tables of the ``relational`` and ``feeds`` sections as one catalog."""
     relational = required(settings, "relational", "settings")
@@ -34,6 +49,8 @@ def build_layers(tables: Mapping[str, DataFrame], as_of: Column | date, run_ts:
                  ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Silver and gold of ``tables`` as frames that no sink has been given yet.
 
+    Days of instants follow the session's time zone; ``run`` fixes it.
+
     Large groups are looked for while the plan is built, so jobs run and their rows are kept
     in the shared folder.
     """
@@ -45,26 +62,30 @@ def build_layers(tables: Mapping[str, DataFrame], as_of: Column | date, run_ts:
 
 def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Column | datetime,
         null_tokens: Sequence[str] = (), max_group_rows: int = MAX_GROUP_ROWS,
-        rare_duplicates: bool = True) -> dict[str, int]:
+        rare_duplicates: bool = True, zone: str = "UTC") -> dict[str, int]:
     """Read, clean, enrich, write silver, write gold; rows written per table.
 
     Silver is written in two steps and read back in between: tables that need
     ``fact_orders`` or ``dim_product``, and then the marts, scan what was written. Each
     stage therefore runs once, and gold always agrees with the silver on storage.
+
+    Text without an offset is read, and days are cut, in ``zone``, whatever the session's
+    time zone is; that one is back in force when the run ends.
     """
     silver_sink = required(settings, "silver", "settings")
     gold_sink = required(settings, "gold", "settings")
     if sink_kind(silver_sink, "silver") == "jdbc":
         raise ValueError("silver is read back for gold and so needs a folder or catalog sink")
     sink_kind(gold_sink, "gold")
-    tables = read_sources(spark, settings)
-    cleaned = clean.clean_tables(tables, run_ts, null_tokens, rare_duplicates)
-    enriched = enrich.enrich_tables(cleaned, as_of, tables, max_group_rows)
-
-    base = star.base_tables(enriched)
-    rows = write_tables(base, silver_sink)
-    written = read_back(spark, base, silver_sink)
-    dependent = star.dependent_tables(enriched, written, max_group_rows, tables)
-    rows |= write_tables(dependent, silver_sink)
-    written |= read_back(spark, dependent, silver_sink)
-    return rows | write_tables(marts.build_marts(written, unique_orders=True), gold_sink)
+    with session_zone(spark, zone):
+        tables = read_sources(spark, settings)
+        cleaned = clean.clean_tables(tables, run_ts, null_tokens, rare_duplicates)
+        enriched = enrich.enrich_tables(cleaned, as_of, tables, max_group_rows)
+
+        base = star.base_tables(enriched)
+        rows = write_tables(base, silver_sink)
+        written = read_back(spark, base, silver_sink)
+        dependent = star.dependent_tables(enriched, written, max_group_rows, tables)
+        rows |= write_tables(dependent, silver_sink)
+        written |= read_back(spark, dependent, silver_sink)
+        return rows | write_tables(marts.build_marts(written, unique_orders=True), gold_sink)

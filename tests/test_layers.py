@@ -213,6 +213,20 @@ def test_results_do_not_depend_on_settings(spark, shop, lazy, conf, rows, partit
     assert {n: rows(df) for n, df in gold.items()} == want
 
 
+def test_run_does_not_follow_the_session_zone(spark, shop, written, conf, rows, tmp_path):
+    want = {n: rows(read(spark, shop, "gold", n)) for n in written if n.startswith("gold_")}
+
+    def gold(name, **args):
+        sinks = {layer: {"base_path": str(tmp_path / name / layer)} for layer in ("silver", "gold")}
+        layers.run(spark, shop | sinks, AS_OF, RUN, null_tokens=["NULL"], **args)
+        return {n: rows(read(spark, sinks, "gold", n)) for n in want}
+
+    conf(spark__sql__session__timeZone="America/Los_Angeles")
+    assert gold("west") == want
+    assert spark.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
+    assert gold("east", zone="Pacific/Kiritimati") != want
+
+
 def test_command_line(spark, shop, written, tmp_path, capsys):
     sinks = {layer: {"base_path": str(tmp_path / layer)} for layer in ("silver", "gold")}
     config = tmp_path / "settings.json"
