@@ -17,6 +17,9 @@ from retail_layers.operators.skew import (
 )
 from retail_layers.scratch import keep
 
+# Names under which a table may hold the time of its rows' last update; the first one found counts.
+UPDATE_COLUMNS = ("updated_at", "last_updated_at")
+
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with every key present, as plain filters that reach the file scan."""
@@ -39,14 +42,23 @@ def tie_break(df: DataFrame, key: str, used: Sequence[str]) -> list[Column]:
     return [sortable(df, c).asc_nulls_first() for c in rest]
 
 
+def newest_first(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """A total order of the rows of one key: the last update first, then all other columns, NULLs last."""
+    rest = [c for c in df.columns if c not in keys]
+    when = [c for c in UPDATE_COLUMNS if c in rest][:1]
+    return [*[quoted(c).desc_nulls_last() for c in when],
+            *[sortable(df, c).asc_nulls_last() for c in rest if c not in when]]
+
+
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None) -> DataFrame:
     """One row per key (NULL keys are one key), the least by ``order_by``.
 
-    Without ``order_by`` every other column takes part in order, NULLs first, so rows
-    that still tie are equal and the result does not depend on their placement.
+    Without ``order_by`` the row updated last stays; every other column takes part in
+    order, NULLs last, so rows that still tie are equal and the result does not depend on
+    their placement.
     """
     if order_by is None:
-        order_by = [sortable(df, c).asc_nulls_first() for c in df.columns if c not in keys]
+        order_by = newest_first(df, keys)
     return first_per_group(df, keys, order_by) if order_by else df.dropDuplicates(list(keys))
 
 

@@ -22,7 +22,9 @@ def clamp(dtype: str, *cols: str) -> str:
 
 
 def one_per_key(source: str, keys: str, others: str, required: str | None = None) -> str:
-    order = ", ".join(f"{c.strip()} asc nulls first" for c in others.split(","))
+    names = [c.strip() for c in others.split(",")]
+    when = [c for c in names if c in ("updated_at", "last_updated_at")]
+    order = ", ".join([f"{c} desc nulls last" for c in when] + [f"{c} asc nulls last" for c in names if c not in when])
     present = " and ".join(f"{k.strip()} is not null" for k in (required or keys).split(","))
     return (f"select * from {source} where {present} "
             f"qualify row_number() over (partition by {keys} order by {order}) = 1")

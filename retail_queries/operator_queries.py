@@ -100,7 +100,7 @@ LINE_COLUMNS = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_di
 @query(f"""
     select * from lineitem where l_orderkey is not null and l_linenumber is not null
     qualify row_number() over (partition by l_orderkey, l_linenumber
-                               order by {', '.join(f'{c} asc nulls first' for c in LINE_COLUMNS)}) = 1""")
+                               order by {', '.join(f'{c} asc nulls last' for c in LINE_COLUMNS)}) = 1""")
 def dedup_by_key(spark, sf):
     lines = table(spark, sf, "lineitem")
     return keys.dedup(keys.require_keys(lines, ["l_orderkey", "l_linenumber"]), ["l_orderkey", "l_linenumber"])
