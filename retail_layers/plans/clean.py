@@ -7,11 +7,13 @@ runs its steps, loses rows without a key and keeps one row per key.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from decimal import Decimal
 from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,8 +92,14 @@ def clean_rating(df: DataFrame, col: str = "rating", low: int = RATING_RANGE[0],
     return clip_range(flagged, col, low, high)
 
 
-def limit_text(df: DataFrame, col: str = "review_text", max_length: int = MAX_REVIEW_CHARS) -> DataFrame:
-    """Trim, flag over-long text, then cut it to ``max_length`` characters."""
+def limit_text(df: DataFrame, col: str = "review_text", max_length: int | None = MAX_REVIEW_CHARS) -> DataFrame:
+    """Trim, flag over-long text, then cut it to ``max_length`` characters; None keeps it whole."""
+    if max_length is None:
+        return derive(
+            df,
+            Rule(col, (col,), lambda: text.trimmed(F.col(col))),
+            Rule(f"{col}_was_truncated", (col,), lambda: F.lit(False)),
+        )
     return derive(
         df,
         Rule(col, (col,), lambda: text.trimmed(F.col(col))),
@@ -145,23 +153,35 @@ RULES: dict[str, TableRules] = {
 
 
 def clean_table(name: str, df: DataFrame, run_ts: Column | datetime,
-                null_tokens: Sequence[str] = (), rare_duplicates: bool = False) -> DataFrame:
+                null_tokens: Sequence[str] = (), rare_duplicates: bool = False,
+                max_review_chars: int | None = MAX_REVIEW_CHARS) -> DataFrame:
     """Clean one table by the rules for ``name``, or generically when there are none.
 
     ``rare_duplicates`` says that keys hardly ever repeat, as with tables exported from
     a database that enforces them; the result is the same, the wide shuffle is saved.
+    Texts of reviews are cut to ``max_review_chars`` characters; None keeps them whole.
     """
     df = generic_clean(df, run_ts, null_tokens)
     rules = RULES.get(name)
     if rules is None:
         return df
     for step in rules.steps:
-        df = step(df)
+        df = step(df, max_length=max_review_chars) if step is limit_text else step(df)
     keep_one = dedup_rare if rare_duplicates else dedup
     return keep_one(require_keys(df, rules.required or rules.keys), rules.keys)
 
 
 def clean_tables(tables: Mapping[str, DataFrame], run_ts: Column | datetime,
-                 null_tokens: Sequence[str] = (), rare_duplicates: bool = False) -> dict[str, DataFrame]:
-    return {name: clean_table(name, df, run_ts, null_tokens, rare_duplicates)
-            for name, df in tables.items()}
+                 null_tokens: Sequence[str] = (), rare_duplicates: bool = False,
+                 max_review_chars: int | None = MAX_REVIEW_CHARS, at_once: int = 4) -> dict[str, DataFrame]:
+    """Every table cleaned. With ``rare_duplicates`` repeated keys are looked for while the
+    plans are built, up to ``at_once`` tables side by side."""
+    def one(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
+        name, df = item
+        return name, clean_table(name, df, run_ts, null_tokens, rare_duplicates, max_review_chars)
+
+    if not tables or not rare_duplicates:
+        return dict(map(one, tables.items()))
+    session = next(iter(tables.values())).sparkSession
+    with ThreadPoolExecutor(max_workers=min(at_once, len(tables))) as pool:
+        return dict(pool.map(inheritable_thread_target(session)(one), tables.items()))

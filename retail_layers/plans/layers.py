@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from retail_layers.operators.skew import MAX_GROUP_ROWS
 from retail_layers.plans import clean, enrich, marts, star
+from retail_layers.plans.clean import MAX_REVIEW_CHARS
 from retail_layers.sinks.writers import read_back, sink_kind, write_tables
 from retail_layers.sources import readers
 from retail_layers.sources.settings import required
@@ -62,7 +63,8 @@ def build_layers(tables: Mapping[str, DataFrame], as_of: Column | date, run_ts:
 
 def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Column | datetime,
         null_tokens: Sequence[str] = (), max_group_rows: int = MAX_GROUP_ROWS,
-        rare_duplicates: bool = True, zone: str = "UTC") -> dict[str, int]:
+        rare_duplicates: bool = True, zone: str = "UTC",
+        max_review_chars: int | None = MAX_REVIEW_CHARS, typed_keys: bool = False) -> dict[str, int]:
     """Read, clean, enrich, write silver, write gold; rows written per table.
 
     Silver is written in two steps and read back in between: tables that need
@@ -70,7 +72,8 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
     stage therefore runs once, and gold always agrees with the silver on storage.
 
     Text without an offset is read, and days are cut, in ``zone``, whatever the session's
-    time zone is; that one is back in force when the run ends.
+    time zone is; that one is back in force when the run ends. ``max_review_chars`` cuts
+    the texts of reviews (None: not at all); ``typed_keys`` turns the feeds' text keys into numbers.
     """
     silver_sink = required(settings, "silver", "settings")
     gold_sink = required(settings, "gold", "settings")
@@ -79,10 +82,10 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
     sink_kind(gold_sink, "gold")
     with session_zone(spark, zone):
         tables = read_sources(spark, settings)
-        cleaned = clean.clean_tables(tables, run_ts, null_tokens, rare_duplicates)
+        cleaned = clean.clean_tables(tables, run_ts, null_tokens, rare_duplicates, max_review_chars)
         enriched = enrich.enrich_tables(cleaned, as_of, tables, max_group_rows)
 
-        base = star.base_tables(enriched)
+        base = star.base_tables(enriched, typed_keys)
         rows = write_tables(base, silver_sink)
         written = read_back(spark, base, silver_sink)
         dependent = star.dependent_tables(enriched, written, max_group_rows, tables)

@@ -168,8 +168,9 @@ def fact_product_reviews(reviews: DataFrame, typed_keys: bool = False) -> DataFr
     return project(reviews, FACT_PRODUCT_REVIEWS)
 
 
-def base_tables(enriched: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The star tables that read no other star table, for whichever sources exist."""
+def base_tables(enriched: Mapping[str, DataFrame], typed_keys: bool = False) -> dict[str, DataFrame]:
+    """The star tables that read no other star table, for whichever sources exist.
+    ``typed_keys`` gives the text keys of the feeds the dimensions' key type."""
     star: dict[str, DataFrame] = {}
     if "orders" in enriched:
         star["fact_orders"] = fact_orders(enriched["orders"])
@@ -183,7 +184,7 @@ def base_tables(enriched: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     if "payment" in enriched:
         star["fact_payments"] = fact_payments(enriched["payment"])
     if "product_reviews" in enriched:
-        star["fact_product_reviews"] = fact_product_reviews(enriched["product_reviews"])
+        star["fact_product_reviews"] = fact_product_reviews(enriched["product_reviews"], typed_keys)
     return star
 
 
@@ -205,8 +206,8 @@ def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataF
 
 
 def build_star(enriched: Mapping[str, DataFrame], max_key_rows: int | None = MAX_GROUP_ROWS,
-               raw: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+               raw: Mapping[str, DataFrame] | None = None, typed_keys: bool = False) -> dict[str, DataFrame]:
     """All star tables as one set of lazy frames. Orders with more than ``max_key_rows``
     lines are set apart; ``raw`` holds the tables before cleaning, to find those on."""
-    star = base_tables(enriched)
+    star = base_tables(enriched, typed_keys)
     return star | dependent_tables(enriched, star, max_key_rows, raw)

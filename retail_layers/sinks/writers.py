@@ -7,7 +7,7 @@ A sink is a mapping that names one of three targets: ``base_path`` alone (folder
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -46,7 +46,8 @@ def jdbc_options(jdbc: Mapping, table: str) -> dict[str, str]:
     for extra in ("driver", "numPartitions", "batchsize"):
         if extra in jdbc:
             options[extra] = str(jdbc[extra])
-    return options
+    # any other option of the writer, such as truncate or isolationLevel; none replaces the above
+    return {k: str(v) for k, v in jdbc.get("options", {}).items()} | options
 
 
 def write_table(df: DataFrame, name: str, sink: Mapping) -> int:
@@ -108,6 +109,14 @@ def read_back(spark: SparkSession, tables: Mapping[str, DataFrame], sink: Mappin
             for n, df in tables.items()}
 
 
+def stored(spark: SparkSession, names: Sequence[str], sink: Mapping) -> dict[str, DataFrame]:
+    """The named tables of a folder or catalog sink with whatever columns they have."""
+    if sink_kind(sink) == "catalog":
+        return {n: spark.table(f"{sink['catalog_db']}.{sink.get('table_prefix', '')}{n}") for n in names}
+    reader, base = spark.read.format(sink.get("format", "parquet")), sink["base_path"].rstrip("/")
+    return {n: reader.load(f"{base}/{n}") for n in names}
+
+
 def tsv_to_parquet(spark: SparkSession, files: Mapping[str, str], base: str,
                    table_schemas: Mapping[str, str] | None = None, suffix: str = "_parquet",
                    at_once: int = 4) -> dict[str, int]:
