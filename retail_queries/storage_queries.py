@@ -4,18 +4,29 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_layers.operators import upsert as merging
+from retail_layers.operators.joins import lookup_left
+from retail_layers.plans import layers
 from retail_layers.scratch import scratch_path
 from retail_layers.sinks import writers
 from retail_layers.sinks.versioned import KeyedTable
 from retail_layers.sources import readers
-from retail_queries.layer_queries import cleaned, flat_metadata, FLAT_METADATA_SQL
-from retail_queries.layer_sql import layer
-from retail_queries.shapes import table
+from retail_queries.layer_queries import (
+    AS_OF_DATE,
+    FLAT_METADATA_SQL,
+    MART_SOURCES,
+    SOURCES,
+    cleaned,
+    flat_metadata,
+    run_time,
+)
+from retail_queries.layer_sql import layer, with_ctes
+from retail_queries.shapes import SHAPES, raw, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +34,8 @@ ORACLE: dict[str, str] = {}
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
          "embeddings", "pages", "benchmark", "labels", "conversations")
 
+FEEDS = ("product_reviews", "product_attributes")
+
 # --- upsert: orders as the base; one batch with new, changed, stale, moved and repeated keys ---
 
 BATCH = (
@@ -128,33 +141,39 @@ def roundtrip_parquet(spark: SparkSession, sf: str) -> DataFrame:
     found = readers.read_parquet_tables(
         spark, base, table_schemas={"orders": "o_orderkey bigint, o_custkey int, o_totalprice decimal(12,2)"},
         required=["orders", "customer"])
-    return found["orders"]
+    names = found["customer"].select(F.col("c_custkey").cast("int").alias("o_custkey"), "c_name", "c_mktsegment", "c_acctbal")
+    return found["orders"].join(names, "o_custkey", "left")
 
 
 QUERIES["roundtrip_parquet"] = roundtrip_parquet
 ORACLE["roundtrip_parquet"] = """
     select o_orderkey, cast(o_custkey as int) as o_custkey, o_orderstatus,
-           cast(o_totalprice as decimal(12,2)) as o_totalprice, o_orderdate, o_orderpriority from orders"""
+           cast(o_totalprice as decimal(12,2)) as o_totalprice, o_orderdate, o_orderpriority,
+           c_name, c_mktsegment, c_acctbal from orders left join customer on c_custkey = o_custkey"""
 
 
 def tsv_to_parquet(spark: SparkSession, sf: str) -> DataFrame:
     """A tab-separated export with a header and empty fields, converted and read back."""
     base = scratch_path(spark, "tsv")
     exported = table(spark, sf, "lineitem").selectExpr(
-        "l_orderkey", "l_linenumber", "cast(l_extendedprice as decimal(12,2)) as l_extendedprice",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "cast(l_quantity as decimal(12,2)) as l_quantity",
+        "cast(l_extendedprice as decimal(12,2)) as l_extendedprice",
+        "cast(l_discount as decimal(4,2)) as l_discount", "cast(l_tax as decimal(4,2)) as l_tax",
         "nullif(l_returnflag, 'N') as l_returnflag", "int(l_linestatus = 'F') as is_final",
         "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') as l_shipdate")
     exported.write.csv(f"{base}/export", sep="\t", header=True, nullValue="")
     writers.tsv_to_parquet(spark, {"lines": f"{base}/export"}, f"{base}/out", {
-        "lines": "l_orderkey bigint, l_linenumber int, l_extendedprice decimal(12,2), l_returnflag string, "
+        "lines": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity decimal(12,2), "
+                 "l_extendedprice decimal(12,2), l_discount decimal(4,2), l_tax decimal(4,2), l_returnflag string, "
                  "is_final boolean, l_shipdate timestamp_ntz"})
     return readers.read_parquet_tables(spark, f"{base}/out")["lines"]
 
 
 QUERIES["tsv_to_parquet"] = tsv_to_parquet
 ORACLE["tsv_to_parquet"] = """
-    select l_orderkey, l_linenumber, cast(l_extendedprice as decimal(12,2)) as l_extendedprice,
-           nullif(l_returnflag, 'N') as l_returnflag, l_linestatus = 'F' as is_final, l_shipdate from lineitem"""
+    select l_orderkey, cast(l_partkey as bigint) as l_partkey, cast(l_suppkey as bigint) as l_suppkey, l_linenumber,
+           cast(l_quantity as decimal(12,2)) as l_quantity, cast(l_extendedprice as decimal(12,2)) as l_extendedprice,
+           cast(l_discount as decimal(4,2)) as l_discount, cast(l_tax as decimal(4,2)) as l_tax, nullif(l_returnflag, 'N') as l_returnflag, l_linestatus = 'F' as is_final, l_shipdate from lineitem"""
 
 
 def json_variant_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -182,16 +201,22 @@ ORACLE["json_variant_scan"] = """
 def json_feeds(spark: SparkSession, sf: str) -> DataFrame:
     """Feeds by name: those the settings leave out are not read."""
     base = scratch_path(spark, "feeds")
-    reviews = cleaned(spark, sf, "product_reviews").select("review_id", "product_id", "rating", "helpful_votes", "review_title")
+    reviews = cleaned(spark, sf, "product_reviews").select(
+        "review_id", "product_id", "rating", "helpful_votes", "review_title", "review_text", "metadata",
+        F.date_format("review_date", "yyyy-MM-dd HH:mm:ss").alias("review_date"))
     reviews.write.json(f"{base}/product_reviews")
-    return readers.read_json_feeds(
+    return flat_metadata(readers.read_json_feeds(
         spark, base, {"product_reviews": "product_reviews"},
-        {"product_reviews": "review_id string, product_id string, rating int, helpful_votes int, review_title string",
-         "product_attributes": "product_id string"}, multi_line=False)["product_reviews"]
+        {"product_reviews": "review_id string, product_id string, rating int, helpful_votes int, review_title string, "
+                            "review_text string, metadata struct<lang: string, source: string>, review_date string",
+         "product_attributes": "product_id string"}, multi_line=False)["product_reviews"])
 
 
 QUERIES["json_feeds"] = json_feeds
-ORACLE["json_feeds"] = layer("clean_product_reviews", "review_id, product_id, rating, helpful_votes, review_title")
+ORACLE["json_feeds"] = layer(
+    "clean_product_reviews", "review_id, product_id, rating, helpful_votes, review_title, review_text, "
+    "metadata.lang as metadata_lang, metadata.source as metadata_source, "
+    "strftime(review_date, '%Y-%m-%d %H:%M:%S') as review_date")
 
 
 def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -230,10 +255,60 @@ ORACLE["rows_written"] = ORACLE["row_counts"]
 
 def one_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """Two sources under one set of names, the later one winning where names repeat."""
-    tables = readers.catalog({"orders": table(spark, sf, "customer"), "nation": table(spark, sf, "nation")},
+    tables = readers.catalog({"orders": table(spark, sf, "customer"), "nation": table(spark, sf, "nation"),
+                              "customer": table(spark, sf, "customer")},
                              {"orders": table(spark, sf, "orders")})
-    return tables["orders"].select("o_orderkey", F.lit(len(tables)).alias("tables"))
+    keys = [df.select(F.lit(name).alias("table_name"), F.col(df.columns[0]).cast("bigint").alias("key"))
+            for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, keys)
 
 
 QUERIES["one_catalog"] = one_catalog
-ORACLE["one_catalog"] = "select o_orderkey, cast(2 as int) as tables from orders"
+ORACLE["one_catalog"] = """
+    select 'orders' as table_name, cast(o_orderkey as bigint) as key from orders
+    union all select 'nation', n_nationkey from nation union all select 'customer', c_custkey from customer"""
+
+
+def literal_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A small table of literals with days and times, looked up by every order."""
+    states = readers.from_rows(
+        spark, [("F", "final", "1992-01-01", "1992-01-01 08:30:00"), ("O", "open", "no day", None)],
+        ["state", "state_name", "valid_from", "loaded_at"], timestamps=["loaded_at"], days=["valid_from"])
+    loaded = states.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("state"))
+    return lookup_left(orders, loaded, "state", ["state_name", "valid_from", "loaded_at"])
+
+
+QUERIES["literal_rows"] = literal_rows
+ORACLE["literal_rows"] = """
+    select o_orderkey, o_orderstatus as state, case o_orderstatus when 'F' then 'final' when 'O' then 'open' end as state_name,
+           case when o_orderstatus = 'F' then date '1992-01-01' end as valid_from,
+           case when o_orderstatus = 'F' then timestamp '1992-01-01 08:30:00' end as loaded_at from orders"""
+
+
+def whole_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Exports and feeds written, all layers built from them by one run; every table it wrote with
+    its rows as counted by the run and as found again."""
+    base = scratch_path(spark, "run")
+    exported = [name for name in SHAPES if name not in FEEDS]
+    writers.write_tables({f"{name}_parquet": raw(spark, sf, name) for name in exported}, {"base_path": f"{base}/raw"})
+    for name in FEEDS:
+        raw(spark, sf, name).write.json(f"{base}/feeds/{name}")
+    settings = {
+        "relational": {"base_path": f"{base}/raw", "required": exported},
+        "feeds": {"base_path": f"{base}/feeds", "files": {name: name for name in FEEDS}, "multi_line": False},
+        "silver": {"base_path": f"{base}/silver", "partition_by": {"fact_payments": ["payment_method_code"]}},
+        "gold": {"base_path": f"{base}/gold"},
+    }
+    counted = layers.run(spark, settings, AS_OF_DATE, run_time())
+    found = reduce(DataFrame.unionByName, [
+        writers.summary(writers.stored(spark, [n for n in counted if n.startswith("gold_") == (layer_name == "gold")],
+                                       settings[layer_name])) for layer_name in ("silver", "gold")])
+    reported = F.create_map(*[F.lit(x) for pair in sorted(counted.items()) for x in pair])
+    return found.select("table_name", "row_count", reported[F.col("table_name")].cast("bigint").alias("rows_written"))
+
+
+QUERIES["whole_run"] = whole_run
+ORACLE["whole_run"] = with_ctes(" union all ".join(
+    f"select '{name}' as table_name, count(*) as row_count, count(*) as rows_written from {name}"
+    for name in (*SOURCES, *MART_SOURCES)))
