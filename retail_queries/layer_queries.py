@@ -42,18 +42,16 @@ def cleaned(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return clean.clean_table(name, raw(spark, sf, name), run_time())
 
 
-def enriched(spark: SparkSession, sf: str, name: str, source: DataFrame | None = None,
-             rare_duplicates: bool = False) -> DataFrame:
-    source = raw(spark, sf, name) if source is None else source
-    tidy = clean.clean_table(name, source, run_time(), rare_duplicates=rare_duplicates)
-    return enrich.enrich_table(name, tidy, AS_OF_DATE, sizes=source)
+def enriched(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    source = raw(spark, sf, name)
+    return enrich.enrich_table(name, clean.clean_table(name, source, run_time()), AS_OF_DATE, sizes=source)
 
 
 def star_tables(spark: SparkSession, sf: str, sources: tuple[str, ...]) -> dict[str, DataFrame]:
     """Star tables by the way a whole run takes: only repeated keys are shuffled to be made unique."""
     given = {name: raw(spark, sf, name) for name in sources}
-    return star.build_star({name: enriched(spark, sf, name, df, rare_duplicates=True) for name, df in given.items()},
-                           raw=given)
+    cleaned_tables = clean.clean_tables(given, run_time(), rare_duplicates=True)
+    return star.build_star(enrich.enrich_tables(cleaned_tables, AS_OF_DATE, given), raw=given)
 
 
 def star_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
