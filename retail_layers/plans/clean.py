@@ -98,7 +98,7 @@ def limit_text(df: DataFrame, col: str = "review_text", max_length: int | None =
         return derive(
             df,
             Rule(col, (col,), lambda: text.trimmed(F.col(col))),
-            Rule(f"{col}_was_truncated", (col,), lambda: F.lit(False)),
+            Rule(f"{col}_was_truncated", (col,), lambda: F.when(F.col(col).isNotNull(), F.lit(False))),
         )
     return derive(
         df,

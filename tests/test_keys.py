@@ -35,6 +35,14 @@ def test_dedup_keeps_the_least_row_and_treats_null_keys_as_one(spark, rows):
     assert rows(keys.dedup(df.select("k"), ["k"])) == [(None,), (1,)]
 
 
+def test_dedup_keeps_the_last_update_and_the_fullest_of_equals(spark, rows):
+    df = spark.createDataFrame(
+        [(1, None, 2020), (1, "Ann", 2025), (2, None, 7), (2, "Bo", 7), (3, "Cy", None), (3, "Di", 1)],
+        "k int, name string, updated_at int")
+    assert rows(keys.dedup(df, ["k"])) == [(1, "Ann", 2025), (2, "Bo", 7), (3, "Di", 1)]
+    assert rows(keys.dedup_rare(df, ["k"])) == rows(keys.dedup(df, ["k"]))
+
+
 def test_top_one_is_cut_before_the_exchange(spark):
     df = spark.range(100).selectExpr("id % 3 as k", "id as v")
     shown = plan(keys.first_per_group(df, ["k"], ["v"]))

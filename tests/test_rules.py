@@ -67,6 +67,13 @@ def test_review_text_is_cut_by_characters(spark):
     out = clean.limit_text(df)
     assert [None if v is None else len(v) for v in column(out, "review_text")] == [4999, 5000, 5000, None]
     assert column(out, "review_text_was_truncated") == [False, False, True, None]
+    whole = clean.limit_text(df, max_length=None)
+    assert [None if v is None else len(v) for v in column(whole, "review_text")] == [4999, 5000, 5001, None]
+    assert column(whole, "review_text_was_truncated") == [False, False, False, None]
+    reviews = df.selectExpr("concat('r', coalesce(length(review_text), 0)) as review_id", "review_text")
+    for limit, longest in ((None, 5001), (7, 7)):
+        cut = clean.clean_table("product_reviews", reviews, RUN, max_review_chars=limit)
+        assert max(len(v) for v in column(cut, "review_text") if v) == longest
 
 
 def test_bands_at_their_edges(spark):

@@ -144,6 +144,14 @@ def test_jdbc_options_take_the_password_from_the_environment(monkeypatch):
     assert writers.jdbc_options(jdbc, "sales") == {
         "url": "jdbc:x://h/db", "dbtable": "gold.g_sales", "user": "u", "password": "secret", "batchsize": "5000"}
     assert writers.jdbc_options({"url": "u", "user": "x"}, "t")["dbtable"] == "public.t"
+    more = writers.jdbc_options({"url": "u", "user": "x", "options": {"truncate": True, "user": "y"}}, "t")
+    assert more["truncate"] == "True" and more["user"] == "x"
+
+
+def test_stored_tables_are_found_by_name(spark, folder, rows):
+    for sink in ({"base_path": f"{folder}/a"}, {"base_path": f"{folder}/b", "catalog_db": "default", "table_prefix": "st_"}):
+        writers.write_tables({"t": spark.range(3)}, sink)
+        assert rows(writers.stored(spark, ["t"], sink)["t"]) == [(0,), (1,), (2,)]
 
 
 def test_writes_report_rows_and_read_back(spark, folder):
