@@ -44,9 +44,9 @@ BUCKET_CONTEXTS = 15_000
 PIECE = 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 ODD_2 = np.uint64(0xD6E8FEB86659FD93)
-ANCHORS = "anchor bigint, context bigint, doc bigint, place bigint"
-# place: start of the context's first window, 10 bits of the text's hash, number of windows
-TAG_BITS, COUNT_BITS = 10, 7
+ANCHORS = "anchor bigint, context bigint, doc bigint, place bigint, tag bigint"
+# place: start of the context's first window, number of windows; tag: hash of the text
+COUNT_BITS = 7
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -122,10 +122,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, context, first, count = contexts(raw, left >= LENGTH)
         doc = owner[first]
         tag = np.array([t for _, t, _ in docs])[doc]
-        place = ((first - start[doc]) << (TAG_BITS + COUNT_BITS)) | (tag << COUNT_BITS) | count
+        place = ((first - start[doc]) << COUNT_BITS) | count
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor), pa.array(context), pa.array(np.array([d for d, _, _ in docs])[doc]), pa.array(place)],
-            ["anchor", "context", "doc", "place"])
+            [pa.array(anchor), pa.array(context), pa.array(np.array([d for d, _, _ in docs])[doc]), pa.array(place), pa.array(tag)],
+            ["anchor", "context", "doc", "place", "tag"])
 
     for batch in batches:
         held, size = [], 0
@@ -142,47 +142,49 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stream rows sorted by anchor, context, doc, place; only the last row's state is carried.
+    """Stream rows sorted by anchor, context, doc, place, tag; only the last row's state is carried.
 
-    Out: doc, place, anchor. Without anchor the context is marked whole; with it the windows
-    have to be asked for, because the anchor has other contexts too.
+    Out: doc, place, tag, anchor. Without anchor the context is marked whole; with it the windows
+    have to be asked for, because the anchor has other contexts too. Another text of the same id
+    and start is always asked for, so that only the first row has to wait.
     """
-    shift = TAG_BITS + COUNT_BITS
-    last = None  # the row before: anchor, context, doc and start of that context's first row
+    last = None  # the row before: anchor, context, doc, start and tag of that context's first row
     several = False  # whether that anchor has shown a second context
-    waiting = None  # the first row (doc, place) of that anchor, as long as it has not
+    waiting = None  # the first row (doc, place, tag) of that anchor, as long as it has not
     for batch in batches:
         if not batch.num_rows:
             continue
         anchor, context, doc, place = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-        n, start = len(anchor), place >> shift
+        n, start = len(anchor), place >> COUNT_BITS
+        tag = batch.column(4).to_numpy(zero_copy_only=False) if batch.num_columns > 4 else np.zeros(n, np.int64)
         new_anchor = np.r_[last is None or anchor[0] != last[0], anchor[1:] != anchor[:-1]]
         new_context = new_anchor | np.r_[last is None or context[0] != last[1], context[1:] != context[:-1]]
         head = np.maximum.accumulate(np.where(new_context, np.arange(n), -1))
-        first_doc, first_start = doc[np.maximum(head, 0)], start[np.maximum(head, 0)]
+        first_doc, first_start, first_tag = (x[np.maximum(head, 0)] for x in (doc, start, tag))
         if last is not None:
-            first_doc[head < 0], first_start[head < 0] = last[2], last[3]
+            first_doc[head < 0], first_start[head < 0], first_tag[head < 0] = last[2:]
         copy = (doc != first_doc) | (start != first_start)
         group = np.cumsum(new_anchor)  # 0 goes on from the batch before
         many = np.zeros(group[-1] + 1, bool)
         many[group[new_context & ~new_anchor]] = True
         late = bool(many[0] and waiting is not None)  # the waiting row is needed after all
         many[0] |= several
-        ask = ~copy & many[group]
-        d, p, a, q = doc, place, anchor, ask
+        ask = ~copy & (many[group] | (tag != first_tag))
+        d, p, t, a, q = doc, place, tag, anchor, ask
         if late:
-            d, p, a, q = np.r_[d, waiting[0]], np.r_[p, waiting[1]], np.r_[a, last[0]], np.r_[q, True]
+            d, p, t = (np.r_[x, w] for x, w in zip((d, p, t), waiting))
+            a, q = np.r_[a, last[0]], np.r_[q, True]
         send = q | np.r_[copy, np.zeros(len(d) - n, bool)]
         if late or group[-1]:
             waiting = None
         several = bool(many[-1])
         if group[-1] and not several:
             begin = np.flatnonzero(new_anchor)[-1]
-            waiting = doc[begin], place[begin]
-        last = anchor[-1], context[-1], first_doc[-1], first_start[-1]
+            waiting = doc[begin], place[begin], tag[begin]
+        last = anchor[-1], context[-1], first_doc[-1], first_start[-1], first_tag[-1]
         if send.any():
-            yield pa.RecordBatch.from_arrays([pa.array(d[send]), pa.array(p[send]), pa.array(a[send], mask=~q[send])],
-                                             ["doc", "place", "anchor"])
+            yield pa.RecordBatch.from_arrays([pa.array(d[send]), pa.array(p[send]), pa.array(t[send]), pa.array(a[send], mask=~q[send])],
+                                             ["doc", "place", "tag", "anchor"])
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -265,10 +267,13 @@ def repeated_windows(parts: list[bytes], docs: np.ndarray, starts: np.ndarray) -
         if np.array_equal(further, head[at]):
             break
         head[at] = further
-    first = np.full(len(text), len(text))
-    np.minimum.at(first, head[at], at)
-    earliest = np.searchsorted(at, first[head[at]])
     doc, start = docs[owner[window]], starts[owner[window]] + offset[window]
+    by_start = np.lexsort((start, doc))  # contexts of texts that share an id may overlap
+    rank = np.empty(len(at), np.int64)
+    rank[by_start] = np.arange(len(at))
+    first = np.full(len(text), len(at))
+    np.minimum.at(first, head[at], rank)
+    earliest = by_start[first[head[at]]]
     marked = (doc != doc[earliest]) | (start != start[earliest])
     return np.split(marked, np.cumsum(sizes - LENGTH + 1)[:-1])
 
@@ -312,12 +317,11 @@ def spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = keyed(documents, doc_id, text).select("_doc", "_tag", F.col(text).alias("_text"))
     rows = (
         texts.where(F.octet_length("_text") >= LENGTH).mapInArrow(_anchors, ANCHORS)
-        .repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "place")
-        .mapInArrow(_settle, "doc bigint, place bigint, anchor bigint")
+        .repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "place", "tag")
+        .mapInArrow(_settle, "doc bigint, place bigint, tag bigint, anchor bigint")
     )
-    start = F.shiftright("place", TAG_BITS + COUNT_BITS)
-    tag = F.shiftright("place", COUNT_BITS).bitwiseAND((1 << TAG_BITS) - 1)
-    settled = keep(rows.select("doc", tag.alias("tag"), start.alias("start"), "anchor",
+    start = F.shiftright("place", COUNT_BITS)
+    settled = keep(rows.select("doc", "tag", start.alias("start"), "anchor",
                                (start + F.col("place").bitwiseAND((1 << COUNT_BITS) - 1) + LENGTH - 1).alias("stop")))
     release(spark)
     whole = settled.where("anchor is null").select("doc", "tag", "start", "stop")
@@ -354,10 +358,10 @@ def spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``documents`` with the order key of the id and ten bits of the text's hash."""
+    """``documents`` with the order key of the id and the text's hash, which together name a text."""
     return documents.withColumns({
         "_doc": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63))),
-        "_tag": F.pmod(F.xxhash64(text), F.lit(1 << TAG_BITS)).cast("bigint")})
+        "_tag": F.xxhash64(text)})
 
 
 def _kept(text: Column, stretches: Column) -> Column:

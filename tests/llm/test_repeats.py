@@ -70,6 +70,29 @@ def test_made_up_texts_with_and_without_large_groups(spark, monkeypatch, seed, l
     assert got(df, max_contexts=limit) == brute(rows)
 
 
+def test_many_texts_without_id_or_under_one_id(spark):
+    """Rows of one id are compared by their starts, so each text is cut by its own stretches."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(2, 9)))
+    shared = [" ".join(word() for _ in range(30)) for _ in range(8)]
+    rows = []
+    for i in range(400):
+        parts = [shared[k] for k in rng.integers(0, 8, rng.integers(0, 3))] + [" ".join(word() for _ in range(rng.integers(1, 40)))]
+        rows.append((None if i % 2 else 7, " ".join(parts[::-1] if i % 3 else parts)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert got(df) == brute(rows)
+    assert got(df, max_contexts=0) == brute(rows)
+
+
+def test_texts_of_one_id_that_begin_alike_in_any_batches():
+    table = pa.table({"anchor": [5] * 5, "context": [1, 1, 1, 1, 2], "doc": [3, 3, 3, 4, 2], "place": [7] * 5,
+                      "tag": [10, 10, 11, 12, 13]})
+    for size in (1, 2, 3, 5):
+        rows = pa.Table.from_batches(list(repeats._settle(iter(table.to_batches(max_chunksize=size))))).to_pylist()
+        found = {(r["doc"], r["tag"], r["anchor"]) for r in rows}
+        assert found == {(3, 10, 5), (3, 11, 5), (4, 12, None), (2, 13, 5)}
+
+
 def test_odd_tables(odd):
     rows = [tuple(r) for r in odd.select("doc_id", "text").where("not (doc_id <=> 7)").collect()]
     assert got(odd.where("not (doc_id <=> 7)")) == brute(rows)
