@@ -3,9 +3,15 @@
 Vectors get one more component that brings all to the same length, so a large inner product
 is nearness, and trees of random hyperplanes are fitted on a sample of at most
 ``SAMPLE_ROWS`` vectors. Every vector is routed to one leaf of every tree. A query walks all
-trees through one shared priority queue, nearest side first, and takes the ``PROBES`` best
-leaves; leaves meet their queries in one task each, where inner products are computed in
-double precision on the original vectors, and the best of all leaves are merged.
+trees through one shared priority queue, nearest side first, and takes the best leaves, at
+least ``PROBES``; leaves meet their queries in one task each, where inner products are computed
+in double precision on the original vectors, and the best of all leaves are merged.
+
+How many leaves a query takes is measured on the table itself: for the ``CHECKED`` queries of
+least hash the true neighbours are found by comparing all rows, and enough leaves are taken for
+them to meet the share ``RECALL``. Where more than ``PROBES`` are needed and they hold more
+than a ``DENSE`` part of all rows, every query is compared with all rows instead, in blocks of
+queries and slices of rows; trees do not part such a table.
 
 Equal vectors are one node with its smallest ids (one more than asked for, as a query skips
 itself), so a vector that a third of all rows share fills no leaf.
@@ -17,7 +23,6 @@ the smaller id; with fewer candidates all are returned.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +37,12 @@ TREES = 16
 LEAF_ROWS = 96
 PROBES = 160
 SAMPLE_ROWS = 50_000
+CHECKED = 100
+RECALL = 0.95
+DENSE = 0.25
+BLOCK_QUERIES = 4096
+SLICE_ROWS = 50_000
+LEAST_SLICES = 8
 
 
 @dataclass
@@ -57,26 +68,47 @@ class Forest:
             out[:, t] = -1 - at
         return out
 
-    def probes(self, q: np.ndarray, wanted: int) -> list[list[int]]:
-        """For each query the ``wanted`` leaves that come first out of one queue over all trees."""
+    def nearness(self, q: np.ndarray) -> np.ndarray:
+        """For each query and leaf its place in the one queue: the largest margin on the way to it."""
         margins = q @ self.normals.T - self.offsets
-        children = self.children.tolist()
-        out = []
-        for m in margins.tolist():
-            queue = [(-np.inf, root) for root in self.roots]
-            heapq.heapify(queue)
-            found: list[int] = []
-            while queue and len(found) < wanted:
-                near, at = heapq.heappop(queue)
-                if at < 0:
-                    found.append(-1 - at)
-                    continue
-                low, high = children[at]
-                heapq.heappush(queue, (max(near, m[at]), low))
-                heapq.heappush(queue, (max(near, -m[at]), high))
-            out.append(found)
+        near = np.full((len(q), len(self.normals)), -np.inf)
+        out = np.full((len(q), self.n_leaves), -np.inf)
+        level = np.array([r for r in self.roots if r >= 0], np.int64)
+        while len(level):
+            following = []
+            for side, sign in ((0, 1), (1, -1)):
+                child = self.children[level, side]
+                value = np.maximum(near[:, level], sign * margins[:, level])
+                inner = child >= 0
+                near[:, child[inner]] = value[:, inner]
+                out[:, -1 - child[~inner]] = value[:, ~inner]
+                following.append(child[inner])
+            level = np.concatenate(following)
         return out
 
+    @property
+    def n_leaves(self) -> int:
+        return len(self.normals) + len(self.roots)
+
+    def probes(self, q: np.ndarray, wanted: int) -> list[np.ndarray]:
+        """For each query the ``wanted`` leaves that come first out of one queue over all trees."""
+        if wanted >= self.n_leaves:
+            return [np.arange(self.n_leaves)] * len(q)
+        return list(np.argpartition(self.nearness(q), wanted - 1, axis=1)[:, :wanted])
+
+    def needed(self, q: np.ndarray, true: list[np.ndarray], recall: float) -> int:
+        """How many leaves a query has to take until the share ``recall`` of its ``true`` neighbours is met."""
+        first = []
+        for one, x in zip(q, true):
+            if len(x):
+                near = self.nearness(one[None, :])[0]
+                best = near[self.leaves(x)].min(1)
+                first.append(np.searchsorted(np.sort(near), best, side="right"))
+        if not first:
+            return 1
+        first = np.sort(np.concatenate(first))
+        return int(first[min(len(first), int(np.ceil(recall * len(first)))) - 1])
+
 
 def plant(sample: np.ndarray, leaf: float, trees: int, seed: int = 1) -> Forest:
     """Trees whose planes halve the sample between two of its vectors until ``leaf`` are left."""
@@ -148,7 +180,11 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
     longest = nodes.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))).first()[0] or 0.0
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(sample_rows).select("v").toPandas()
     flat = _lifted(np.array(sample["v"].tolist(), np.float64) if len(sample) else np.zeros((0, 1)), longest)
-    forest = spark.sparkContext.broadcast(plant(flat, leaf_rows * len(sample) / max(n, 1), trees))
+    grown = plant(flat, leaf_rows * len(sample) / max(n, 1), trees)
+    wanted = max(probes, _leaves_needed(nodes, queries, grown, longest, k)) if probes < grown.n_leaves else probes
+    if wanted > probes and wanted * leaf_rows > DENSE * n:
+        return _listed(_compared(nodes, queries, n, k), nodes, queries, k)
+    forest = spark.sparkContext.broadcast(grown)
 
     def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -159,31 +195,75 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
 
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at:at + 256]
+            for at in range(0, len(batch), 64):
+                part = batch.iloc[at:at + 64]
                 x = np.stack(part["v"].to_numpy()).astype(np.float64)
-                found = forest.value.probes(np.c_[x, np.zeros(len(x))], probes)
+                found = forest.value.probes(np.c_[x, np.zeros(len(x))], wanted)
                 count = [len(f) for f in found]
                 yield pd.DataFrame({"leaf": np.concatenate(found), "node": np.repeat(part["node"].to_numpy(), count),
                                     "v": np.repeat(part["v"].to_numpy(), count)})
 
     def scored(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(held) or not len(asked):
-            return pd.DataFrame({"query": [], "node": [], "score": []})
-        x, q = (np.stack(f["v"].to_numpy()).astype(np.float64) for f in (held, asked))
-        names, out = held["node"].to_numpy(), []
-        for at in range(0, len(q), 512):
-            score = q[at:at + 512] @ x.T
-            best = np.argsort(-score, axis=1, kind="stable")[:, :k + 1]
-            out.append(pd.DataFrame({"query": np.repeat(asked["node"].to_numpy()[at:at + 512], best.shape[1]),
-                                     "node": names[best].ravel(), "score": np.take_along_axis(score, best, 1).ravel()}))
-        return pd.concat(out)
+        return _scored(held, asked, k)
 
     kind = dict(nodes.dtypes)["v"]
     index = nodes.select("node", "v").mapInPandas(routed, f"leaf bigint, node bigint, v {kind}")
     asked = nodes.join(queries.select("node").distinct(), "node", "left_semi").select("node", "v").mapInPandas(
         probed, f"leaf bigint, node bigint, v {kind}")
     found = index.groupBy("leaf").cogroup(asked.groupBy("leaf")).applyInPandas(scored, "query bigint, node bigint, score double")
+    return _listed(found, nodes, queries, k)
+
+
+def _scored(held: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+    """query, node, score: the best ``k`` and the query itself of all ``held`` for each one ``asked``."""
+    if not len(held) or not len(asked):
+        return pd.DataFrame({"query": [], "node": [], "score": []})
+    x, q = (np.stack(f["v"].to_numpy()).astype(np.float64) for f in (held, asked))
+    names, out = held["node"].to_numpy(), []
+    for at in range(0, len(q), 512):
+        score = q[at:at + 512] @ x.T
+        best = np.argsort(-score, axis=1, kind="stable")[:, :k + 1]
+        out.append(pd.DataFrame({"query": np.repeat(asked["node"].to_numpy()[at:at + 512], best.shape[1]),
+                                 "node": names[best].ravel(), "score": np.take_along_axis(score, best, 1).ravel()}))
+    return pd.concat(out)
+
+
+def _leaves_needed(nodes: DataFrame, queries: DataFrame, forest: Forest, longest: float, k: int) -> int:
+    """Leaves that meet the share ``RECALL`` of the true neighbours of the ``CHECKED`` queries of least hash."""
+    spark = nodes.sparkSession
+    asked = (
+        nodes.join(queries.select("node").distinct(), "node", "left_semi")
+        .orderBy(F.xxhash64("node"), "node").limit(CHECKED).select("node", "v").toPandas())
+    if not len(asked):
+        return 1
+    checked = spark.sparkContext.broadcast(asked)
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield _scored(batch, checked.value, k)
+
+    every = nodes.select("node", "v").mapInPandas(nearest, "query bigint, node bigint, score double")
+    ranked = every.withColumn("_at", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node")))
+    true = ranked.where(F.col("_at") <= k + 1).where("node <> query").join(nodes, "node").select("query", "v").toPandas()
+    of = {query: _lifted(np.array(v.tolist(), np.float64), longest) for query, v in true.groupby("query")["v"]}
+    q = np.array(asked["v"].tolist(), np.float64)
+    return forest.needed(np.c_[q, np.zeros(len(q))], [of.get(x, q[:0]) for x in asked["node"]], RECALL)
+
+
+def _compared(nodes: DataFrame, queries: DataFrame, n: int, k: int) -> DataFrame:
+    """query, node, score: every query against all rows, one block of queries and slice of rows a task."""
+    asked = keep(nodes.join(queries.select("node").distinct(), "node", "left_semi").select("node", "v"))
+    blocks = -(-asked.count() // BLOCK_QUERIES)
+    slices = max(LEAST_SLICES, -(-n // SLICE_ROWS))
+    block, slice_ = F.pmod(F.xxhash64("node"), F.lit(blocks or 1)), F.pmod(F.hash("node"), F.lit(slices))
+    every = nodes.select("node", "v", slice_.alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))).alias("block"))
+    asked = asked.select("node", "v", block.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    return every.groupBy("slice", "block").cogroup(asked.groupBy("slice", "block")).applyInPandas(
+        lambda held, q: _scored(held, q, k), "query bigint, node bigint, score double")
+
+
+def _listed(found: DataFrame, nodes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score of the best of all ``found``."""
     best = (
         found.groupBy("query", "node").agg(F.max("score").alias("score"))
         .join(nodes.select("node", "ids"), "node")

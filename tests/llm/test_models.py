@@ -87,3 +87,35 @@ def test_odd_vectors(spark):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     two = df.where("vec_id in (0, 1)")
     assert [tuple(r) for r in neighbours.search(two, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 2.0)]
+
+
+def random_vectors(spark, path, n, every, seed=5):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    x = np.random.default_rng(seed).normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    vectors = pa.ListArray.from_arrays(np.arange(0, n * 64 + 1, 64, dtype=np.int32), x.ravel())
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": vectors}), f"{path}/v.parquet")
+    got = {}
+    for r in neighbours.search(spark.read.parquet(f"{path}/v.parquet"), F.col("vec_id") % every == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    ids = list(range(n))
+    return np.mean([len(got[q] & {v for v, _ in exact(ids, x, q)}) / 20 for q in range(0, n, every)])
+
+
+def test_recall_does_not_fall_with_the_size_of_the_table(spark, tmp_path):
+    assert random_vectors(spark, tmp_path, 40_000, 500) >= 0.9
+
+
+def test_leaves_grow_until_the_true_neighbours_are_met():
+    rng = np.random.default_rng(3)
+    x = neighbours._lifted(rng.normal(size=(3000, 24)), 200.0)
+    forest = neighbours.plant(x, 12, 4)
+    q = np.c_[rng.normal(size=(20, 24)), np.zeros(20)]
+    true = [x[np.argsort(-(x[:, :24] @ one[:24]))[:20]] for one in q]
+    wanted = forest.needed(q, true, 0.9)
+
+    def met(n):
+        return np.mean([np.isin(forest.leaves(t), p).any(1).mean() for t, p in zip(true, forest.probes(q, n))])
+
+    assert met(wanted) >= 0.9 > met(wanted // 2) and 16 < wanted < forest.n_leaves
