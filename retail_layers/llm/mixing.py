@@ -5,8 +5,10 @@ point frac(i * golden ratio), so any run of slots is close to the targets. The s
 source are ranked; the source's documents, in an order shuffled by a hash of their id, are
 cut into blocks of equal words, and rank r takes block r modulo the number of blocks.
 
-Scale: the schedule has at most ``slots`` slots at any size of the input; a block holds the
-words of all sources over the slots, at least one. Places within a source are prefix sums
+Scale: a block holds the words of all sources over ``slots``, at least one. A source whose size
+or target is below ``slots / SHARE`` such blocks has smaller blocks of its own and as many more
+slots, so the schedule has about ``slots`` slots and at most a few ``slots / SHARE`` more for every
+such source, and a source's error is a few blocks of its own at any size of the input. Places within a source are prefix sums
 over small hash ranges of the shuffled order, so a source with a third of all rows spreads
 over many tasks. Only the table of sources is sorted in one task.
 
@@ -17,6 +19,8 @@ every target is 0. Extra columns are left alone.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +32,7 @@ MOST = 3
 WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = 0.6180339887498949
 SLOTS = 1 << 20
+SHARE = 1024
 CELLS = 4096
 RANGE_ROWS = 512
 
@@ -73,11 +78,13 @@ def targets(sized: DataFrame) -> DataFrame:
 def schedule(goals: DataFrame, slots: int = SLOTS) -> DataFrame:
     """slot, place (of the source) and block: which block of which source comes when."""
     spark = goals.sparkSession
+    cut = blocked(goals, slots)
     words, block = block_words(goals, slots)
-    points = spark.range(1, (-(-words // block) if words else 0) + 1).select(
+    more = cut.where(F.col("_block") < block).agg(F.sum(F.col("_weight") - F.col("target"))).first()[0] or 0
+    points = spark.range(1, (-(-words // block) + math.ceil(more / block) if words else 0) + 1).select(
         F.col("id").alias("slot"), (F.col("id") * F.lit(GOLDEN) % 1).alias("_point"))
-    filled = goals.where("hi > lo")
-    stretches = filled.select("place", "lo", "hi", F.ceil(F.col("source_size") / block).alias("_blocks"), F.explode(F.sequence(
+    filled = cut.where("hi > lo")
+    stretches = filled.select("place", "lo", "hi", F.ceil(F.col("source_size") / F.col("_block")).alias("_blocks"), F.explode(F.sequence(
         F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1)))).alias("_cell"))
     placed = (
         points.withColumn("_cell", F.floor(F.col("_point") * CELLS)).join(stretches, "_cell")
@@ -91,8 +98,23 @@ def schedule(goals: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
+def blocked(goals: DataFrame, slots: int) -> DataFrame:
+    """``goals`` with the words of a block of each source, and stretches as long as its slots need."""
+    _, block = block_words(goals, slots)
+    in_order = Window.orderBy("place")
+    every = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = F.floor(F.least("target", F.col("source_size").cast("double")) / max(1, slots // SHARE))
+    return (
+        goals.withColumn("_block", F.greatest(F.lit(1), F.least(F.lit(block), own)).cast("bigint"))
+        .withColumn("_weight", F.when(F.col("_block") == block, F.col("target")).otherwise(F.col("target") * block / F.col("_block")))
+        .withColumn("hi", F.try_divide(F.sum("_weight").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
+                                       F.sum("_weight").over(every)))
+        .withColumn("lo", F.coalesce(F.lag("hi").over(in_order), F.lit(0.0)))
+    )
+
+
 def block_words(goals: DataFrame, slots: int) -> tuple[int, int]:
-    """All words, and the words of a block."""
+    """All words, and the words of a block of a source that needs no smaller ones."""
     row = goals.agg(F.max("all_size")).first()
     words = int(row[0] or 0)
     return words, max(1, -(-words // slots))
@@ -120,7 +142,7 @@ def running(rows: DataFrame, value: str, order: list[str]) -> DataFrame:
 def placed_documents(sized: DataFrame, goals: DataFrame) -> DataFrame:
     """Every document with its source's goal and its first word's place in the shuffled source."""
     ranges = max(1, sized.count() // RANGE_ROWS)
-    by = goals.select(F.col("source").alias("_source"), "place", "source_size", "target")
+    by = goals.select(F.col("source").alias("_source"), "place", "source_size", "target", "_block")
     rows = (
         sized.join(by, sized["source"].eqNullSafe(by["_source"]))
         .withColumn("_range", F.floor(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint") * ranges / (1 << 32)))
@@ -132,13 +154,13 @@ def mix(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken (words taken, repeats counted)."""
     sized = sizes(documents)
     goals = targets(sized)
-    _, block = block_words(goals, slots)
+    cut, block = blocked(goals, slots), F.col("_block")
     times = schedule(goals, slots).groupBy("place", "block").agg(F.count(F.lit(1)).alias("_times"))
     end = F.col("_start") + F.col("size")
     blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("_start") / block), F.floor((end - 1) / block)))
     pieces = (
-        placed_documents(sized, goals)
-        .select("doc_id", "source", "size", "source_size", "target", "place", "_start", F.explode_outer(blocks).alias("block"))
+        placed_documents(sized, cut)
+        .select("doc_id", "source", "size", "source_size", "target", "place", "_start", "_block", F.explode_outer(blocks).alias("block"))
         .withColumn("_words", F.least((F.col("block") + 1) * block, end) - F.greatest(F.col("block") * block, F.col("_start")))
     )
     taken = F.coalesce(F.sum(F.col("_words") * F.coalesce("_times", F.lit(0))), F.lit(0)).cast("bigint")

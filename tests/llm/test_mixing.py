@@ -92,6 +92,22 @@ def test_odd_tables(odd):
     assert mixed(odd.where("text is null")) == [(3, 0, 0, 0.0, 0)]
 
 
+def test_small_sources_of_a_large_corpus_come_near_their_targets(spark, monkeypatch):
+    """A block of the large sources holds 247 words here, more than the smallest source has."""
+    monkeypatch.setattr(mixing, "SHARE", 16, raising=False)
+    size_of = {"a": 1000, "b": 3_000_000, "c": 40, "d": 5000, "e": 1_000_000, "f": 30_000}
+    rows = [(1000 * k + i, "w " * (n // 20), s) for k, (s, n) in enumerate(size_of.items()) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    taken, target = Counter(), {}
+    for r in mixing.mix(df, 1 << 14).collect():
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    names, want = goals(size_of)
+    assert [target[s] for s in names] == pytest.approx([want[s] for s in names])
+    assert all(abs(taken[s] - want[s]) <= 0.01 * want[s] + 5 for s in names), (taken, want)
+
+
 def test_plan_is_native(spark):
     plan = queries.op7_mixing(spark, SF01)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
