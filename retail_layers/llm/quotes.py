@@ -27,7 +27,7 @@ from retail_layers.scratch import keep
 
 QUOTED = r"^[\x20\t]*>"
 MARKS = r"^((?:[\x20\t]*>)+)[\x20\t]?"
-ATTRIBUTION = r"^[\x20\t]*(?:On\b.*\bwrote|[^\n>]{1,80}\bwrote)[\x20\t]*:[\x20\t]*$"
+ATTRIBUTION = r"(?md)^[\x20\t]*(?:On\b.*\bwrote|[^\n>]{1,80}\bwrote)[\x20\t]*:[\x20\t]*$(?=\n[\x20\t\n]*>)"
 
 
 def normalised(text: Column) -> Column:
@@ -35,12 +35,13 @@ def normalised(text: Column) -> Column:
 
 
 def lines(text: Column) -> Column:
-    """An array of (depth, text) per line; lines that only announce a quote have depth -1."""
+    """An array of (depth, text) per line; lines that announce a quote right below have depth -1."""
     def line(x: Column) -> Column:
         depth = F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", ""))
-        return F.struct(F.when(x.rlike(ATTRIBUTION), -1).otherwise(depth).alias("depth"),
+        return F.struct(F.when(x.startswith("\r"), -1).otherwise(depth).alias("depth"),
                         F.regexp_replace(x, MARKS, "").alias("text"))
-    return F.transform(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n"), "\n"), line)
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n")
+    return F.transform(F.split(F.regexp_replace(plain, ATTRIBUTION, "\r$0"), "\n"), line)
 
 
 def own_text(parsed: Column) -> Column:

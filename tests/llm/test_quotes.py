@@ -42,6 +42,14 @@ def test_known_threads(spark):
         assert (r["quotes"], r["deepest"], r["linked"], r["answers"], r["thread"], r["depth"], r["text"]) == WANT[r["conv"], r["turn"]]
 
 
+def test_lines_that_announce_nothing_stay(spark):
+    texts = ["Here is the query I wrote:\n\nselect 1", "As Darwin wrote:", "He wrote:\nno quote\n> a quote",
+             "Ann wrote:\n \n\n > a quote\nYes.", "On Monday I wrote:\r\nnothing"]
+    df = spark.createDataFrame([(i, 0, "x", t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, role string, text string")
+    got = {r["conv"]: r["text"] for r in quotes.link_quotes(df).collect()}
+    assert got == {0: texts[0], 1: texts[1], 2: "He wrote:\nno quote", 3: "Yes.", 4: "On Monday I wrote:\nnothing"}
+
+
 def test_long_chains_and_empty_tables(spark):
     chain = [(9, i, "x", (f"> say {i - 1}\n" if i else "") + f"say {i}") for i in range(70)]
     df = spark.createDataFrame(chain, "conv_id bigint, turn bigint, role string, text string")
