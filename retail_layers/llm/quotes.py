@@ -3,7 +3,8 @@
 A line that begins with ``>`` marks is quoted, as deep as it has marks. Neighbouring lines of
 one depth are a passage. Passages are normalised (lower case, only letters and digits, one
 space between words) and hashed; so are the whole own text of every message and each of its
-paragraphs and lines. A passage is linked to the latest earlier message of its conversation
+paragraphs and lines, and any run of its sentences (cut at line and sentence ends) that is as
+long as some passage of the conversation. A passage is linked to the latest earlier message of its conversation
 that has a unit of the same hash. A message answers the one its shallowest linked passage
 comes from, and messages that answer one another are a thread. Sorting by conversation,
 thread, depth of the answer and turn gives conversations in reply order without quotes.
@@ -44,6 +45,12 @@ def lines(text: Column) -> Column:
     return F.transform(F.split(F.regexp_replace(plain, ATTRIBUTION, "\r$0"), "\n"), line)
 
 
+def sentences(text: Column) -> Column:
+    """The hashes of a text's lines, cut further at sentence ends."""
+    parts = F.transform(F.split(text, r"\n|(?<=[.!?])\s+"), normalised)
+    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.xxhash64(x))
+
+
 def own_text(parsed: Column) -> Column:
     """The message without quoted lines and their announcements."""
     kept = F.transform(F.filter(parsed, lambda x: x["depth"] == 0), lambda x: x["text"])
@@ -51,7 +58,7 @@ def own_text(parsed: Column) -> Column:
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """conv, turn, at (first line), depth, hash of every quoted passage; messages has conv, turn, _row, parsed.
+    """conv, turn, at (first line), depth, hash, run (hash by sentences) of every quoted passage; messages has conv, turn, _row, parsed.
 
     A passage's lines are put together with the offset trick: among quoted lines of one depth,
     line number less rank is the same for neighbours.
@@ -62,9 +69,12 @@ def passages(messages: DataFrame) -> DataFrame:
         rows.withColumn("_group", F.col("at") - rank)
         .groupBy("conv", "turn", "_row", F.col("line.depth").alias("depth"), "_group")
         .agg(F.min("at").alias("at"), F.sort_array(F.collect_list(F.struct("at", "line.text"))).alias("held"))
-        .withColumn("words", normalised(F.array_join(F.transform("held", lambda x: x["text"]), " ")))
+        .withColumn("said", F.array_join(F.transform("held", lambda x: x["text"]), "\n"))
+        .withColumn("words", normalised(F.col("said")))
         .where("words <> ''")
-        .select("conv", "turn", "_row", "at", "depth", F.xxhash64("words").alias("hash"), F.length("words").alias("size"))
+        .withColumn("run", sentences(F.col("said")))
+        .select("conv", "turn", "_row", "at", "depth", F.xxhash64("words").alias("hash"), F.length("words").alias("size"),
+                F.xxhash64("run").alias("run"), F.size("run").alias("n"))
     )
 
 
@@ -79,6 +89,17 @@ def units(messages: DataFrame) -> DataFrame:
     )
 
 
+def runs(messages: DataFrame, found: DataFrame) -> DataFrame:
+    """conv, source turn, n and run (hash) of any ``n`` sentences in a row, for the ``n`` of the conversation's passages."""
+    wanted = found.groupBy("conv").agg(F.collect_set("n").alias("wanted"))
+    every = F.expr("""flatten(transform(filter(wanted, n -> n <= size(_said)), n ->
+        transform(sequence(1, size(_said) - n + 1), i -> struct(n as n, xxhash64(slice(_said, i, n)) as run))))""")
+    return (
+        messages.select("conv", F.col("turn").alias("source"), sentences(F.col("own")).alias("_said")).join(wanted, "conv")
+        .select("conv", "source", F.explode(every).alias("_run")).select("conv", "source", "_run.n", "_run.run").distinct()
+    )
+
+
 def link_quotes(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """Per row of ``conversations``: conv, turn, role, text (without quotes), quotes, deepest, linked,
     answers (turn), thread (first turn of its thread), depth (answers above it)."""
@@ -90,10 +111,14 @@ def link_quotes(conversations: DataFrame, conv_id: str = "conv_id", turn: str =
     messages = rows.select("conv", "turn", "role", "_row", own_text(F.col("parsed")).alias("own"), "parsed", quoted.alias("_quoted"))
     quoting = messages.where(F.col("_quoted") & F.col("conv").isNotNull() & F.col("turn").isNotNull())
     found = keep(passages(quoting).distinct())
-    sources = units(messages.where("turn is not null").join(found.select("conv").distinct(), "conv", "left_semi"))
-    hits = found.join(sources, ["conv", "hash", "size"], "left").where("source is null or source < turn")
+    asked = messages.where("turn is not null").join(found.select("conv").distinct(), "conv", "left_semi")
+    key = ["conv", "turn", "_row", "at", "source"]
+    hits = (
+        found.join(units(asked), ["conv", "hash", "size"]).where("source < turn").select(*key)
+        .unionByName(found.join(runs(asked, found), ["conv", "n", "run"]).where("source < turn").select(*key))
+    )
     linked = keep(
-        found.join(hits.where("source is not null").groupBy("conv", "turn", "_row", "at").agg(F.max("source").alias("source")),
+        found.join(hits.groupBy("conv", "turn", "_row", "at").agg(F.max("source").alias("source")),
                    ["conv", "turn", "_row", "at"], "left")
         .groupBy("conv", "turn", "_row").agg(
             F.count(F.lit(1)).alias("quotes"), F.max("depth").alias("deepest"), F.count("source").alias("linked"),

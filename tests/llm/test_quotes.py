@@ -50,6 +50,18 @@ def test_lines_that_announce_nothing_stay(spark):
     assert got == {0: texts[0], 1: texts[1], 2: "He wrote:\nno quote", 3: "Yes.", 4: "On Monday I wrote:\nnothing"}
 
 
+def test_trimmed_quotes_are_linked(spark):
+    rows = [
+        (1, 0, "l1\nl2\nl3"), (1, 1, "> l1\n> l2\nanswer"), (1, 2, "> l1\n> l3\nnot in a row"),
+        (2, 0, "One here. Two there! Three.\n\nSecond part.\n\nThird part."), (2, 1, "> Two there!\nyes"),
+        (2, 2, "> Three.\n>\n> Second part.\nno"), (2, 3, "> Second part.\n>\n> Third part.\nwell"), (2, 4, "> One\nhalf a sentence"),
+    ]
+    df = spark.createDataFrame([(c, t, "x", m) for c, t, m in rows], "conv_id bigint, turn bigint, role string, text string")
+    got = {(r["conv"], r["turn"]): (r["linked"], r["answers"]) for r in quotes.link_quotes(df).collect()}
+    linked = {(1, 1), (2, 1), (2, 2), (2, 3)}
+    assert got == {(c, t): (1, 0) if (c, t) in linked else (0, None) for c, t, _ in rows}
+
+
 def test_long_chains_and_empty_tables(spark):
     chain = [(9, i, "x", (f"> say {i - 1}\n" if i else "") + f"say {i}") for i in range(70)]
     df = spark.createDataFrame(chain, "conv_id bigint, turn bigint, role string, text string")
