@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_layers.llm import decontaminate, language, mixing, neardup, neighbours, pages, quality, quotes, repeats, secrets, sql
+from retail_layers.llm import decontaminate, language, mixing, neardup, neighbours, pages, quality, quotes, repeats, secrets, sql, trie
 from retail_layers.llm.common import held_out, table
 
 
@@ -68,7 +68,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("_m.items", ","), 256).alias("items_sha256"), (F.col("_m.n_hit") > 0).alias("contaminated"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = trie.trie(trie.rebuilt(trie.sequences(table(spark, sf_dir, "conversations"))))
+    return nodes.drop("last_turn")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbours, op2_quotes, op3_repeats, op4_pages, op5_quality, op6_language, op7_mixing, op8_secrets, op9_neardup, op10_decontamination)
+    f.__name__: f for f in (op1_neighbours, op2_quotes, op3_repeats, op4_pages, op5_quality, op6_language, op7_mixing, op8_secrets, op9_neardup, op10_decontamination,
+                              op13_trie)
 }
-ORACLE: dict[str, str] = {"op7_mixing": sql.MIXING, "op10_decontamination": sql.DECONTAMINATION}
+ORACLE: dict[str, str] = {"op7_mixing": sql.MIXING, "op10_decontamination": sql.DECONTAMINATION,
+                          "op13_trie": sql.TRIE}

@@ -43,3 +43,32 @@ pieces as (select *, unnest(range(start // block, (start + size - 1) // block +
 taken as (select r, cast(sum((least((b + 1) * block, start + size) - greatest(b * block, start)) * n) as bigint) as taken
           from pieces join times using (place, b) group by r)
 select doc_id, size, source_size, target, coalesce(taken, 0) as taken from docs left join taken using (r)"""
+
+
+# the least significant bit first, as zlib counts it
+CRC_BYTE = "list_reduce(list_prepend(({byte}), range(8)), lambda a, k: xor(a >> 1, 3988292384 * (a & 1)))"
+CRC32 = ("xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda c: cast(ascii(c) as bigint))), "
+         "lambda s, b: xor(s >> 8, " + CRC_BYTE.format(byte="xor(s, b) & 255") + ")), 4294967295)")
+
+TRIE = rf"""
+with t as (select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (select c, role, text, row_number() over (partition by c order by turn nulls first, role, md5(octet_length(encode(role)) || ':' || role || text)) as k from t),
+ids as (select distinct c, {CRC32.format(text="cast(c as varchar)")} % 4 as h from own),
+rows_ as (select i.c, k, role, text from ids i join own b on b.c = i.c - i.c % 20 and b.k <= i.h
+          union all
+          select i.c, k - i.h + (select count(*) from own b where b.c = i.c - i.c % 20 and b.k <= i.h), role, text
+          from ids i join own o on o.c = i.c and o.k > i.h),
+seqs as (select i.c, coalesce(list(md5(role) || md5(text) order by k) filter (k is not null), []) as ids,
+                coalesce(list(len(regexp_extract_all(text, '[^ 	-]+')) order by k) filter (k is not null), []) as ws
+         from ids i left join rows_ r on r.c = i.c group by i.c),
+steps as (select c, ids, ws, unnest(range(0, len(ids) + 1)) as d from seqs),
+nodes as (select d, ids[1:d] as path, min(c) as conv_id, count(*) as n_convs, any_value(case when d > 0 then ws[d] else 0 end) as w,
+                 coalesce(string_agg(cast(c as varchar), ',' order by c) filter (len(ids) = d), '') as ends
+          from steps group by 1, 2),
+kids as (select d - 1 as d, path[1:d - 1] as path, count(*) as n from nodes where d > 0 group by all),
+full_ as (select n.*, coalesce(k.n, 0) as n_children from nodes n left join kids k using (d, path)),
+below as (select a.d, a.path, count(*) filter (b.n_children = 0) as n_leaves, sum((b.n_convs - 1) * b.w) as saved
+          from full_ a join full_ b on b.d >= a.d and b.path[1:a.d] = a.path group by all)
+select f.conv_id, cast(f.d as bigint) as depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, b.n_leaves,
+       cast(b.saved as bigint) as saved_tokens, sha256(f.ends) as ends_sha256
+from full_ f join below b using (d, path) left join nodes p on p.d = f.d - 1 and p.path = f.path[1:f.d - 1]"""
