@@ -59,7 +59,8 @@ rows_ as (select i.c, k, role, text from ids i join own b on b.c = i.c - i.c % 2
           select i.c, k - i.h + (select count(*) from own b where b.c = i.c - i.c % 20 and b.k <= i.h), role, text
           from ids i join own o on o.c = i.c and o.k > i.h),
 seqs as (select i.c, coalesce(list(md5(role) || md5(text) order by k) filter (k is not null), []) as ids,
-                coalesce(list(len(regexp_extract_all(text, '[^ 	-]+')) order by k) filter (k is not null), []) as ws
+                coalesce(list(len(regexp_extract_all(text, '[^ 	-
+]+')) order by k) filter (k is not null), []) as ws
          from ids i left join rows_ r on r.c = i.c group by i.c),
 steps as (select c, ids, ws, unnest(range(0, len(ids) + 1)) as d from seqs),
 nodes as (select d, ids[1:d] as path, min(c) as conv_id, count(*) as n_convs, any_value(case when d > 0 then ws[d] else 0 end) as w,
@@ -72,3 +73,19 @@ below as (select a.d, a.path, count(*) filter (b.n_children = 0) as n_leaves, su
 select f.conv_id, cast(f.d as bigint) as depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, b.n_leaves,
        cast(b.saved as bigint) as saved_tokens, sha256(f.ends) as ends_sha256
 from full_ f join below b using (d, path) left join nodes p on p.d = f.d - 1 and p.path = f.path[1:f.d - 1]"""
+
+TERMS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = f"""
+with d as (select row_number() over () as r, doc_id, {TERMS} as ts from documents),
+counts as (select cast(count(*) filter (len(ts) > 0) as bigint) as n_docs, cast(sum(len(ts)) as bigint) as n_terms from d),
+tf as (select r, t, count(*) as tf from (select r, unnest(ts) as t from d) group by all),
+w as (select t, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w
+      from tf, counts group by t, n_docs),
+items as (select row_number() over () as i, item_id, ts from (select distinct item_id, {TERMS} as ts, text from benchmark where text is not null)),
+asked as (select i, t, count(*) as times from (select i, unnest(ts) as t from items) group by all),
+scores as (select i, r, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(ts) * n_docs) // n_terms)))) as bigint) as score
+           from asked join tf using (t) join w using (t) join d using (r), counts group by i, r),
+ranked as (select i, r, score, row_number() over (partition by i order by score desc, doc_id nulls first) as rank
+           from scores join d using (r) where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked join d using (r) join items using (i) where rank <= 10"""
