@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_layers.llm import balltree, decontaminate, language, mixing, neardup, neighbours, pages, quality, quotes, repeats, secrets, sql, trie
+from retail_layers.llm import balltree, debruijn, decontaminate, language, mixing, neardup, neighbours, pages, quality, quotes, repeats, secrets, sql, trie
 from retail_layers.llm.common import held_out, table
 
 
@@ -68,6 +68,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("_m.items", ","), 256).alias("items_sha256"), (F.col("_m.n_hit") > 0).alias("contaminated"))
 
 
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = debruijn.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -79,7 +84,7 @@ def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_neighbours, op2_quotes, op3_repeats, op4_pages, op5_quality, op6_language, op7_mixing, op8_secrets, op9_neardup, op10_decontamination,
-                              op12_ranked, op13_trie)
+                              op11_passages, op12_ranked, op13_trie)
 }
 ORACLE: dict[str, str] = {"op7_mixing": sql.MIXING, "op10_decontamination": sql.DECONTAMINATION,
-                          "op12_ranked": sql.RANKED, "op13_trie": sql.TRIE}
+                          "op11_passages": sql.PASSAGES, "op12_ranked": sql.RANKED, "op13_trie": sql.TRIE}

@@ -89,3 +89,15 @@ scores as (select i, r, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf +
 ranked as (select i, r, score, row_number() over (partition by i order by score desc, doc_id nulls first) as rank
            from scores join d using (r) where score > 0)
 select item_id, cast(rank as integer) as rank, doc_id, score from ranked join d using (r) join items using (i) where rank <= 10"""
+
+PASSAGES = r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+starts as (select r, unnest(range(1, len(ws) - 33)) as i from d where len(ws) >= 35),
+named as (select r, i, md5(array_to_string(ws[i:i + 34], ' ')) as w from starts join d using (r)),
+twice as (select w from named group by w having count(*) > 1),
+gone as (select r, list(distinct p) as ps from (select r, unnest(range(i, i + 35)) as p from named join twice using (w)) group by r),
+flagged as (select d.r, unnest(ws) as word, generate_subscripts(ws, 1) as p from d),
+kept as (select f.r, string_agg(word, ' ' order by p) as rest from flagged f left join gone g on g.r = f.r
+         where ps is null or not list_contains(ps, cast(p as bigint)) group by f.r)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(len(ps), 0) as bigint) as n_removed, sha256(coalesce(rest, '')) as kept_sha256
+from d left join gone using (r) left join kept using (r)"""
