@@ -8,17 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from retail_layers.operators import slices
 from retail_layers.operators.columns import quoted, sortable
-from retail_layers.operators.skew import (
-    MAX_GROUP_ROWS,
-    keys_above,
-    matches,
-    set_apart,
-)
-from retail_layers.scratch import keep
+from retail_layers.operators.skew import MAX_GROUP_ROWS, keys_above, set_apart
 
 # Names under which a table may hold the time of its rows' last update; the first one found counts.
 UPDATE_COLUMNS = ("updated_at", "last_updated_at")
+# Slices of a large group are not cut smaller than this; tasks over fewer rows cost more than they do.
+LEAST_SLICE_ROWS = 1000
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,41 +75,25 @@ def dedup_rare(df: DataFrame, keys: Sequence[str],
 
 
 def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str,
-             max_group_rows: int = MAX_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+             max_group_rows: int = MAX_GROUP_ROWS, sizes: DataFrame | None = None,
+             slice_on: Sequence[Column] = (), least_rows: int = LEAST_SLICE_ROWS) -> DataFrame:
     """Number the rows of each group from 1 in ``order_by`` order (a total order).
 
-    Groups of more than ``max_group_rows`` rows never meet in one task. They are range
-    partitioned by group and order, so one group spreads over many slices in order;
-    each slice is numbered by itself and starts where the slices before it ended. The
-    slices are written to the shared checkpoint folder first, because both the counts
-    and the numbering have to see the same cut points. All other groups take a plain
-    window.
+    Groups of more than ``max_group_rows`` rows are cut into slices along the order, none
+    meant to hold fewer than ``least_rows``, so that no group has to meet in one task. Cut
+    points come from a quantile sketch over ``slice_on``: whole numbers that never fall
+    along the order, each among rows equal in those before it, NULLs first. A pass over the
+    narrow columns counts the rows per slice. The rows themselves are read and shuffled
+    once, by group and slice, whether groups are cut or not. Rows that agree in all of
+    ``slice_on`` stay in one slice; without it no group is cut.
 
     ``sizes`` may name a cheaper frame to find the large groups on, such as the raw
     table. It only steers which way a group goes; the numbers are the same either way.
     """
-    group = [quoted(c) for c in partition_by]
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)).cast("bigint")
-    large = keys_above(df if sizes is None else sizes, partition_by, max_group_rows)
+    limit = max(max_group_rows, least_rows)
+    large = keys_above(df if sizes is None else sizes, partition_by, limit) if slice_on else None
     if large is None:
-        return df.withColumn(out, place)
-
-    in_large, others = set_apart(df, partition_by, large)
-    wanted = -(-large.agg(F.sum("_rows")).first()[0] // max(max_group_rows, 1))
-    slices = keep(in_large.repartitionByRange(max(2, wanted), *group, *order_by)
-                  .withColumn("_slice", F.spark_partition_id()))
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        slices.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*[c.alias(f"_key_{i}") for i, c in enumerate(group)],
-                F.col("_slice").alias("_from_slice"),
-                F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    )
-    within = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order_by))
-    placed = slices.withColumn("_place", within)
-    numbered = (
-        placed.join(starts, matches(placed, partition_by, starts) & (placed["_slice"] == starts["_from_slice"]))
-        .withColumn(out, F.col("_place") + F.col("_start"))
-        .select(*[quoted(c) for c in df.columns], out)
-    )
-    return others.withColumn(out, place).unionByName(numbered)
+        window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(*order_by)
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+    cuts, starts = slices.cut_groups(df, partition_by, slice_on, large, limit)
+    return slices.numbered(df, partition_by, slice_on, order_by, out, cuts, starts)

@@ -12,6 +12,7 @@ from retail_layers.functions import dates, numbers, text
 from retail_layers.operators.derive import Rule, derive
 from retail_layers.operators.keys import sequence, tie_break
 from retail_layers.operators.skew import MAX_GROUP_ROWS
+from retail_layers.operators.slices import order_number
 
 # Cities, band limits as (upper bound, label, inclusive), thresholds, codes.
 METRO_CITIES = ("MUMBAI", "DELHI", "BENGALURU", "BANGALORE", "KOLKATA", "CHENNAI", "HYDERABAD", "PUNE")
@@ -140,12 +141,18 @@ def rules_for(name: str, as_of: Column | date) -> tuple[Rule, ...]:
     return rules[name]() if name in rules else ()
 
 
+def _order_numbers(df: DataFrame, when: str, key: str) -> list[Column]:
+    """What large groups may be cut on: the moment, then the row's key."""
+    numbers = [order_number(df, c) for c in (when, key) if c in df.columns]
+    return [n for n in numbers if n is not None] if numbers[0] is not None else []
+
+
 def number_orders(df: DataFrame, max_group_rows: int = MAX_GROUP_ROWS,
                   sizes: DataFrame | None = None) -> DataFrame:
     """Place of each order among its customer's, undated ones first, ties by ``order_id``."""
     tie = tie_break(df, "order_id", ("customer_id", "order_date"))
     numbered = sequence(df, ["customer_id"], [F.col("order_date").asc_nulls_first(), *tie],
-                        "customer_order_sequence", max_group_rows, sizes)
+                        "customer_order_sequence", max_group_rows, sizes, _order_numbers(df, "order_date", "order_id"))
     return numbered.withColumn("is_first_order", F.col("customer_order_sequence") == 1)
 
 
@@ -154,7 +161,7 @@ def number_payments(df: DataFrame, max_group_rows: int = MAX_GROUP_ROWS,
     """Attempt number of each payment within its order, ties by ``payment_id``."""
     tie = tie_break(df, "payment_id", ("order_id", "payment_date"))
     return sequence(df, ["order_id"], [F.col("payment_date").asc_nulls_first(), *tie],
-                    "payment_attempt_number", max_group_rows, sizes)
+                    "payment_attempt_number", max_group_rows, sizes, _order_numbers(df, "payment_date", "payment_id"))
 
 
 NUMBERED = {

@@ -13,6 +13,7 @@ from retail_layers.functions import dates, numbers, text
 from retail_layers.operators import columns, keys, quality
 from retail_layers.operators.derive import Rule, derive
 from retail_layers.operators.joins import lookup_left
+from retail_layers.operators.slices import order_number
 from retail_layers.plans import clean, enrich, star
 from retail_queries.shapes import table
 
@@ -389,7 +390,7 @@ def order_sequence(spark, sf):
 
 @query(SEQUENCE_SQL)
 def order_sequence_split(spark, sf):
-    """The same numbers with every group above ten rows spread over range slices."""
+    """The same numbers with the least limit that counts: slices hold a thousand rows at least."""
     return enrich.number_orders(_orders(spark, sf), max_group_rows=10)
 
 
@@ -409,10 +410,22 @@ def attempt_number(spark, sf):
                as place
     from events""")
 def sequence_few_groups(spark, sf):
-    """Five groups for the whole table, each split by range so none meets in one task."""
+    """Five groups for the whole table, each cut into slices so none meets in one task."""
     events = table(spark, sf, "events").select("event_id", "event_type", "ts")
     return keys.sequence(events, ["event_type"], [F.col("ts").asc_nulls_first(), F.col("event_id").asc_nulls_first()],
-                         "place", max_group_rows=100)
+                         "place", max_group_rows=100, slice_on=[order_number(events, "ts"), order_number(events, "event_id")])
+
+
+@query("""
+    select o_orderkey, if(o_custkey % 3 = 0, 0, o_custkey) as o_custkey, o_orderdate,
+           row_number() over (partition by if(o_custkey % 3 = 0, 0, o_custkey) order by o_orderdate asc nulls first, o_orderkey) as place
+    from orders""")
+def order_sequence_hot_customer(spark, sf):
+    """A third of all orders under one customer, and every day's orders alike."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 3 == 0, 0).otherwise(F.col("o_custkey")).alias("o_custkey"), "o_orderdate")
+    return keys.sequence(orders, ["o_custkey"], [F.col("o_orderdate").asc_nulls_first(), F.col("o_orderkey").asc()], "place",
+                         max_group_rows=1000, slice_on=[order_number(orders, "o_orderdate"), order_number(orders, "o_orderkey")])
 
 
 @query("""

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from retail_layers.operators import keys, skew
+from retail_layers.operators import keys, skew, slices
 from retail_layers.operators.joins import lookup_left
 from retail_layers.plans import enrich, star
 
@@ -67,12 +67,12 @@ def brute_sequence(data):
     return {(k, tie): i for k, members in groups.items() for i, (_, tie) in enumerate(sorted(members), 1)}
 
 
-@pytest.mark.parametrize("limit", [10**6, 40, 1, 0])
+@pytest.mark.parametrize("limit", [10**6, 1500, 0])
 def test_sequence_with_one_key_holding_a_third(spark, limit):
     random.seed(limit)
     start = datetime(2025, 1, 1)
     data = []
-    for i in range(3000):
+    for i in range(12000):
         key = 7 if i % 3 == 0 else (None if i % 11 == 0 else random.randint(0, 60))
         # many ties, and all of one key's rows at one moment
         when = start if key == 7 and i % 2 else (None if random.random() < 0.1 else start + timedelta(days=random.randint(0, 9)))
@@ -85,14 +85,45 @@ def test_sequence_with_one_key_holding_a_third(spark, limit):
     assert out.schema["customer_order_sequence"].dataType.simpleString() == "bigint"
 
 
-def test_large_groups_are_spread_over_slices(spark, monkeypatch):
-    written = []
-    monkeypatch.setattr(keys, "keep", lambda df: written.append(skew.keep(df)) or written[-1])
-    df = spark.range(20000).selectExpr("int(id % 2) as k", "id as v")
-    out = keys.sequence(df, ["k"], [F.col("v").asc_nulls_first()], "n", max_group_rows=5000)
-    per_slice = {r["_slice"]: r["count"] for r in written[0].groupBy("_slice").count().collect()}
-    assert len(per_slice) == 4 and max(per_slice.values()) < 9000
-    assert out.agg(F.count_if(F.col("n") != F.floor(F.col("v") / 2) + 1)).first()[0] == 0
+def cut(df, by, numbers, rows):
+    large = skew.keys_above(df, by, rows)
+    cuts, starts = slices.cut_groups(df, by, numbers, large, rows)
+    return slices.mark(df, by, numbers, cuts), cuts, starts
+
+
+def test_large_groups_are_spread_over_slices(spark):
+    df = spark.range(20000).selectExpr("int(id % 2) as k", "id as v").unionAll(spark.range(30).selectExpr("int(5) as k", "id as v"))
+    marked, _, _ = cut(df, ["k"], [F.col("v")], 1000)
+    sizes = {(r["k"], tuple(r["_slice"])): r["count"] for r in marked.groupBy("k", "_slice").count().collect()}
+    assert sizes.pop((5, ())) == 30
+    assert len(sizes) == 20 and max(sizes.values()) <= 2000 and min(sizes.values()) >= 500
+    out = keys.sequence(df, ["k"], [F.col("v").asc_nulls_first()], "n", max_group_rows=1000, slice_on=[F.col("v")])
+    assert out.where("k < 5").agg(F.count_if(F.col("n") != F.floor(F.col("v") / 2) + 1)).first()[0] == 0
+
+
+def test_a_heavy_value_is_cut_on_the_next_number(spark):
+    """Nine tenths at one moment, the last of all, and rows that agree in everything."""
+    df = spark.range(30000).selectExpr("1 as k", "if(id % 10 = 0, id, 50000L) as v", "if(id > 20000, 1L, id) as w")
+    marked, cuts, _ = cut(df, ["k"], [F.col("v"), F.col("w")], 1000)
+    assert len(cuts) == 2
+    sizes = marked.groupBy("_slice").agg(F.count("*").alias("n"), F.countDistinct("v", "w").alias("d")).collect()
+    assert all(r["n"] <= 2000 or r["d"] == 1 for r in sizes) and len(sizes) > 15
+
+
+def test_more_slices_than_one_cut_gives(spark):
+    marked, cuts, _ = cut(spark.range(40000).selectExpr("1 as k", "id as v"), ["k"], [F.col("v")], 100)
+    sizes = [r["count"] for r in marked.groupBy("_slice").count().collect()]
+    assert len(cuts) == 2 and max(sizes) <= 200 and len(sizes) > 200
+
+
+def test_wide_rows_are_read_once_whether_groups_are_cut_or_not(spark, folder):
+    spark.range(30000).selectExpr("if(id % 3 = 0, 7, id) as k", "id as v", "cast(id as string) as pad").write.parquet(folder)
+    df = spark.read.parquet(folder)
+    for limit in (1000, 10**6):
+        shown = plan(keys.sequence(df, ["k"], [F.col("v").asc_nulls_first()], "n", max_group_rows=limit, slice_on=[F.col("v")]))
+        shown = shown[shown.index("== Physical Plan =="):]
+        assert "rangepartitioning" not in shown
+        assert shown.count("pad:string") == 1 and shown.count("Exchange hashpartitioning") == 1
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -101,16 +132,26 @@ def test_large_groups_are_spread_over_slices(spark, monkeypatch):
 def test_sequence_property(spark, pairs, limit):
     data = [(k, o, i) for i, (k, o) in enumerate(pairs)]
     df = spark.createDataFrame(data, "k int, o int, tie int")
-    out = keys.sequence(df, ["k"], [F.col("o").asc_nulls_first(), F.col("tie").asc()], "n", max_group_rows=limit)
+    out = keys.sequence(df, ["k"], [F.col("o").asc_nulls_first(), F.col("tie").asc()], "n", max_group_rows=limit,
+                        slice_on=[slices.order_number(df, c) for c in ("o", "tie")], least_rows=1)
     assert {(r["k"], r["tie"]): r["n"] for r in out.collect()} == brute_sequence(data)
 
 
+def test_numbers_follow_moments_dates_and_whole_numbers(spark):
+    df = spark.sql("""select timestamp_seconds(id * 40000) as a, cast(timestamp_seconds(id * 40000) as timestamp_ntz) as b,
+                      date_add(date'1969-12-01', int(id)) as c, cast(id as smallint) as d, string(id) as e from range(60)""")
+    assert slices.order_number(df, "e") is None
+    for c in "abcd":
+        found = [r[0] for r in df.orderBy(c).select(slices.order_number(df, c)).collect()]
+        assert found == sorted(found) and len(set(found)) == 60
+
+
 def test_sizes_from_another_frame_only_steer(spark):
     data = [(1, i % 4, i) for i in range(30)]
     df = spark.createDataFrame(data, "k int, o int, tie int")
     order = [F.col("o").asc(), F.col("tie").asc()]
     raw = df.unionAll(df)
-    out = keys.sequence(df, ["k"], order, "n", max_group_rows=40, sizes=raw)
+    out = keys.sequence(df, ["k"], order, "n", max_group_rows=40, sizes=raw, slice_on=[F.col("o"), F.col("tie")], least_rows=1)
     assert {(r["k"], r["tie"]): r["n"] for r in out.collect()} == brute_sequence(data)
 
 
