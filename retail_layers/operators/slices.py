@@ -18,6 +18,7 @@ from retail_layers.operators.skew import if_small, matches
 from retail_layers.scratch import keep
 
 CUTS = 64  # slices one cut makes of a group at most; slices still too large are cut again
+STRIDE = 8
 ACCURACY = 10_000
 FIRST = -(1 << 63)  # where missing values stand: before all others
 
@@ -37,8 +38,13 @@ def order_number(df: DataFrame, col: str) -> Column | None:
 
 
 def _position(value: Column) -> Column:
-    """How many cuts lie before ``value``; a heavy point is also cut off from what is before it."""
-    return F.size(F.filter("_points", lambda p: p < value)) + F.size(F.filter("_heavy", lambda p: p <= value))
+    """How many cuts lie before ``value``; a heavy point is also cut off from what is before it.
+
+    Every ``STRIDE``th point is looked at first, then those between two of them.
+    """
+    passed = STRIDE * F.size(F.filter("_coarse", lambda p: p < value))
+    near = F.size(F.filter(F.slice("_points", passed + 1, F.lit(STRIDE)), lambda p: p < value))
+    return passed + near + F.size(F.filter("_heavy", lambda p: p <= value))
 
 
 def mark(df: DataFrame, keys: Sequence[str], numbers: Sequence[Column], cuts: Sequence[DataFrame]) -> DataFrame:
@@ -67,8 +73,10 @@ def _sketched(marked: DataFrame, keys: Sequence[str], numbers: Sequence[Column],
     # a value is heavy that fills a slice by itself
     share = F.greatest(F.lit(2), F.floor(F.lit(CUTS) / F.col("_wanted")) - 1)
     heavy = F.filter(F.array_distinct("_all"), lambda p: F.size(F.filter("_q", lambda x: x == p)) >= share)
-    return keep(sketch.withColumn("_all", picked).select(
-        *names, "_path", "_which", F.array_distinct("_all").alias("_points"), heavy.alias("_heavy")))
+    coarse = F.filter("_points", lambda p, i: (i + 1) % STRIDE == 0)
+    return keep(
+        sketch.withColumn("_all", picked).withColumn("_points", F.array_distinct("_all"))
+        .select(*names, "_path", "_which", "_points", coarse.alias("_coarse"), heavy.alias("_heavy")))
 
 
 def cut_groups(df: DataFrame, keys: Sequence[str], numbers: Sequence[Column], large: DataFrame, rows: int) -> tuple[list[DataFrame], DataFrame]:
