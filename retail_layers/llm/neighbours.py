@@ -174,7 +174,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
     nodes = keep(
         rows.groupBy("node", "vec_id").agg(F.first("v").alias("v"))
         .withColumn("_place", F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))).where(F.col("_place") <= k + 1)
-        .groupBy("node").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
+        .groupBy("node").agg(F.first("v").alias("v"), F.min("vec_id").alias("least"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
     queries = keep(rows.where(is_query).select("node", F.col("vec_id").alias("query_id")).distinct())
     n = nodes.count()
     longest = nodes.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))).first()[0] or 0.0
@@ -184,21 +184,25 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
     wanted = max(probes, _leaves_needed(nodes, queries, grown, longest, k)) if probes < grown.n_leaves else probes
     if wanted > probes and wanted * leaf_rows > DENSE * n:
         return _listed(_compared(nodes, queries, n, k), nodes, queries, k)
-    forest = spark.sparkContext.broadcast(grown)
+    # plain arrays: executors need no copy of the package to read them
+    sent = spark.sparkContext.broadcast((grown.normals, grown.offsets, grown.children, grown.roots))
 
     def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest = Forest(*sent.value)
         for batch in batches:
             x = np.stack(batch["v"].to_numpy()).astype(np.float64)
-            leaves = forest.value.leaves(_lifted(x, longest))
+            leaves = forest.leaves(_lifted(x, longest))
             yield pd.DataFrame({"leaf": leaves.ravel(), "node": np.repeat(batch["node"].to_numpy(), leaves.shape[1]),
+                                "least": np.repeat(batch["least"].to_numpy(), leaves.shape[1]),
                                 "v": np.repeat(batch["v"].to_numpy(), leaves.shape[1])})
 
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest = Forest(*sent.value)
         for batch in batches:
             for at in range(0, len(batch), 64):
                 part = batch.iloc[at:at + 64]
                 x = np.stack(part["v"].to_numpy()).astype(np.float64)
-                found = forest.value.probes(np.c_[x, np.zeros(len(x))], wanted)
+                found = forest.probes(np.c_[x, np.zeros(len(x))], wanted)
                 count = [len(f) for f in found]
                 yield pd.DataFrame({"leaf": np.concatenate(found), "node": np.repeat(part["node"].to_numpy(), count),
                                     "v": np.repeat(part["v"].to_numpy(), count)})
@@ -207,7 +211,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
         return _scored(held, asked, k)
 
     kind = dict(nodes.dtypes)["v"]
-    index = nodes.select("node", "v").mapInPandas(routed, f"leaf bigint, node bigint, v {kind}")
+    index = nodes.select("node", "least", "v").mapInPandas(routed, f"leaf bigint, node bigint, least bigint, v {kind}")
     asked = nodes.join(queries.select("node").distinct(), "node", "left_semi").select("node", "v").mapInPandas(
         probed, f"leaf bigint, node bigint, v {kind}")
     found = index.groupBy("leaf").cogroup(asked.groupBy("leaf")).applyInPandas(scored, "query bigint, node bigint, score double")
@@ -215,17 +219,26 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
 
 
 def _scored(held: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
-    """query, node, score: the best ``k`` and the query itself of all ``held`` for each one ``asked``."""
+    """query, node, score: the best ``k`` and the query itself of all ``held`` for each one ``asked``; of
+    equal scores those with the smallest ids.
+
+    A matrix product finds what may be among the best. Its last bits depend on the shape of the block, so
+    these are scored again row by row, by one formula wherever they lie.
+    """
     if not len(held) or not len(asked):
         return pd.DataFrame({"query": [], "node": [], "score": []})
     x, q = (np.stack(f["v"].to_numpy()).astype(np.float64) for f in (held, asked))
-    names, out = held["node"].to_numpy(), []
+    names, least, queries, out = held["node"].to_numpy(), held["least"].to_numpy(), asked["node"].to_numpy(), []
+    slack = 1e-10 * np.sqrt((x * x).sum(1).max() * (q * q).sum(1))
     for at in range(0, len(q), 512):
-        score = q[at:at + 512] @ x.T
-        best = np.argsort(-score, axis=1, kind="stable")[:, :k + 1]
-        out.append(pd.DataFrame({"query": np.repeat(asked["node"].to_numpy()[at:at + 512], best.shape[1]),
-                                 "node": names[best].ravel(), "score": np.take_along_axis(score, best, 1).ravel()}))
-    return pd.concat(out)
+        product = q[at:at + 512] @ x.T
+        edge = np.partition(product, max(len(x) - k - 1, 0), axis=1)[:, max(len(x) - k - 1, 0)]
+        for row, one in enumerate(product):
+            close = np.flatnonzero(one >= edge[row] - slack[at + row])
+            score = np.einsum("ij,j->i", x[close], q[at + row])
+            best = np.lexsort((least[close], -score))[:k + 1]
+            out.append((np.full(len(best), queries[at + row]), names[close[best]], score[best]))
+    return pd.DataFrame(dict(zip(("query", "node", "score"), map(np.concatenate, zip(*out)))))
 
 
 def _leaves_needed(nodes: DataFrame, queries: DataFrame, forest: Forest, longest: float, k: int) -> int:
@@ -242,7 +255,7 @@ def _leaves_needed(nodes: DataFrame, queries: DataFrame, forest: Forest, longest
         for batch in batches:
             yield _scored(batch, checked.value, k)
 
-    every = nodes.select("node", "v").mapInPandas(nearest, "query bigint, node bigint, score double")
+    every = nodes.select("node", "least", "v").mapInPandas(nearest, "query bigint, node bigint, score double")
     ranked = every.withColumn("_at", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node")))
     true = ranked.where(F.col("_at") <= k + 1).where("node <> query").join(nodes, "node").select("query", "v").toPandas()
     of = {query: _lifted(np.array(v.tolist(), np.float64), longest) for query, v in true.groupby("query")["v"]}
@@ -256,7 +269,7 @@ def _compared(nodes: DataFrame, queries: DataFrame, n: int, k: int) -> DataFrame
     blocks = -(-asked.count() // BLOCK_QUERIES)
     slices = max(LEAST_SLICES, -(-n // SLICE_ROWS))
     block, slice_ = F.pmod(F.xxhash64("node"), F.lit(blocks or 1)), F.pmod(F.hash("node"), F.lit(slices))
-    every = nodes.select("node", "v", slice_.alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))).alias("block"))
+    every = nodes.select("node", "least", "v", slice_.alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))).alias("block"))
     asked = asked.select("node", "v", block.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
     return every.groupBy("slice", "block").cogroup(asked.groupBy("slice", "block")).applyInPandas(
         lambda held, q: _scored(held, q, k), "query bigint, node bigint, score double")

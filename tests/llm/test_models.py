@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,24 @@ def test_leaves_grow_until_the_true_neighbours_are_met():
         return np.mean([np.isin(forest.leaves(t), p).any(1).mean() for t, p in zip(true, forest.probes(q, n))])
 
     assert met(wanted) >= 0.9 > met(wanted // 2) and 16 < wanted < forest.n_leaves
+
+
+@pytest.mark.parametrize("n", [399, 3000])
+def test_equal_products_go_to_the_smaller_ids(spark, n):
+    """All inner products of the query are equal: by trees or not, the smallest ids are the nearest."""
+    rows = [(i, [1.0, float(i)]) for i in range(n)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(7)
+    found = neighbours.search(df, F.col("vec_id") == 0, sample_rows=50_000).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == list(range(1, 21)) and {r["score"] for r in found} == {1.0}
+
+
+def test_scores_do_not_depend_on_the_block(spark):
+    """Copies of a vector under other lengths of the block keep one score, and ties by id hold at the edge."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(300, 64)).astype(np.float32)
+    held = pd.DataFrame({"node": np.arange(300), "least": np.arange(300)[::-1].copy(), "v": list(v)})
+    asked = pd.DataFrame({"node": np.arange(40), "v": list(v[:40])})
+    whole = neighbours._scored(held, asked, 20)
+    parts = pd.concat([neighbours._scored(held.iloc[a:a + 37], asked, 20) for a in range(0, 300, 37)])
+    merged = whole.merge(parts, on=["query", "node"], suffixes=("", "_part"))
+    assert len(merged) == len(whole) == 40 * 21 and (merged["score"] == merged["score_part"]).all()
