@@ -72,6 +72,13 @@ class SuffixAutomaton:
                         held.add(name)
         self.least = min((w for by in self.windows.values() for w in by), default=0)
 
+    @classmethod
+    def restored(cls, state: dict) -> SuffixAutomaton:
+        """An automaton from its attributes, which are plain lists and dictionaries."""
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
     def _extend(self, last: int, c: int) -> int:
         step, link, size = self.step, self.link, self.size
         known = step[last].get(c)
@@ -186,7 +193,7 @@ def mark(documents: DataFrame, benchmark: DataFrame, out: str, text: str = "text
     spark = documents.sparkSession
     done = None
     for automaton in shards(benchmark, shard_words, length):
-        sent = spark.sparkContext.broadcast(automaton)
+        sent = spark.sparkContext.broadcast(vars(automaton))  # executors need no copy of the package to read it
         if done is None:
             done = documents.withColumn(out, _first(sent)(F.col(text)))
         else:
@@ -197,14 +204,14 @@ def mark(documents: DataFrame, benchmark: DataFrame, out: str, text: str = "text
 def _first(sent):
     @F.pandas_udf(RESULT)
     def run(text: pd.Series) -> pd.DataFrame:
-        return _mark(text, None, sent.value if sent else None)
+        return _mark(text, None, SuffixAutomaton.restored(sent.value) if sent else None)
     return run.asNondeterministic()
 
 
 def _next(sent):
     @F.pandas_udf(RESULT)
     def run(text: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
-        return _mark(text, before, sent.value)
+        return _mark(text, before, SuffixAutomaton.restored(sent.value))
     return run.asNondeterministic()
 
 
