@@ -246,7 +246,7 @@ def spans(documents: DataFrame, text: str = "text") -> DataFrame:
     occurrence of a repeated passage; passage is a hash that names it."""
     texts = keyed(documents, text).where(F.length("text") >= 2 * WINDOW - 1)
     rows = keep(texts.mapInArrow(_contexts, CONTEXTS))
-    shared = (
+    shared = keep(  # written, because Spark splits a hot anchor only where both sides of the join come from shuffles
         rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.min("context").alias("_lo"), F.max("context").alias("_hi"))
         .where("_n > 1").select("anchor", F.expr("_lo <> _hi").alias("several")))
     held = keep(rows.join(shared, "anchor"))
