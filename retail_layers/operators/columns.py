@@ -123,6 +123,12 @@ def conform(df: DataFrame, ddl: str | T.StructType) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
+def digest(df: DataFrame, col: str) -> Column:
+    """32 characters that stand for a long value, equal where the values are."""
+    kind = df.schema[col].dataType
+    return F.md5(quoted(col) if isinstance(kind, (T.StringType, T.BinaryType)) else F.to_json(quoted(col), {"ignoreNullFields": "false"}))
+
+
 def sortable(df: DataFrame, col: str) -> Column:
     """``col`` as something Spark can order: maps and variants by their JSON text."""
     def orderable(dtype: T.DataType) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_layers.operators import slices
-from retail_layers.operators.columns import quoted, sortable
+from retail_layers.operators.columns import digest, quoted, sortable
 from retail_layers.operators.skew import MAX_GROUP_ROWS, keys_above, set_apart
 
 # Names under which a table may hold the time of its rows' last update; the first one found counts.
@@ -39,28 +39,34 @@ def tie_break(df: DataFrame, key: str, used: Sequence[str]) -> list[Column]:
     return [sortable(df, c).asc_nulls_first() for c in rest]
 
 
-def newest_first(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    """A total order of the rows of one key: the last update first, then all other columns, NULLs last."""
+def newest_first(df: DataFrame, keys: Sequence[str], long: Sequence[str] = ()) -> list[Column]:
+    """A total order of the rows of one key: the last update first, then all other columns, NULLs last.
+
+    ``long`` columns come last and by their digest, so no sort or exchange has to carry
+    them unless the result does.
+    """
     rest = [c for c in df.columns if c not in keys]
     when = [c for c in UPDATE_COLUMNS if c in rest][:1]
     return [*[quoted(c).desc_nulls_last() for c in when],
-            *[sortable(df, c).asc_nulls_last() for c in rest if c not in when]]
+            *[sortable(df, c).asc_nulls_last() for c in rest if c not in when and c not in long],
+            *[digest(df, c).asc_nulls_last() for c in rest if c in long]]
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None,
+          long: Sequence[str] = ()) -> DataFrame:
     """One row per key (NULL keys are one key), the least by ``order_by``.
 
     Without ``order_by`` the row updated last stays; every other column takes part in
     order, NULLs last, so rows that still tie are equal and the result does not depend on
-    their placement.
+    their placement. Columns named as ``long`` take part last, by their digest.
     """
     if order_by is None:
-        order_by = newest_first(df, keys)
+        order_by = newest_first(df, keys, long)
     return first_per_group(df, keys, order_by) if order_by else df.dropDuplicates(list(keys))
 
 
 def dedup_rare(df: DataFrame, keys: Sequence[str],
-               order_by: Sequence[Column | str] | None = None) -> DataFrame:
+               order_by: Sequence[Column | str] | None = None, long: Sequence[str] = ()) -> DataFrame:
     """``dedup`` for tables whose keys hardly ever repeat, such as exported primary keys.
 
     A first pass over the key columns finds the repeated keys. Only their rows are
@@ -71,7 +77,7 @@ def dedup_rare(df: DataFrame, keys: Sequence[str],
     if repeated is None:
         return df
     copies, single = set_apart(df, keys, repeated)
-    return single.unionByName(dedup(copies, keys, order_by))
+    return single.unionByName(dedup(copies, keys, order_by, long))
 
 
 def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str,

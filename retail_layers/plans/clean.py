@@ -113,6 +113,7 @@ class TableRules:
     keys: tuple[str, ...]
     steps: tuple[Step, ...]
     required: tuple[str, ...] | None = None  # key columns that may not be NULL; default: all
+    long: tuple[str, ...] = ()  # columns compared by their digest where rows of one key compete
 
 
 def _timestamps(*cols: str) -> Step:
@@ -148,7 +149,7 @@ RULES: dict[str, TableRules] = {
     "product_reviews": TableRules(("review_id",), (
         clean_rating, limit_text,
         _codes("status", REVIEW_STATUSES, "review_status_is_valid"),
-        _timestamps("review_date"))),
+        _timestamps("review_date")), long=("review_text", "metadata")),
 }
 
 
@@ -168,7 +169,7 @@ def clean_table(name: str, df: DataFrame, run_ts: Column | datetime,
     for step in rules.steps:
         df = step(df, max_length=max_review_chars) if step is limit_text else step(df)
     keep_one = dedup_rare if rare_duplicates else dedup
-    return keep_one(require_keys(df, rules.required or rules.keys), rules.keys)
+    return keep_one(require_keys(df, rules.required or rules.keys), rules.keys, long=rules.long)
 
 
 def clean_tables(tables: Mapping[str, DataFrame], run_ts: Column | datetime,

@@ -383,6 +383,14 @@ SEQUENCE_SQL = """
                  asc nulls first, o_orderkey)"""
 
 
+@query("""
+    select source, lang, n_chars, text from documents
+    qualify row_number() over (partition by source, lang order by n_chars asc nulls last, md5(text) asc nulls last) = 1""")
+def dedup_long_texts(spark, sf):
+    """Texts decide last and by their digest."""
+    return keys.dedup(table(spark, sf, "documents").select("source", "lang", "n_chars", "text"), ["source", "lang"], long=["text"])
+
+
 @query(SEQUENCE_SQL)
 def order_sequence(spark, sf):
     return enrich.number_orders(_orders(spark, sf))

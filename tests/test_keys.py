@@ -1,5 +1,6 @@
 """Deduplication, top-1, sequences, lookups: results, skew paths and plan shapes."""
 
+import hashlib
 import random
 from datetime import datetime, timedelta
 
@@ -43,6 +44,17 @@ def test_dedup_keeps_the_last_update_and_the_fullest_of_equals(spark, rows):
     assert rows(keys.dedup_rare(df, ["k"])) == rows(keys.dedup(df, ["k"]))
 
 
+def test_long_columns_decide_last_and_by_digest(spark, rows):
+    texts = ["b" * 9000, "a" * 9000, "c"]
+    data = [(1, t, {"k": i}, 5) for i, t in enumerate(texts)] + [(2, "z", None, 1), (2, "y", {"k": 1}, 2), (3, None, None, 1), (3, "x", None, 1)]
+    df = spark.createDataFrame(data, "k int, text string, meta map<string,int>, q int")
+    for frame in (df, df.repartition(3)):
+        out = {r["k"]: r for r in keys.dedup(frame, ["k"], long=["text", "meta"]).collect()}
+        assert out[1]["text"] == min(texts, key=lambda t: hashlib.md5(t.encode()).hexdigest())
+        assert out[2]["text"] == "z" and out[3]["text"] == "x"
+    assert keys.dedup_rare(df, ["k"], long=["text", "meta"]).count() == 3
+
+
 def test_top_one_is_cut_before_the_exchange(spark):
     df = spark.range(100).selectExpr("id % 3 as k", "id as v")
     shown = plan(keys.first_per_group(df, ["k"], ["v"]))
@@ -210,11 +222,29 @@ def test_written_facts_split_a_hot_order(spark, conf):
     assert "skew=true" in final_plan(star.fact_order_items(items, orders))
 
 
-def test_hot_orders_set_apart_are_not_shuffled(spark, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+def test_lines_are_read_once_and_hot_orders_join_without_their_key(spark, conf, folder):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+         spark__sql__adaptive__coalescePartitions__enabled="false")
     items, orders = skewed_items(spark)
+    items.where("order_id <> 14").unionAll(items.selectExpr("order_item_id", "cast(null as bigint) as order_id", *items.columns[2:]).limit(900)) \
+        .repartition(6).write.parquet(folder)
+    items = spark.read.parquet(folder)
     out = star.fact_order_items(items, orders, max_key_rows=1000)
     shown = final_plan(out)
-    assert "BroadcastHashJoin" in shown and "SortMergeJoin" in shown
-    assert out.count() == 60000
-    assert out.where("order_date_key is null").count() == 0
+    shown = shown[:shown.index("== Initial Plan ==")]
+    assert "BroadcastHashJoin" in shown and "SortMergeJoin" in shown and shown.count("pad") == 0
+    assert shown.count("FileScan parquet") == 2  # lines, and the written few rows of the hot orders
+    got = out.groupBy("order_id").agg(F.count("*").alias("n"), F.min("customer_key").alias("c"), F.max("order_date_key").alias("d"))
+    per_order = {r["order_id"]: (r["n"], r["c"], r["d"]) for r in got.where("n > 1").collect()}
+    assert per_order == {7: (20001, 7, 20250101), None: (900, None, None)}
+    sizes = out.withColumn("_p", F.spark_partition_id()).groupBy("_p").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < out.count() / 4 and sizes[1] == 8
+
+
+def test_hot_key_without_a_match_and_too_many_hot_keys(spark, rows, monkeypatch):
+    facts, dim = lookup_frames(spark)
+    dim = dim.where("key <> 7")
+    want = rows(lookup_left(facts, dim, "k", {"name": "label"}, dim_on="key"))
+    assert rows(lookup_left(facts, dim, "k", {"name": "label"}, dim_on="key", max_key_rows=5)) == want
+    monkeypatch.setattr("retail_layers.operators.joins.is_small", lambda df: False)
+    assert rows(lookup_left(facts, dim, "k", {"name": "label"}, dim_on="key", max_key_rows=5)) == want

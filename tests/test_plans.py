@@ -49,6 +49,21 @@ def test_one_row_per_key_shuffles_once(spark, name):
     assert len(exchanges(df)) == 1 and plan(df).count("WindowGroupLimit") == 2
 
 
+def steps(df, *kinds):
+    """The blocks of the formatted plan for nodes of these kinds, with the columns that go in and out."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    blocks = re.split(r"\n\n+", text)
+    return [b for b in blocks if re.match(r"\(\d+\) (" + "|".join(kinds) + r")\b", b.strip())]
+
+
+def test_long_texts_take_no_part_in_sorts_and_exchanges(spark):
+    found = steps(entry.queries()["gold_product_review_summary"](spark, SF), "Sort", "Exchange", "Window", "WindowGroupLimit")
+    assert found and not [b for b in found if "review_text" in b or "metadata" in b]
+    carried = steps(entry.queries()["clean_product_reviews"](spark, SF), "Exchange")
+    assert carried and all("review_text" in b for b in carried)
+
+
 def test_customer_and_address_meet_without_another_exchange(spark, conf):
     conf(**NO_BROADCAST)
     df = lq.star_table(spark, SF, "dim_customer")
