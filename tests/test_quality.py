@@ -51,3 +51,21 @@ def test_report_over_declared_constraints(spark, rows):
         key=lambda r: [(v is not None, str(v)) for v in r])
     with pytest.raises(ValueError, match="none"):
         integrity.report({"unrelated": spark.range(1)})
+
+
+def test_report_reads_each_table_twice_and_agrees_with_single_checks(spark, rows, folder):
+    spark.range(4000).selectExpr(
+        "int(id % 3900) as order_id", "if(id % 3 = 0, 7, int(id % 50)) as customer_id", "timestamp_seconds(id) as order_date",
+        "if(id % 9 = 0, null, int(id)) as billing_address_id").write.parquet(f"{folder}/orders")
+    spark.range(40).selectExpr("int(id) as customer_id", "concat('m', id % 38) as email", "if(id = 3, null, 'A') as first_name").write.parquet(f"{folder}/customer")
+    spark.range(3000).selectExpr("int(id) as customer_address_id", "int(id % 60) as customer_id").write.parquet(f"{folder}/customer_address")
+    spark.range(900).selectExpr("if(id % 2 = 0, null, int(id % 30)) as warehouse_id", "int(id % 45) as product_variant_id").write.parquet(f"{folder}/inventory_level")
+    tables = {n: spark.read.parquet(f"{folder}/{n}") for n in ("orders", "customer", "customer_address", "inventory_level")}
+    report = integrity.report(tables)
+    shown = report._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("FileScan parquet") == 2 * len(tables) and shown.count("Exchange hashpartitioning(number") == 2
+    got = {(r["check"], r["table_name"], r["column_names"]): r["violations"] for r in report.collect()}
+    want = {("unique", n, c): df.count() for (n, c), df in integrity.repeated_keys(tables).items()}
+    want |= {("reference", n, c): sum(r["row_count"] for r in df.collect()) for (n, c), df in integrity.broken_references(tables).items()}
+    want |= {("not null", n, r["column_name"]): r["null_rows"] for n, df in integrity.missing_values(tables).items() for r in df.collect()}
+    assert got == want and min(sum(v for (k, *_), v in want.items() if k == kind) for kind in ("unique", "reference", "not null")) > 0
