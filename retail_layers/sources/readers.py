@@ -62,7 +62,9 @@ def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None
     """
     if malformed not in ("fail", "reject"):
         raise ValueError(f"malformed must be fail or reject, not {malformed!r}")
-    if malformed == "reject" and schema is not None:
+    if malformed == "reject" and schema is None:
+        raise ValueError("without a schema no record is known to be malformed")
+    if malformed == "reject":
         found = _with_rejects(spark, path, schema, multi_line)
         # Spark refuses to filter on the rejected text alone, so the filter names another column too
         also = F.hash(quoted(found.columns[0])) >= F.lit(-(1 << 31))
@@ -98,22 +100,55 @@ def read_json_feeds(spark: SparkSession, base: str, files: Mapping[str, str],
     }
 
 
-def read_tsv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
+             malformed: str = "keep") -> DataFrame:
     """Tab-separated text with a header; empty fields are NULL.
 
     With a schema the header has to name its columns in order, and 0/1 flags become
-    booleans; without one the types are inferred by an extra pass over the data.
+    booleans; without one the types are inferred by an extra pass over the data. Rows
+    with missing or surplus fields, or values of another type, are kept as far as they can
+    be read; with ``malformed="reject"`` they are left out, to be had from ``tsv_rejects``.
+    A line of nothing but tabs and spaces is no row.
     """
-    reader = spark.read.option("header", True).option("sep", "\t").option("nullValue", "")
+    if malformed not in ("keep", "reject"):
+        raise ValueError(f"malformed must be keep or reject, not {malformed!r}")
+    if malformed == "reject":
+        if schema is None:
+            raise ValueError("without a schema no row is known to be malformed")
+        found = _tsv_with_rejects(spark, path, schema)
+        also = F.hash(quoted(found.columns[0])) >= F.lit(-(1 << 31))  # as in read_json
+        return found.where(F.col(REJECT).isNull() & also).drop(REJECT)
+    reader = _tsv(spark)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     declared = parse_schema(schema)
-    # the CSV reader knows only true/false, so flags are read as text and cast after
-    as_read = T.StructType([
+    return conform(reader.option("enforceSchema", False).schema(_as_text_flags(declared)).csv(path), declared)
+
+
+def tsv_rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """The rows that ``read_tsv`` leaves out as malformed, as text in column ``record``."""
+    return keep(_tsv_with_rejects(spark, path, schema).where(F.col(REJECT).isNotNull())).select(F.col(REJECT).alias("record"))
+
+
+def _tsv(spark: SparkSession):
+    return spark.read.option("header", True).option("sep", "\t").option("nullValue", "")
+
+
+def _tsv_with_rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    declared = parse_schema(schema)
+    as_read = T.StructType([*_as_text_flags(declared).fields, T.StructField(REJECT, T.StringType())])
+    # every field is parsed whatever columns are asked for, so that the same rows are malformed each time
+    found = (_tsv(spark).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT).option("columnPruning", False)
+             .option("enforceSchema", False).schema(as_read).csv(path))
+    return conform(found, declared)
+
+
+def _as_text_flags(declared: T.StructType) -> T.StructType:
+    """The CSV reader knows only true/false, so flags are read as text and cast after."""
+    return T.StructType([
         T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.BooleanType) else f.dataType)
         for f in declared.fields
     ])
-    return conform(reader.option("enforceSchema", False).schema(as_read).csv(path), declared)
 
 
 def from_rows(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str],

@@ -219,6 +219,46 @@ ORACLE["json_feeds"] = layer(
     "strftime(review_date, '%Y-%m-%d %H:%M:%S') as review_date")
 
 
+def json_feed_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed with every thirteenth record cut off: good rows, and the rest as they came."""
+    path = scratch_path(spark, "json")
+    table(spark, sf, "events").selectExpr(
+        """concat('{"event_id":', event_id, ',"event_type":"', event_type, if(event_id % 13 = 0, '', '"}')) as value""").write.text(path)
+    schema = "event_id bigint, event_type string"
+    good = readers.read_json(spark, path, schema, multi_line=False, malformed="reject")
+    return good.withColumn("record", F.lit(None).cast("string")).unionByName(
+        readers.json_rejects(spark, path, schema, multi_line=False), allowMissingColumns=True)
+
+
+QUERIES["json_feed_rejects"] = json_feed_rejects
+ORACLE["json_feed_rejects"] = """
+    select if(event_id % 13 = 0, null, event_id) as event_id, if(event_id % 13 = 0, null, event_type) as event_type,
+           if(event_id % 13 = 0, concat('{"event_id":', event_id, ',"event_type":"', event_type), null) as record
+    from events"""
+
+
+def tsv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """An export in which some rows lack a field, have one too many, or hold a word for a number."""
+    path = scratch_path(spark, "tsv")
+    line = (r"concat_ws('\t', o_orderkey, if(o_orderkey % 7 = 1, 'word', string(o_custkey)), if(o_orderkey % 5 = 1, null, o_orderstatus), "
+            r"if(o_orderkey % 11 = 1, 'more', null))")
+    header = "o_orderkey\to_custkey\to_orderstatus"
+    # lines are written as one column whose name is the whole header, so every file has it
+    table(spark, sf, "orders").select(F.expr(line).alias(header)).write.option("header", True).option("sep", "\x01").csv(path)
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+    good = readers.read_tsv(spark, path, schema, malformed="reject")
+    return good.withColumn("record", F.lit(None).cast("string")).unionByName(readers.tsv_rejects(spark, path, schema), allowMissingColumns=True)
+
+
+QUERIES["tsv_rejects"] = tsv_rejects
+ORACLE["tsv_rejects"] = r"""
+    with lines as (select *, concat_ws(chr(9), o_orderkey, if(o_orderkey % 7 = 1, 'word', cast(o_custkey as varchar)),
+                                      if(o_orderkey % 5 = 1, null, o_orderstatus), if(o_orderkey % 11 = 1, 'more', null)) as line,
+                          o_orderkey % 7 = 1 or (o_orderkey % 5 = 1) <> (o_orderkey % 11 = 1) as bad from orders)
+    select if(bad, null, o_orderkey) as o_orderkey, if(bad, null, o_custkey) as o_custkey,
+           if(bad, null, if(o_orderkey % 5 = 1, 'more', o_orderstatus)) as o_orderstatus, if(bad, line, null) as record from lines"""
+
+
 def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     """An external table of the session's catalog at a path of its own."""
     prefix = f"run_{uuid.uuid4().hex}_"

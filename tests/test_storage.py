@@ -223,3 +223,20 @@ def test_scratch_is_required_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.scratch_root(Session())
+
+
+def test_malformed_tsv_rows_are_set_apart(spark, tmp_path):
+    path = tmp_path / "t.tsv"
+    path.write_text("a\tflag\tc\n1\t1\tx\n2\t0\n3\t1\tx\tmore\nword\t0\ty\n\t\t\n6\t\t\n5\t0\t\n")  # a row of nothing but tabs is none
+    schema = "a int, flag boolean, c string"
+    read = lambda **how: readers.read_tsv(spark, str(path), schema, **how)
+    assert read().count() == 6
+    good = read(malformed="reject")
+    assert sorted((tuple(r) for r in good.collect()), key=str) == [(1, True, "x"), (5, False, None), (6, None, None)]
+    assert good.count() == 3 and good.select("c").count() == 3
+    rejects = readers.tsv_rejects(spark, str(path), schema)
+    assert sorted(r["record"] for r in rejects.collect()) == ["2\t0", "3\t1\tx\tmore", "word\t0\ty"]
+    for call in (lambda: readers.read_tsv(spark, str(path), malformed="reject"), lambda: read(malformed="drop"),
+                 lambda: readers.read_json(spark, str(path), malformed="reject")):
+        with pytest.raises(ValueError):
+            call()
