@@ -20,3 +20,9 @@ def folders(spark: SparkSession, base: str, pattern: str = "*") -> dict[str, str
     fs, at = _at(spark, f"{base.rstrip('/')}/{pattern}")
     found = fs.globStatus(at) or []
     return dict(sorted((s.getPath().getName(), s.getPath().toString()) for s in found if s.isDirectory()))
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder with all it holds; whether there was one."""
+    fs, at = _at(spark, path)
+    return fs.delete(at, True)

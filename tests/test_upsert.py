@@ -2,10 +2,14 @@
 
 import random
 from datetime import date, datetime
+from decimal import Decimal
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from retail_layers.operators import upsert as merging
+from retail_layers.sinks import versioned
 from retail_layers.sinks.versioned import KeyedTable
 from retail_layers.sources import paths
 from retail_layers.sources.readers import from_rows
@@ -224,3 +228,121 @@ def test_many_batches_against_brute_force(spark, folder, scope, policy):
         df = spark.createDataFrame(batch, "k int, ts int, d date, v int")
         t.insert(df) if step == 0 else t.upsert(df)
         assert sorted(map(tuple, t.snapshot(spark).collect()), key=str) == sorted(held.values(), key=str)
+
+
+def rows_scanned(df):
+    """Rows that left each Parquet scan of a frame, run without adaptive execution."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    metrics = [leaves.apply(i).metrics() for i in range(leaves.length())]
+    return [m.apply("numOutputRows").value() for m in metrics if m.contains("numOutputRows")]
+
+
+def spoil(path):
+    for file in Path(path).rglob("part-*"):
+        file.write_bytes(b"no parquet")
+
+
+def test_a_condition_on_the_partition_opens_no_other_folder(spark, folder):
+    t = table(folder)
+    days = [("x%d" % d, "c", 1.0, "NEW", "2024-06-01 10:00:00", "2024-06-%02d" % d) for d in range(1, 9)]
+    t.insert(typed(spark, days))
+    t.upsert(typed(spark, [("y", "c", 2.0, "NEW", "2024-06-03 10:00:00", "2024-06-03")]))
+    for d in (1, 2, 4, 5, 6, 7, 8):
+        spoil(f"{folder}/data/version=1/_part=v2024-06-{d:02d}")
+    spoil(f"{folder}/data/version=1/_part=v2024-06-03")  # replaced by the second version
+    where = F.col("order_date") == F.lit("2024-06-03").cast("date")
+    assert [k for k, *_ in short(t.snapshot(spark, where=where))] == ["x3", "y"]
+    assert short(t.snapshot(spark, where=F.col("order_date") > F.lit("2025-01-01").cast("date"))) == []
+    plan = t.snapshot(spark, where=where)._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan and "v2024-06-03" not in plan.split("== Optimized")[0]
+    with pytest.raises(Exception):
+        t.snapshot(spark).collect()
+
+
+@pytest.mark.parametrize(("kind", "values"), [
+    ("string", ["a", "", None, "x/y=z"]), ("int", [1, -2, None]), ("double", [0.5, float("nan"), None]),
+    ("timestamp_ntz", [datetime(2025, 1, 1, 2, 3, 4, 5), None]), ("timestamp", [datetime(2025, 1, 1, 2), None]),
+    ("decimal(9,3)", [Decimal("1.250"), None]), ("boolean", [True, False, None])])
+def test_conditions_on_partitions_of_any_type(spark, folder, kind, values):
+    rows = [(i, 1, v) for i, v in enumerate(values)]
+    t = KeyedTable(folder, ("id",), "n", "grp")
+    t.insert(spark.createDataFrame(rows, f"id int, n int, grp {kind}"))
+    for i, n, v in rows:
+        where = F.col("grp").eqNullSafe(F.lit(v).cast(kind))
+        assert [r["id"] for r in t.snapshot(spark, where=where).collect()] == [i]
+
+
+def test_looking_up_a_few_keys_reads_a_small_part_of_the_table(spark, folder, conf):
+    rows = spark.range(40_000).selectExpr("xxhash64(id) as k", "md5(string(id)) as s", "1 as n", "id % 40 as grp", "id as v")
+    t = KeyedTable(folder, ("k", "s"), "n", "grp", "table")
+    t.insert(rows)
+    moved = rows.where("v in (7, 8, 47)").withColumn("grp", F.lit(3).cast("bigint")).withColumn("n", F.lit(2))
+    absent = rows.where("v < 2").withColumn("k", F.col("k") + 1)
+    batch = moved.union(absent.withColumn("grp", F.lit(3).cast("bigint")))
+    conf(spark__sql__adaptive__enabled="false")
+    held = t.snapshot(spark).where(t.may_hold(batch))
+    assert held.where("v in (7, 8, 47)").count() == 3
+    assert max(rows_scanned(t.snapshot(spark).where(t.may_hold(batch)))) <= 4_000  # of 40,000: groups 7 and 8, chance aside
+    # a batch of many keys goes by their range
+    tail = rows.where("k > 9000000000000000000").withColumn("n", F.lit(2))
+    conf(spark__sql__adaptive__enabled="true")
+    t.upsert(batch)
+    t.upsert(tail)
+    got = t.snapshot(spark)
+    assert got.count() == 40_002 and got.where("v in (7, 8, 47) and n = 2 and grp = 3").count() == 3
+    assert got.where("n = 2").count() == tail.where("v not in (7, 8, 47)").count() + 3
+
+
+@pytest.mark.parametrize("few", [0, 5])
+def test_batches_by_value_and_by_range_agree(spark, folder, monkeypatch, few):
+    monkeypatch.setattr(versioned, "FEW_KEYS", few)
+    t = KeyedTable(folder, ("k", "d"), "n", "grp", "table")
+    schema = "k string, d date, n int, grp int"
+    days = [date(2025, 1, d) for d in (1, 2, 3)]
+    t.insert(spark.createDataFrame([(k, d, 1, i) for i, k in enumerate("abcd") for d in days], schema))
+    t.upsert(spark.createDataFrame([("a", days[0], 2, 3), ("c", days[2], 2, 0), ("zz", days[1], 2, 9)], schema))
+    got = {(r["k"], r["d"]): (r["n"], r["grp"]) for r in t.snapshot(spark).collect()}
+    want = {(k, d): (1, i) for i, k in enumerate("abcd") for d in days}
+    want |= {("a", days[0]): (2, 3), ("c", days[2]): (2, 0), ("zz", days[1]): (2, 9)}
+    assert got == want
+
+
+def test_vacuum_keeps_what_the_last_versions_name(spark, folder):
+    t = table(folder)
+    t.insert(typed(spark, BASE + [("e5", "c9", 1.0, "NEW", "2024-06-04 10:00:00", "2024-06-04"), ("f6", "c9", 1.0, "x", None, None)]))
+    t.upsert(typed(spark, BATCH))
+    typed(spark, BATCH).write.parquet(f"{folder}/data/version=3/_part=vcut-off")  # a commit that failed
+    before = short(t.snapshot(spark))
+    assert t.vacuum(spark, versions=2) == 1  # the failed one's
+    assert len(short(t.snapshot(spark, 1))) == 5 and short(t.snapshot(spark)) == before
+    assert t.vacuum(spark) == 1
+    assert list(paths.folders(spark, f"{folder}/data/version=1", "_part=*")) == ["_part=n", "_part=v2024-06-04"]
+    assert short(t.snapshot(spark)) == before and t.version(spark) == 2 and t.vacuum(spark) == 0
+    with pytest.raises(ValueError, match="no committed version 1"):
+        t.snapshot(spark, 1)
+    t.insert(typed(spark, BATCH))
+    assert t.vacuum(spark) == 2 and [k for k, *_ in short(t.snapshot(spark))] == ["a7", "d4"]
+    assert list(paths.folders(spark, f"{folder}/data")) == ["version=3"]
+    with pytest.raises(ValueError, match="stay"):
+        t.vacuum(spark, 0)
+    assert table(f"{folder}-none").vacuum(spark) == 0
+
+
+def test_vacuum_finds_folders_of_odd_names(spark, folder):
+    t = KeyedTable(folder, ("id",), "n", "grp")
+    first = [("a", 1, "x/y =z%"), ("b", 1, "ü[1]"), ("c", 1, None), ("d", 1, "stays")]
+    t.insert(spark.createDataFrame(first, "id string, n int, grp string"))
+    t.upsert(spark.createDataFrame([(k, 2, g) for k, _, g in first[:3]], "id string, n int, grp string"))
+    assert t.vacuum(spark) == 3
+    assert sorted(map(tuple, t.snapshot(spark).collect())) == sorted(
+        [(k, 2, g) for k, _, g in first[:3]] + [first[3]], key=lambda r: r[0])
+
+
+def test_many_partitions_need_no_literal_each(spark, folder):
+    t = KeyedTable(folder, ("k",), "n", "grp")
+    t.insert(spark.range(300).selectExpr("id as k", "1 as n", "id as grp"))
+    t.upsert(spark.range(10).selectExpr("id as k", "2 as n", "id as grp"))
+    got = t.snapshot(spark)
+    assert got.agg(F.count("*"), F.sum("n")).first()[:] == (300, 310)
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 5_000
