@@ -121,6 +121,61 @@ _keyed_table("keyed_table_latest_wins", "table", "latest_wins")
 _keyed_table("keyed_table_within_partition", "partition", "incoming_wins")
 
 
+def keyed_table_odd_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing, blank and oddly named partitions are partitions of their own, each found again by an upsert."""
+    odd = ("case o_orderpriority when '1-URGENT' then null when '2-HIGH' then '' when '3-MEDIUM' then 'a/b =c%' else o_orderpriority end")
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey as order_id", "o_orderdate as update_ts", f"{odd} as order_group", "0 as changed")
+    target = KeyedTable(scratch_path(spark, "odd-partitions"), ("order_id",), "update_ts", "order_group")
+    target.insert(orders)
+    target.upsert(orders.where("order_id % 3 = 0").withColumn("changed", F.lit(1)))
+    return target.snapshot(spark)
+
+
+QUERIES["keyed_table_odd_partitions"] = keyed_table_odd_partitions
+ORACLE["keyed_table_odd_partitions"] = """
+    select o_orderkey as order_id, o_orderdate as update_ts, cast(o_orderkey % 3 = 0 as int) as changed,
+           case o_orderpriority when '1-URGENT' then null when '2-HIGH' then '' when '3-MEDIUM' then 'a/b =c%' else o_orderpriority end as order_group
+    from orders"""
+
+
+def keyed_table_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch brings a column, a later one lacks two: rows have NULLs where their batch had no such column."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey as order_id", "o_orderdate as update_ts", "o_orderpriority as order_group", "o_orderstatus as status")
+    target = KeyedTable(scratch_path(spark, "new-column"), ("order_id",), "update_ts", "order_group", "table", evolve=True)
+    target.insert(orders)
+    target.upsert(orders.where("status = 'P'").withColumn("checked_by", F.concat(F.lit("clerk "), "order_id")))
+    target.upsert(orders.where("order_id % 7 = 1").drop("status"))
+    return target.snapshot(spark)
+
+
+QUERIES["keyed_table_new_column"] = keyed_table_new_column
+ORACLE["keyed_table_new_column"] = """
+    select o_orderkey as order_id, o_orderdate as update_ts, o_orderpriority as order_group,
+           if(o_orderkey % 7 = 1, null, o_orderstatus) as status,
+           if(o_orderkey % 7 <> 1 and o_orderstatus = 'P', 'clerk ' || o_orderkey, null) as checked_by from orders"""
+
+
+def keyed_table_months(spark: SparkSession, sf: str) -> DataFrame:
+    """One partition a month, changed twice, superseded data removed, and the later half read by partition."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey as order_id", "o_orderdate as update_ts", "date(date_trunc('month', o_orderdate)) as order_month",
+        "cast(o_totalprice as decimal(12,2)) as amount")
+    target = KeyedTable(scratch_path(spark, "months"), ("order_id",), "update_ts", "order_month")
+    target.insert(orders)
+    for step in (1, 2):
+        target.upsert(orders.where(f"order_id % 500 = {step}").withColumn("amount", F.expr(f"cast(amount + {step} as decimal(12,2))")))
+    target.vacuum(spark)
+    return target.snapshot(spark, where=F.col("order_month") >= F.lit("1995-06-01").cast("date"))
+
+
+QUERIES["keyed_table_months"] = keyed_table_months
+ORACLE["keyed_table_months"] = """
+    select o_orderkey as order_id, o_orderdate as update_ts, cast(date_trunc('month', o_orderdate) as date) as order_month,
+           cast(o_totalprice + case o_orderkey % 500 when 1 then 1 when 2 then 2 else 0 end as decimal(12,2)) as amount
+    from orders where o_orderdate >= date '1995-06-01'"""
+
+
 def precombined_batch(spark: SparkSession, sf: str) -> DataFrame:
     return merging.precombine(batch_rows(spark, sf), ["order_id"], "update_ts")
 
