@@ -41,7 +41,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, int]:
                 print(f"{layer}: not read back from a JDBC sink")
                 continue
             names = [n for n in rows if n.startswith("gold_") == (layer == "gold")]
-            summary(stored(spark, names, settings[layer])).show(len(names), truncate=False)
+            summary(stored(spark, names, settings[layer]), rows).show(len(names), truncate=False)
     return rows
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from retail_layers.operators.skew import MAX_GROUP_ROWS
 from retail_layers.plans import clean, enrich, marts, star
 from retail_layers.plans.clean import MAX_REVIEW_CHARS
+from retail_layers.sinks import published
 from retail_layers.sinks.writers import read_back, sink_kind, write_tables
 from retail_layers.sources import readers
 from retail_layers.sources.settings import required
@@ -74,12 +75,18 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
     Text without an offset is read, and days are cut, in ``zone``, whatever the session's
     time zone is; that one is back in force when the run ends. ``max_review_chars`` cuts
     the texts of reviews (None: not at all); ``typed_keys`` turns the feeds' text keys into numbers.
+
+    Sinks with ``publish`` get a folder for each run. Silver and gold are put in force when
+    all tables of both are written, so a run that fails leaves the one before readable.
     """
     silver_sink = required(settings, "silver", "settings")
     gold_sink = required(settings, "gold", "settings")
     if sink_kind(silver_sink, "silver") == "jdbc":
         raise ValueError("silver is read back for gold and so needs a folder or catalog sink")
     sink_kind(gold_sink, "gold")
+    switched = [sink for sink in (silver_sink, gold_sink) if published.is_published(sink)]
+    staged = [published.staged(spark, sink) for sink in switched]
+    silver_sink, gold_sink = (staged[switched.index(sink)] if sink in switched else sink for sink in (silver_sink, gold_sink))
     with session_zone(spark, zone):
         tables = read_sources(spark, settings)
         cleaned = clean.clean_tables(tables, run_ts, null_tokens, rare_duplicates, max_review_chars)
@@ -91,4 +98,7 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
         dependent = star.dependent_tables(enriched, written, max_group_rows, tables)
         rows |= write_tables(dependent, silver_sink)
         written |= read_back(spark, dependent, silver_sink)
-        return rows | write_tables(marts.build_marts(written, unique_orders=True), gold_sink)
+        rows |= write_tables(marts.build_marts(written, unique_orders=True), gold_sink)
+    for sink, run_sink in zip(switched, staged):
+        published.publish(spark, sink, run_sink)
+    return rows

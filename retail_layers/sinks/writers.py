@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from retail_layers.operators.columns import quoted
+from retail_layers.sinks import published
 from retail_layers.sources.readers import read_tsv
 
 PASSWORD_VARIABLE = "WAREHOUSE_PASSWORD"
@@ -110,7 +111,9 @@ def read_back(spark: SparkSession, tables: Mapping[str, DataFrame], sink: Mappin
 
 
 def stored(spark: SparkSession, names: Sequence[str], sink: Mapping) -> dict[str, DataFrame]:
-    """The named tables of a folder or catalog sink with whatever columns they have."""
+    """The named tables of a folder or catalog sink with whatever columns they have; those of
+    the last published run where the sink is published by a switch."""
+    sink = published.in_force(spark, sink)
     if sink_kind(sink) == "catalog":
         return {n: spark.table(f"{sink['catalog_db']}.{sink.get('table_prefix', '')}{n}") for n in names}
     reader, base = spark.read.format(sink.get("format", "parquet")), sink["base_path"].rstrip("/")
@@ -127,12 +130,19 @@ def tsv_to_parquet(spark: SparkSession, files: Mapping[str, str], base: str,
     return {name[: -len(suffix)]: n for name, n in rows.items()}
 
 
-def summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table: name, schema, number of rows."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), F.lit(df.schema.simpleString()).alias("table_schema"),
-            quoted("row_count"))
-        for name, df in tables.items()
-    ]
+def summary(tables: Mapping[str, DataFrame], rows: Mapping[str, int] | None = None) -> DataFrame:
+    """One row per table: name, schema, number of rows.
+
+    ``rows`` are counts that are known already, as writes report them; the other tables are
+    counted.
+    """
+    known = rows or {}
+    counts = []
+    for name, df in tables.items():
+        described = F.lit(name).alias("table_name"), F.lit(df.schema.simpleString()).alias("table_schema")
+        if name in known:
+            one = df.sparkSession.range(1).select(*described, F.lit(known[name]).cast("bigint").alias("row_count"))
+        else:
+            one = df.agg(F.count(F.lit(1)).alias("row_count")).select(*described, quoted("row_count"))
+        counts.append(one)
     return reduce(DataFrame.unionByName, counts)

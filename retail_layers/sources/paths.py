@@ -26,3 +26,10 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder with all it holds; whether there was one."""
     fs, at = _at(spark, path)
     return fs.delete(at, True)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty folder: made in one step, there or not."""
+    fs, at = _at(spark, path)
+    if not fs.mkdirs(at):
+        raise OSError(f"cannot make {path}")

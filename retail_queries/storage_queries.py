@@ -382,8 +382,8 @@ ORACLE["literal_rows"] = """
 
 
 def whole_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Exports and feeds written, all layers built from them by one run; every table it wrote with
-    its rows as counted by the run and as found again."""
+    """Exports and feeds written, all layers built from them by one published run; every table it
+    wrote with its rows as counted by the run, and rows and a digest of all values as found again."""
     base = scratch_path(spark, "run")
     exported = [name for name in SHAPES if name not in FEEDS]
     writers.write_tables({f"{name}_parquet": raw(spark, sf, name) for name in exported}, {"base_path": f"{base}/raw"})
@@ -392,18 +392,54 @@ def whole_run(spark: SparkSession, sf: str) -> DataFrame:
     settings = {
         "relational": {"base_path": f"{base}/raw", "required": exported},
         "feeds": {"base_path": f"{base}/feeds", "files": {name: name for name in FEEDS}, "multi_line": False},
-        "silver": {"base_path": f"{base}/silver", "partition_by": {"fact_payments": ["payment_method_code"]}},
-        "gold": {"base_path": f"{base}/gold"},
+        "silver": {"base_path": f"{base}/silver", "publish": True, "partition_by": {"fact_payments": ["payment_method_code"]}},
+        "gold": {"base_path": f"{base}/gold", "publish": True},
     }
     counted = layers.run(spark, settings, AS_OF_DATE, run_time())
     found = reduce(DataFrame.unionByName, [
-        writers.summary(writers.stored(spark, [n for n in counted if n.startswith("gold_") == (layer_name == "gold")],
-                                       settings[layer_name])) for layer_name in ("silver", "gold")])
+        digest(name, df) for layer_name in ("silver", "gold") for name, df in writers.stored(
+            spark, [n for n in counted if n.startswith("gold_") == (layer_name == "gold")], settings[layer_name]).items()])
     reported = F.create_map(*[F.lit(x) for pair in sorted(counted.items()) for x in pair])
-    return found.select("table_name", "row_count", reported[F.col("table_name")].cast("bigint").alias("rows_written"))
+    return found.withColumn("rows_written", reported[F.col("table_name")].cast("bigint"))
+
+
+def digest(name: str, df: DataFrame) -> DataFrame:
+    """A table's rows and the sum of 52 bits of each row's MD5, which does not follow the order of rows.
+
+    A row's text holds its columns by name, without missing ones; fractions count to six places.
+    """
+    if "metadata" in df.columns:  # a variant, as feeds are read
+        parts = {f"metadata_{part}": F.variant_get("metadata", f"$.{part}", "string") for part in ("lang", "source")}
+        df = df.withColumns(parts).drop("metadata")
+    fractions = {c for c, kind in df.dtypes if kind == "double"}
+    texts = [F.concat(F.lit(f"{c}="), (F.round(c, 6).cast("decimal(20,6)") if c in fractions else F.col(c)).cast("string"))
+             for c in sorted(df.columns)]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 13), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(bits).cast("string").alias("digest")).withColumn("table_name", F.lit(name))
+
+
+FRACTIONS = {"fact_order_items": "effective_discount_pct", "gold_daily_sales_customer": "avg_order_value",
+             "gold_product_review_summary": "avg_rating", "gold_payment_summary": "avg_payment_amount"}
+
+
+# flags that exports hold as 0/1 and that are booleans once read by their declared schemas
+READ_AS_FLAGS = ("dim_product", "dim_product_variant", "dim_promotion")
+
+
+def digest_sql(name: str) -> str:
+    columns = FLAT_METADATA_SQL if name == "fact_product_reviews" else "*"
+    if name in FRACTIONS:
+        columns = f"* replace (cast(round({FRACTIONS[name]}, 6) as decimal(20,6)) as {FRACTIONS[name]})"
+    if name in READ_AS_FLAGS:
+        columns = "* replace (cast(is_active as boolean) as is_active)"
+    return f"""
+        select '{name}' as table_name, count(*) as row_count, count(*) as rows_written,
+               cast(sum(cast('0x' || substr(md5(line), 1, 13) as bigint)) as varchar) as digest
+        from (select string_agg(name || '=' || value, '|' order by name) as line from (
+                  unpivot (select _row, cast(columns(* exclude (_row)) as varchar)
+                           from (select row_number() over () as _row, {columns} from {name}))
+                  on * exclude (_row) into name name value value) group by _row)"""
 
 
 QUERIES["whole_run"] = whole_run
-ORACLE["whole_run"] = with_ctes(" union all ".join(
-    f"select '{name}' as table_name, count(*) as row_count, count(*) as rows_written from {name}"
-    for name in (*SOURCES, *MART_SOURCES)))
+ORACLE["whole_run"] = with_ctes(" union all ".join(digest_sql(name) for name in (*SOURCES, *MART_SOURCES)))

@@ -5,11 +5,12 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 import samples
 from retail_layers import __main__ as cli
 from retail_layers.plans import clean, enrich, layers, marts, schemas, star
-from retail_layers.sinks import writers
+from retail_layers.sinks import published, writers
 from retail_layers.sources import readers
 
 AS_OF, RUN = date(2025, 11, 30), datetime(2025, 11, 30)
@@ -227,6 +228,41 @@ def test_run_does_not_follow_the_session_zone(spark, shop, written, conf, rows,
     assert gold("east", zone="Pacific/Kiritimati") != want
 
 
+def test_a_run_that_fails_leaves_the_published_one(spark, shop, written, rows, tmp_path, monkeypatch):
+    sinks = {layer: {"base_path": str(tmp_path / layer), "publish": True} for layer in ("silver", "gold")}
+    with pytest.raises(ValueError, match="no published run"):
+        writers.stored(spark, ["fact_orders"], sinks["silver"])
+    assert layers.run(spark, shop | sinks, AS_OF, RUN, null_tokens=["NULL"]) == written
+
+    def seen():
+        return {n: rows(df.select(*[c for c in df.columns if c != "metadata"]))
+                for layer in sinks for n, df in writers.stored(spark, of_layer[layer], sinks[layer]).items()}
+
+    of_layer = {layer: [n for n in written if n.startswith("gold_") == (layer == "gold")] for layer in sinks}
+    before = seen()
+    marts_built = marts.build_marts
+
+    def broken(*args, **kwargs):
+        built = marts_built(*args, **kwargs)
+        name = "gold_payment_summary"
+        return built | {name: built[name].withColumn("payment_attempts", F.raise_error(F.lit("broken table")))}
+
+    monkeypatch.setattr(marts, "build_marts", broken)
+    later = datetime(2025, 12, 1)
+    with pytest.raises(Exception, match="broken table"):
+        layers.run(spark, shop | sinks, AS_OF, later, null_tokens=["NULL"])
+    assert seen() == before  # silver of the failed run was written, but never put in force
+    monkeypatch.undo()
+    layers.run(spark, shop | sinks, AS_OF, later, null_tokens=["NULL"])
+    assert seen() != before
+    assert {n: len(r) for n, r in seen().items()} == written
+    assert [published.discard(spark, sink) for sink in sinks.values()] == [2, 2]
+    assert {n: len(r) for n, r in seen().items()} == written
+    for wrong in ({"base_path": "x", "catalog_db": "d", "publish": True}, {"jdbc": {}, "publish": True}):
+        with pytest.raises(ValueError, match="folder sink"):
+            published.is_published(wrong)
+
+
 def test_command_line(spark, shop, written, tmp_path, capsys):
     sinks = {layer: {"base_path": str(tmp_path / layer)} for layer in ("silver", "gold")}
     config = tmp_path / "settings.json"

@@ -189,6 +189,8 @@ def test_empty_tables_and_folder_columns_read_back(spark, folder):
 def test_summary(spark, rows):
     out = writers.summary({"a": spark.range(3), "b": spark.range(0)})
     assert rows(out) == [("a", "struct<id:bigint>", 3), ("b", "struct<id:bigint>", 0)]
+    known = writers.summary({"a": spark.range(3), "b": spark.range(0)}, {"a": 7})
+    assert rows(known) == [("a", "struct<id:bigint>", 7), ("b", "struct<id:bigint>", 0)] and known.schema == out.schema
 
 
 def test_folders_lists_sorted_matches(spark, tmp_path):
