@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -65,13 +65,19 @@ def clip_range(df: DataFrame, col: str, low, high) -> DataFrame:
     return df.withColumn(col, numbers.clipped(quoted(col), low, high, df.schema[col].dataType))
 
 
-def cast_timestamps(df: DataFrame, *cols: str) -> DataFrame:
+def cast_timestamps(df: DataFrame, *cols: str, zone: str | None = None) -> DataFrame:
+    """Text and days to timestamps, those without an offset read in ``zone`` (the session's if None)."""
     found = [c for c in cols if c in df.columns]
     return df.withColumns(
-        {c: dates.safe_timestamp(quoted(c), df.schema[c].dataType) for c in found}
+        {c: dates.safe_timestamp(quoted(c), df.schema[c].dataType, zone) for c in found}
     ) if found else df
 
 
+def wall_clocks(df: DataFrame, zone: str | None) -> Callable[[str], Column]:
+    """Columns of ``df`` by name, instants as clocks in ``zone`` show them."""
+    return lambda c: dates.wall_clock(quoted(c), df.schema[c].dataType, zone)
+
+
 def cast_integers(df: DataFrame, *cols: str) -> DataFrame:
     found = [c for c in cols if c in df.columns]
     return df.withColumns(

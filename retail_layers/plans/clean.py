@@ -116,8 +116,18 @@ class TableRules:
     long: tuple[str, ...] = ()  # columns compared by their digest where rows of one key compete
 
 
+@dataclass(frozen=True)
+class Timestamps:
+    """The step that makes text timestamps; it takes the zone of a run."""
+
+    cols: tuple[str, ...]
+
+    def __call__(self, df: DataFrame, zone: str | None = None) -> DataFrame:
+        return cast_timestamps(df, *self.cols, zone=zone)
+
+
 def _timestamps(*cols: str) -> Step:
-    return lambda df: cast_timestamps(df, *cols)
+    return Timestamps(cols)
 
 
 def _codes(col: str, allowed: Sequence[str], out: str) -> Step:
@@ -155,31 +165,36 @@ RULES: dict[str, TableRules] = {
 
 def clean_table(name: str, df: DataFrame, run_ts: Column | datetime,
                 null_tokens: Sequence[str] = (), rare_duplicates: bool = False,
-                max_review_chars: int | None = MAX_REVIEW_CHARS) -> DataFrame:
+                max_review_chars: int | None = MAX_REVIEW_CHARS, zone: str | None = None) -> DataFrame:
     """Clean one table by the rules for ``name``, or generically when there are none.
 
     ``rare_duplicates`` says that keys hardly ever repeat, as with tables exported from
     a database that enforces them; the result is the same, the wide shuffle is saved.
     Texts of reviews are cut to ``max_review_chars`` characters; None keeps them whole.
+    Moments without an offset are read in ``zone``, or in the session's zone if it is None.
     """
     df = generic_clean(df, run_ts, null_tokens)
     rules = RULES.get(name)
     if rules is None:
         return df
     for step in rules.steps:
-        df = step(df, max_length=max_review_chars) if step is limit_text else step(df)
+        if step is limit_text:
+            df = step(df, max_length=max_review_chars)
+        else:
+            df = step(df, zone=zone) if isinstance(step, Timestamps) else step(df)
     keep_one = dedup_rare if rare_duplicates else dedup
     return keep_one(require_keys(df, rules.required or rules.keys), rules.keys, long=rules.long)
 
 
 def clean_tables(tables: Mapping[str, DataFrame], run_ts: Column | datetime,
                  null_tokens: Sequence[str] = (), rare_duplicates: bool = False,
-                 max_review_chars: int | None = MAX_REVIEW_CHARS, at_once: int = 4) -> dict[str, DataFrame]:
+                 max_review_chars: int | None = MAX_REVIEW_CHARS, at_once: int = 4,
+                 zone: str | None = None) -> dict[str, DataFrame]:
     """Every table cleaned. With ``rare_duplicates`` repeated keys are looked for while the
     plans are built, up to ``at_once`` tables side by side."""
     def one(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
         name, df = item
-        return name, clean_table(name, df, run_ts, null_tokens, rare_duplicates, max_review_chars)
+        return name, clean_table(name, df, run_ts, null_tokens, rare_duplicates, max_review_chars, zone)
 
     if not tables or not rare_duplicates:
         return dict(map(one, tables.items()))

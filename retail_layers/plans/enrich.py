@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_layers.functions import dates, numbers, text
+from retail_layers.operators.columns import wall_clocks
 from retail_layers.operators.derive import Rule, derive
 from retail_layers.operators.keys import sequence, tie_break
 from retail_layers.operators.skew import MAX_GROUP_ROWS
 from retail_layers.operators.slices import order_number
 
+Moment = Callable[[str], Column]
+
 # Cities, band limits as (upper bound, label, inclusive), thresholds, codes.
 METRO_CITIES = ("MUMBAI", "DELHI", "BENGALURU", "BANGALORE", "KOLKATA", "CHENNAI", "HYDERABAD", "PUNE")
 AGE_BANDS = ((18, "UNDER_18", False), (25, "18_25", True), (35, "26_35", True), (45, "36_45", True))
@@ -72,13 +75,13 @@ def stock_rules(low: int = LOW_STOCK_UNITS) -> tuple[Rule, ...]:
     )
 
 
-def order_rules() -> tuple[Rule, ...]:
+def order_rules(moment: Moment = F.col) -> tuple[Rule, ...]:
     return (
-        Rule("order_date_date", ("order_date",), lambda: F.to_date("order_date")),
-        Rule("order_year", ("order_date",), lambda: F.year("order_date")),
-        Rule("order_month", ("order_date",), lambda: F.month("order_date")),
-        Rule("order_day", ("order_date",), lambda: F.dayofmonth("order_date")),
-        Rule("order_weekofyear", ("order_date",), lambda: F.weekofyear("order_date")),
+        Rule("order_date_date", ("order_date",), lambda: F.to_date(moment("order_date"))),
+        Rule("order_year", ("order_date",), lambda: F.year(moment("order_date"))),
+        Rule("order_month", ("order_date",), lambda: F.month(moment("order_date"))),
+        Rule("order_day", ("order_date",), lambda: F.dayofmonth(moment("order_date"))),
+        Rule("order_weekofyear", ("order_date",), lambda: F.weekofyear(moment("order_date"))),
         Rule("order_value_band", ("grand_total_amount",),
              lambda: numbers.band(F.col("grand_total_amount"), ORDER_VALUE_BANDS, ORDER_VALUE_TOP)),
     )
@@ -112,31 +115,32 @@ def review_rules() -> tuple[Rule, ...]:
     )
 
 
-def promotion_rules(as_of: Column | date) -> tuple[Rule, ...]:
+def promotion_rules(as_of: Column | date, moment: Moment = F.col) -> tuple[Rule, ...]:
     interval = ("start_date", "end_date", "is_active")
     return (
         Rule("is_percentage_discount", ("discount_type",), lambda: F.col("discount_type") == PERCENT_DISCOUNT),
         Rule("is_flat_discount", ("discount_type",), lambda: F.col("discount_type") == FLAT_DISCOUNT),
-        Rule("start_date_date", interval, lambda: F.to_date("start_date")),
-        Rule("end_date_date", interval, lambda: F.to_date("end_date")),
+        Rule("start_date_date", interval, lambda: F.to_date(moment("start_date"))),
+        Rule("end_date_date", interval, lambda: F.to_date(moment("end_date"))),
         Rule("is_currently_active", ("is_active", "start_date_date", "end_date_date"),
              lambda: dates.within_validity(F.col("is_active"), F.col("start_date_date"),
                                            F.col("end_date_date"), as_of)),
     )
 
 
-def rules_for(name: str, as_of: Column | date) -> tuple[Rule, ...]:
+def rules_for(name: str, as_of: Column | date, moment: Moment = F.col) -> tuple[Rule, ...]:
+    """The rules for ``name``; ``moment`` gives the column whose day, month and year count."""
     rules = {
         "customer": lambda: customer_rules(as_of),
         "customer_address": address_rules,
         "product": product_rules,
         "product_variant": variant_rules,
         "inventory_level": stock_rules,
-        "orders": order_rules,
+        "orders": lambda: order_rules(moment),
         "order_item": line_rules,
         "payment": payment_rules,
         "product_reviews": review_rules,
-        "promotion": lambda: promotion_rules(as_of),
+        "promotion": lambda: promotion_rules(as_of, moment),
     }
     return rules[name]() if name in rules else ()
 
@@ -171,9 +175,11 @@ NUMBERED = {
 
 
 def enrich_table(name: str, df: DataFrame, as_of: Column | date,
-                 max_group_rows: int = MAX_GROUP_ROWS, sizes: DataFrame | None = None) -> DataFrame:
-    """Enrich one table by the rules for ``name``; a table without rules passes through."""
-    df = derive(df, *rules_for(name, as_of))
+                 max_group_rows: int = MAX_GROUP_ROWS, sizes: DataFrame | None = None,
+                 zone: str | None = None) -> DataFrame:
+    """Enrich one table by the rules for ``name``; a table without rules passes through.
+    Days of instants are cut in ``zone``, or in the session's zone if it is None."""
+    df = derive(df, *rules_for(name, as_of, wall_clocks(df, zone)))
     if name in NUMBERED:
         number, needs = NUMBERED[name]
         if set(needs) <= set(df.columns):
@@ -186,9 +192,9 @@ def enrich_table(name: str, df: DataFrame, as_of: Column | date,
 
 def enrich_tables(tables: Mapping[str, DataFrame], as_of: Column | date,
                   raw: Mapping[str, DataFrame] | None = None,
-                  max_group_rows: int = MAX_GROUP_ROWS) -> dict[str, DataFrame]:
+                  max_group_rows: int = MAX_GROUP_ROWS, zone: str | None = None) -> dict[str, DataFrame]:
     """Enrich every table. ``raw`` (the tables before cleaning) makes the check for very
     large groups a scan of one column instead of a second run of the cleaning."""
     raw = raw or {}
-    return {name: enrich_table(name, df, as_of, max_group_rows, raw.get(name))
+    return {name: enrich_table(name, df, as_of, max_group_rows, raw.get(name), zone)
             for name, df in tables.items()}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_layers.functions import dates, numbers
-from retail_layers.operators.columns import quoted
+from retail_layers.operators.columns import quoted, wall_clocks
 from retail_layers.operators.joins import lookup_left
 
 # Attribute columns of the two sales marts.
@@ -71,9 +71,9 @@ def daily_sales_by_customer(orders: DataFrame, customers: DataFrame | None = Non
                             "customer_key", CUSTOMER_ATTRIBUTES, totals)
 
 
-def review_summary(reviews: DataFrame) -> DataFrame:
+def review_summary(reviews: DataFrame, zone: str | None = None) -> DataFrame:
     if "review_date" in reviews.columns:
-        reviews = reviews.withColumn("review_date_key", dates.date_key(F.col("review_date")))
+        reviews = reviews.withColumn("review_date_key", dates.date_key(wall_clocks(reviews, zone)("review_date")))
     return reviews.groupBy(*_present(reviews, ["product_id", "review_date_key"])).agg(
         F.count("review_id").alias("total_reviews"),
         numbers.mean(F.col("rating")).alias("avg_rating"),
@@ -84,9 +84,9 @@ def review_summary(reviews: DataFrame) -> DataFrame:
     )
 
 
-def payment_summary(payments: DataFrame) -> DataFrame:
+def payment_summary(payments: DataFrame, zone: str | None = None) -> DataFrame:
     if "payment_date" in payments.columns:
-        payments = payments.withColumn("payment_date_key", dates.date_key(F.col("payment_date")))
+        payments = payments.withColumn("payment_date_key", dates.date_key(wall_clocks(payments, zone)("payment_date")))
     group = _present(payments, ["payment_date_key", "payment_method_code", "payment_status_code"])
     return payments.groupBy(*group).agg(
         F.count("payment_id").alias("payment_attempts"),
@@ -97,7 +97,10 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     )
 
 
-def build_marts(star: Mapping[str, DataFrame], unique_orders: bool = False) -> dict[str, DataFrame]:
+def build_marts(star: Mapping[str, DataFrame], unique_orders: bool = False,
+                zone: str | None = None) -> dict[str, DataFrame]:
+    """The marts whose facts exist; days of reviews and payments are cut in ``zone``, or in
+    the session's zone if it is None."""
     marts: dict[str, DataFrame] = {}
     if "fact_order_items" in star:
         marts["gold_daily_sales_product"] = daily_sales_by_product(
@@ -106,7 +109,7 @@ def build_marts(star: Mapping[str, DataFrame], unique_orders: bool = False) -> d
         marts["gold_daily_sales_customer"] = daily_sales_by_customer(
             star["fact_orders"], star.get("dim_customer"), unique_orders)
     if "fact_product_reviews" in star:
-        marts["gold_product_review_summary"] = review_summary(star["fact_product_reviews"])
+        marts["gold_product_review_summary"] = review_summary(star["fact_product_reviews"], zone)
     if "fact_payments" in star:
-        marts["gold_payment_summary"] = payment_summary(star["fact_payments"])
+        marts["gold_payment_summary"] = payment_summary(star["fact_payments"], zone)
     return marts

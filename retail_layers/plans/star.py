@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_layers.functions import dates
-from retail_layers.operators.columns import conform, project
+from retail_layers.operators.columns import conform, project, wall_clocks
 from retail_layers.operators.derive import Rule, derive
 from retail_layers.operators.joins import lookup_left
 from retail_layers.operators.keys import dedup, first_per_group, tie_break
@@ -84,9 +84,9 @@ PRODUCT_COLUMNS = ("product_name", "product_name_search", "brand_id", "brand_nam
                    "default_category_id", "default_category_name")
 
 
-def dim_date(orders: DataFrame) -> DataFrame:
+def dim_date(orders: DataFrame, zone: str | None = None) -> DataFrame:
     """One row per distinct order date; duplicates go before the exchange."""
-    days = orders.select(F.to_date("order_date").alias("date")).where(F.col("date").isNotNull()).distinct()
+    days = orders.select(F.to_date(wall_clocks(orders, zone)("order_date")).alias("date")).where(F.col("date").isNotNull()).distinct()
     return days.select(
         dates.date_key(F.col("date")).alias("date_key"), "date",
         F.year("date").alias("year"), F.quarter("date").alias("quarter"),
@@ -137,8 +137,9 @@ def dim_promotion(promotion: DataFrame) -> DataFrame:
     return project(promotion.withColumnRenamed("promotion_id", "promotion_key"), DIM_PROMOTION)
 
 
-def fact_orders(orders: DataFrame) -> DataFrame:
-    keyed = derive(orders, Rule("order_date_key", ("order_date",), lambda: dates.date_key(F.col("order_date"))))
+def fact_orders(orders: DataFrame, zone: str | None = None) -> DataFrame:
+    moment = wall_clocks(orders, zone)
+    keyed = derive(orders, Rule("order_date_key", ("order_date",), lambda: dates.date_key(moment("order_date"))))
     return project(keyed.withColumnRenamed("customer_id", "customer_key"), FACT_ORDERS)
 
 
@@ -168,12 +169,14 @@ def fact_product_reviews(reviews: DataFrame, typed_keys: bool = False) -> DataFr
     return project(reviews, FACT_PRODUCT_REVIEWS)
 
 
-def base_tables(enriched: Mapping[str, DataFrame], typed_keys: bool = False) -> dict[str, DataFrame]:
+def base_tables(enriched: Mapping[str, DataFrame], typed_keys: bool = False,
+                zone: str | None = None) -> dict[str, DataFrame]:
     """The star tables that read no other star table, for whichever sources exist.
-    ``typed_keys`` gives the text keys of the feeds the dimensions' key type."""
+    ``typed_keys`` gives the text keys of the feeds the dimensions' key type; days of
+    instants are cut in ``zone``, or in the session's zone if it is None."""
     star: dict[str, DataFrame] = {}
     if "orders" in enriched:
-        star["fact_orders"] = fact_orders(enriched["orders"])
+        star["fact_orders"] = fact_orders(enriched["orders"], zone)
     if "customer" in enriched:
         star["dim_customer"] = dim_customer(enriched["customer"], enriched.get("customer_address"))
     if "product" in enriched:
@@ -190,13 +193,13 @@ def base_tables(enriched: Mapping[str, DataFrame], typed_keys: bool = False) ->
 
 def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataFrame],
                      max_key_rows: int | None = MAX_GROUP_ROWS,
-                     raw: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                     raw: Mapping[str, DataFrame] | None = None, zone: str | None = None) -> dict[str, DataFrame]:
     """The star tables that read ``base_tables``, best once those are written: the order
     date and customer of a line then come from a narrow scan of ``fact_orders`` instead
     of cleaning and numbering all orders again."""
     more: dict[str, DataFrame] = {}
     if "fact_orders" in star:
-        more["dim_date"] = dim_date(star["fact_orders"])
+        more["dim_date"] = dim_date(star["fact_orders"], zone)
     if "product_variant" in enriched:
         more["dim_product_variant"] = dim_product_variant(enriched["product_variant"], star.get("dim_product"))
     if "order_item" in enriched:
@@ -206,8 +209,9 @@ def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataF
 
 
 def build_star(enriched: Mapping[str, DataFrame], max_key_rows: int | None = MAX_GROUP_ROWS,
-               raw: Mapping[str, DataFrame] | None = None, typed_keys: bool = False) -> dict[str, DataFrame]:
+               raw: Mapping[str, DataFrame] | None = None, typed_keys: bool = False,
+               zone: str | None = None) -> dict[str, DataFrame]:
     """All star tables as one set of lazy frames. Orders with more than ``max_key_rows``
     lines are set apart; ``raw`` holds the tables before cleaning, to find those on."""
-    star = base_tables(enriched, typed_keys)
-    return star | dependent_tables(enriched, star, max_key_rows, raw)
+    star = base_tables(enriched, typed_keys, zone)
+    return star | dependent_tables(enriched, star, max_key_rows, raw, zone)

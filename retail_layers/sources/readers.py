@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +51,7 @@ def read_parquet_tables(spark: SparkSession, base: str, suffix: str = "_parquet"
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-              multi_line: bool = True, malformed: str = "fail") -> DataFrame:
+              multi_line: bool = True, malformed: str = "fail", zone: str | None = None) -> DataFrame:
     """A JSON feed: arrays over many lines, or one object per line (``multi_line=False``).
 
     A record that is no JSON of the schema is an error; with ``malformed="reject"`` it is
@@ -59,17 +59,19 @@ def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None
 
     Spark cannot split a file with an array in it; a feed that grows large should arrive
     as many files or as one object per line.
+
+    Timestamps of the schema that carry no offset are read in ``zone``, or in the session's.
     """
     if malformed not in ("fail", "reject"):
         raise ValueError(f"malformed must be fail or reject, not {malformed!r}")
     if malformed == "reject" and schema is None:
         raise ValueError("without a schema no record is known to be malformed")
     if malformed == "reject":
-        found = _with_rejects(spark, path, schema, multi_line)
+        found = _with_rejects(spark, path, schema, multi_line, zone)
         # Spark refuses to filter on the rejected text alone, so the filter names another column too
         also = F.hash(quoted(found.columns[0])) >= F.lit(-(1 << 31))
         return found.where(F.col(REJECT).isNull() & also).drop(REJECT)
-    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST" if malformed == "fail" else "DROPMALFORMED")
+    reader = _in_zone(spark.read, zone).option("multiLine", multi_line).option("mode", "FAILFAST" if malformed == "fail" else "DROPMALFORMED")
     return (reader if schema is None else reader.schema(schema)).json(path)
 
 
@@ -78,15 +80,21 @@ def json_rejects(spark: SparkSession, path: str, schema: str | T.StructType, mul
     return keep(_with_rejects(spark, path, schema, multi_line).where(F.col(REJECT).isNotNull())).select(F.col(REJECT).alias("record"))
 
 
-def _with_rejects(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool) -> DataFrame:
+def _in_zone(reader: DataFrameReader, zone: str | None) -> DataFrameReader:
+    return reader if zone is None else reader.option("timeZone", zone)
+
+
+def _with_rejects(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool,
+                  zone: str | None = None) -> DataFrame:
     declared = T.StructType([*parse_schema(schema).fields, T.StructField(REJECT, T.StringType())])
-    return (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
+    return (_in_zone(spark.read, zone).option("multiLine", multi_line).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", REJECT).schema(declared).json(path))
 
 
 def read_json_feeds(spark: SparkSession, base: str, files: Mapping[str, str],
                     feed_schemas: Mapping[str, str] = schemas.JSON_FEEDS,
-                    multi_line: bool = True, malformed: str = "fail") -> dict[str, DataFrame]:
+                    multi_line: bool = True, malformed: str = "fail",
+                    zone: str | None = None) -> dict[str, DataFrame]:
     """The feeds named in ``files`` (feed to path under ``base``); others are left out.
 
     A name without a schema is an error, as it would otherwise be left out without a word.
@@ -95,30 +103,31 @@ def read_json_feeds(spark: SparkSession, base: str, files: Mapping[str, str],
     if unknown:
         raise ValueError(f"unknown feeds: {unknown}")
     return {
-        name: read_json(spark, f"{base.rstrip('/')}/{files[name]}", schema, multi_line, malformed)
+        name: read_json(spark, f"{base.rstrip('/')}/{files[name]}", schema, multi_line, malformed, zone)
         for name, schema in feed_schemas.items() if name in files
     }
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-             malformed: str = "keep") -> DataFrame:
+             malformed: str = "keep", zone: str | None = None) -> DataFrame:
     """Tab-separated text with a header; empty fields are NULL.
 
     With a schema the header has to name its columns in order, and 0/1 flags become
     booleans; without one the types are inferred by an extra pass over the data. Rows
     with missing or surplus fields, or values of another type, are kept as far as they can
     be read; with ``malformed="reject"`` they are left out, to be had from ``tsv_rejects``.
-    A line of nothing but tabs and spaces is no row.
+    A line of nothing but tabs and spaces is no row. Timestamps without an offset are read
+    in ``zone``, or in the session's.
     """
     if malformed not in ("keep", "reject"):
         raise ValueError(f"malformed must be keep or reject, not {malformed!r}")
     if malformed == "reject":
         if schema is None:
             raise ValueError("without a schema no row is known to be malformed")
-        found = _tsv_with_rejects(spark, path, schema)
+        found = _tsv_with_rejects(spark, path, schema, zone)
         also = F.hash(quoted(found.columns[0])) >= F.lit(-(1 << 31))  # as in read_json
         return found.where(F.col(REJECT).isNull() & also).drop(REJECT)
-    reader = _tsv(spark)
+    reader = _in_zone(_tsv(spark), zone)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     declared = parse_schema(schema)
@@ -134,11 +143,12 @@ def _tsv(spark: SparkSession):
     return spark.read.option("header", True).option("sep", "\t").option("nullValue", "")
 
 
-def _tsv_with_rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+def _tsv_with_rejects(spark: SparkSession, path: str, schema: str | T.StructType,
+                      zone: str | None = None) -> DataFrame:
     declared = parse_schema(schema)
     as_read = T.StructType([*_as_text_flags(declared).fields, T.StructField(REJECT, T.StringType())])
     # every field is parsed whatever columns are asked for, so that the same rows are malformed each time
-    found = (_tsv(spark).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT).option("columnPruning", False)
+    found = (_in_zone(_tsv(spark), zone).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT).option("columnPruning", False)
              .option("enforceSchema", False).schema(as_read).csv(path))
     return conform(found, declared)
 
@@ -152,9 +162,9 @@ def _as_text_flags(declared: T.StructType) -> T.StructType:
 
 
 def from_rows(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str],
-              timestamps: Sequence[str] = (), days: Sequence[str] = ()) -> DataFrame:
+              timestamps: Sequence[str] = (), days: Sequence[str] = (), zone: str | None = None) -> DataFrame:
     """A small typed frame from literals, with text columns cast to timestamps and dates."""
-    df = cast_timestamps(spark.createDataFrame(rows, list(columns)), *timestamps)
+    df = cast_timestamps(spark.createDataFrame(rows, list(columns)), *timestamps, zone=zone)
     return df.withColumns({c: F.col(c).try_cast("date") for c in days}) if days else df
 
 

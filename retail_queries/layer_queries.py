@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_layers.plans import clean, enrich, marts, star
-from retail_queries.layer_sql import AS_OF, RUN_TS, layer
+from retail_queries.layer_sql import AS_OF, RUN_TS, layer, layer_in_zone
 from retail_queries.shapes import raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF_DATE = date.fromisoformat(AS_OF)
+ZONE, ZONE_HOURS = "Pacific/Honolulu", -10
 SOURCES = {
     "dim_date": ("orders",),
     "dim_customer": ("customer", "customer_address"),
@@ -107,6 +108,21 @@ def items_hot_orders(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return star.build_star(tables, max_key_rows=5, raw={"order_item": raw(spark, sf, "order_item")})[name]
 
 
+def star_in_zone(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Stored moments of orders are instants here, text is read and days are cut as clocks in ``ZONE`` show them."""
+    given = {}
+    for source in SOURCES[name]:
+        df = raw(spark, sf, source)
+        given[source] = df.withColumn("order_date", F.col("order_date").cast("timestamp")) if source == "orders" else df
+    cleaned_tables = clean.clean_tables(given, run_time(), rare_duplicates=True, zone=ZONE)
+    return star.build_star(enrich.enrich_tables(cleaned_tables, AS_OF_DATE, given, zone=ZONE), raw=given, zone=ZONE)[name]
+
+
+def mart_in_zone(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Text read in the session's zone (UTC), days cut in ``ZONE``."""
+    return marts.build_marts(star_tables(spark, sf, MART_SOURCES[name]), unique_orders=True, zone=ZONE)[name]
+
+
 _add("clean_orders_rare_duplicates", cleaned_rare, "orders", "clean_orders")
 _add("clean_inventory_rare_duplicates", cleaned_rare, "inventory_level", "clean_inventory_level")
 _add("clean_reviews_rare_duplicates", cleaned_rare, "product_reviews", "clean_product_reviews")
@@ -120,3 +136,8 @@ for _table in SOURCES:
     _add(_table, star_table, _table)
 for _table in MART_SOURCES:
     _add(_table, mart, _table)
+
+for _table, _build in (("dim_date", star_in_zone), ("fact_orders", star_in_zone), ("fact_payments", star_in_zone),
+                       ("gold_payment_summary", mart_in_zone), ("gold_product_review_summary", mart_in_zone)):
+    QUERIES[f"{_table}_in_zone"] = lambda spark, sf, _table=_table, _build=_build: _build(spark, sf, _table)
+    ORACLE[f"{_table}_in_zone"] = layer_in_zone(_table, ZONE_HOURS)

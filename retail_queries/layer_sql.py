@@ -318,3 +318,20 @@ def with_ctes(body: str) -> str:
 
 def layer(name: str, columns: str = "*") -> str:
     return with_ctes(f"select {columns} from {name}")
+
+
+def layer_in_zone(name: str, hours: int) -> str:
+    """A table whose days are cut on clocks ``hours`` ahead of UTC, and texts read there."""
+    def shifted(source: str, col: str, by: int) -> str:
+        return f"(select * replace ({col} + to_hours({by}) as {col}) from {source})"
+
+    bodies = {
+        "fact_orders": f"select * replace ({date_key(f'order_date + to_hours({hours})')} as order_date_key) from fact_orders",
+        "fact_payments": f"select * from {shifted('fact_payments', 'payment_date', -hours)}",
+    }
+    sources = {"dim_date": ("clean_orders", "order_date"), "gold_payment_summary": ("fact_payments", "payment_date"),
+               "gold_product_review_summary": ("fact_product_reviews", "review_date")}
+    if name in sources:
+        source, col = sources[name]
+        bodies[name] = CTES[name].replace(f"from {source}", f"from {shifted(source, col, hours)}")
+    return with_ctes(bodies[name])

@@ -285,6 +285,30 @@ def order_date_parts(spark, sf):
     return derive(orders, *enrich.order_rules()).drop("order_date")
 
 
+@query("""
+    select event_id, cast(ts + interval 330 minute as date) as order_date_date,
+           cast(year(ts + interval 330 minute) as int) as order_year, cast(month(ts + interval 330 minute) as int) as order_month,
+           cast(day(ts + interval 330 minute) as int) as order_day,
+           cast(weekofyear(ts + interval 330 minute) as int) as order_weekofyear
+    from events""")
+def order_date_parts_in_zone(spark, sf):
+    """Instants, cut into days as clocks in India show them."""
+    seen = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("order_date"))
+    return derive(seen, *enrich.order_rules(columns.wall_clocks(seen, "Asia/Kolkata"))).drop("order_date")
+
+
+@query("""
+    select event_id, case when event_type <> 'signup' then ts - interval 330 minute end as seen_at from events""")
+def timestamps_read_in_zone(spark, sf):
+    """Text with an offset (clicks) and without one, the latter read as clocks in India show it."""
+    loose = table(spark, sf, "events").selectExpr(
+        "event_id",
+        "case when event_type = 'signup' then '2024-13-45 99:99' "
+        "when event_type = 'click' then concat(cast(ts - interval 330 minutes as string), '+00:00') "
+        "else cast(ts as string) end as seen_at")
+    return columns.cast_timestamps(loose, "seen_at", zone="Asia/Kolkata")
+
+
 @query("""
     select o_orderkey, case when price is null then 'UNKNOWN' when price < 2000 then 'LOW' when price <= 10000 then 'MEDIUM'
                             else 'HIGH' end as order_value_band

@@ -228,6 +228,26 @@ def test_run_does_not_follow_the_session_zone(spark, shop, written, conf, rows,
     assert gold("east", zone="Pacific/Kiritimati") != want
 
 
+@pytest.mark.parametrize("session", ["America/Los_Angeles", "Asia/Kolkata", "Pacific/Kiritimati"])
+def test_layers_with_a_zone_do_not_follow_the_session(spark, shop, written, conf, rows, session):
+    """Also where the session's zone changes after the frames were made."""
+    def tables(layer):
+        # instants are compared as numbers: as Python values they would follow the machine
+        for n, df in layer.items():
+            stamps = {f.name: F.unix_micros(f.name) for f in df.schema.fields if f.dataType.typeName() == "timestamp"}
+            yield n, rows(df.drop("metadata", "ingestion_ts").withColumns({c: v for c, v in stamps.items() if c != "ingestion_ts"}))
+
+    def built(zone):
+        return layers.build_layers(layers.read_sources(spark, shop, zone), AS_OF, RUN, ["NULL"], zone=zone)
+
+    want = [dict(tables(layer)) for layer in built(None)]  # the session is in UTC
+    made_before = built("UTC")
+    conf(spark__sql__session__timeZone=session)
+    assert [dict(tables(layer)) for layer in made_before] == want
+    assert [dict(tables(layer)) for layer in built("UTC")] == want
+    assert [dict(tables(layer)) for layer in built(None)] != want
+
+
 def test_a_run_that_fails_leaves_the_published_one(spark, shop, written, rows, tmp_path, monkeypatch):
     sinks = {layer: {"base_path": str(tmp_path / layer), "publish": True} for layer in ("silver", "gold")}
     with pytest.raises(ValueError, match="no published run"):
