@@ -86,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_neighbours, op2_quotes, op3_repeats, op4_pages, op5_quality, op6_language, op7_mixing, op8_secrets, op9_neardup, op10_decontamination,
                               op11_passages, op12_ranked, op13_trie)
 }
-ORACLE: dict[str, str] = {"op7_mixing": sql.MIXING, "op10_decontamination": sql.DECONTAMINATION,
+ORACLE: dict[str, str] = {"op3_repeats": sql.REPEATS, "op7_mixing": sql.MIXING, "op8_secrets": sql.SECRETS,
+                          "op9_neardup": sql.NEARDUP, "op10_decontamination": sql.DECONTAMINATION,
                           "op11_passages": sql.PASSAGES, "op12_ranked": sql.RANKED, "op13_trie": sql.TRIE}

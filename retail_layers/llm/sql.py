@@ -101,3 +101,67 @@ kept as (select f.r, string_agg(word, ' ' order by p) as rest from flagged f lef
          where ps is null or not list_contains(ps, cast(p as bigint)) group by f.r)
 select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(len(ps), 0) as bigint) as n_removed, sha256(coalesce(rest, '')) as kept_sha256
 from d left join gone using (r) left join kept using (r)"""
+
+
+REPEATS = """
+with d as (select row_number() over (order by doc_id) as r, doc_id, encode(coalesce(text, '')) as b from documents),
+starts as (select r, unnest(range(1, octet_length(b) - 98)) as s,
+                  unnest(list_transform(range(1, octet_length(b) - 98), lambda s: md5(b[s:s + 99]))) as w from d where octet_length(b) >= 100),
+seen as (select r, s, row_number() over (partition by w order by r, s) > 1 as repeated from starts),
+marked as (select r, s, s > coalesce(lag(s) over (partition by r order by s) + 100, 0) as opens from seen where repeated),
+runs as (select r, s, count_if(opens) over (partition by r order by s) as run from marked),
+spans as (select r, run, min(s) as lo, max(s) + 100 as hi from runs group by r, run),
+gaps as (select r, coalesce(lag(hi) over (partition by r order by lo), 1) as kept_from, lo as kept_to from spans
+         union all select d.r, coalesce(max(hi), 1), any_value(octet_length(b)) + 1 from d left join spans using (r) group by d.r),
+kept as (select r, string_agg(case when kept_from < kept_to then hex(b[kept_from:kept_to - 1]) else '' end, '' order by kept_from, kept_to) as h
+         from gaps join d using (r) group by r),
+removed as (select r, cast(sum(hi - lo) as bigint) as n_removed, count(*) as n_spans from spans group by r)
+select doc_id, cast(octet_length(b) as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(h)) as kept_sha256
+from d join kept using (r) left join removed using (r)"""
+
+
+NEARDUP = rf"""
+with recursive d as (select doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as ws from documents),
+places as (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from d where len(ws) > 0),
+shingles as (select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as s from places),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as x, b.doc_id as y, count(*) as shared from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (select x, y from common join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * shared >= 75 * (a.n + b.n - shared)),
+steps as (select x, y from links union all select y, x from links),
+reached as (select doc_id, doc_id as other from d union select doc_id, y from reached join steps on x = other),
+least_of as (select doc_id, min(other) as component_id from reached group by doc_id)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from d join least_of using (doc_id) left join sizes using (doc_id)"""
+
+
+# letters in either case are written out: the flag for it would let other alphabets' letters in
+def either(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" for c in word)
+
+
+# The kinds in their order, their patterns and what a match must have.
+SECRET_KINDS = (
+    ("assign", "(" + "|".join(map(either, ("password", "passwd", "secret", "token"))) + "|" + either("api") + "_?" + either("key") + ")"
+     r"[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)", "length(regexp_extract(hit, '{pattern}', 2)) >= 8"),
+    ("access", "AKIA[A-Z0-9]+", "length(hit) >= 16"),
+    ("hex", "[0-9a-f]{32,}", "true"),  # the whole runs of 32 and more
+    ("pem", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", "true"),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", "true"),
+)
+SECRETS = """
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+""" + ",\n".join(f"""
+{kind}_pieces as (select r, unnest(range(len(hits) + 1)) as i, unnest(pieces) as piece, unnest(list_append(hits, null)) as hit
+    from (select r, string_split_regex(t, '{pattern}') as pieces, regexp_extract_all(t, '{pattern}') as hits from d)),
+{kind}_spans as (select r, {k} as k, '{kind}' as kind, start, start + length(hit) as stop
+    from (select r, hit, sum(length(piece)) over before + coalesce(sum(length(hit)) over (before rows between unbounded preceding and 1 preceding), 0) as start
+          from {kind}_pieces window before as (partition by r order by i))
+    where hit is not null and {holds.format(pattern=pattern) if '{pattern}' in holds else holds})""" for k, (kind, pattern, holds) in enumerate(SECRET_KINDS)) + """,
+spans as (""" + " union all ".join(f"select * from {kind}_spans" for kind, _, _ in SECRET_KINDS) + """),
+listed as (select r, count_if(k = 0) as n_assign, count_if(k = 1) as n_access, count_if(k = 2) as n_hex,
+                  string_agg(kind || ':' || start || ':' || stop, ',' order by start, k) filter (k < 3) as base,
+                  string_agg(kind || ':' || start || ':' || stop, ',' order by start, k) as spans from spans group by r)
+select doc_id, cast(coalesce(n_assign, 0) as bigint) as n_assign, cast(coalesce(n_access, 0) as bigint) as n_access,
+       cast(coalesce(n_hex, 0) as bigint) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join listed using (r)"""
