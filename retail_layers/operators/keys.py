@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 
 from retail_layers.operators import slices
 from retail_layers.operators.columns import digest, quoted, sortable
-from retail_layers.operators.skew import MAX_GROUP_ROWS, keys_above, set_apart
+from retail_layers.operators.skew import MAX_GROUP_ROWS, is_small, keys_above, set_apart
+from retail_layers.scratch import keep
 
 # Names under which a table may hold the time of its rows' last update; the first one found counts.
 UPDATE_COLUMNS = ("updated_at", "last_updated_at")
 # Slices of a large group are not cut smaller than this; tasks over fewer rows cost more than they do.
 LEAST_SLICE_ROWS = 1000
+# Keys are rare while fewer than one row in so many shares its key with another row.
+RARE = 50
+# Whole rows are dealt so that one task sorts about so many, whatever the size of the table.
+TASK_ROWS = 250_000
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,21 +70,57 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] |
     return first_per_group(df, keys, order_by) if order_by else df.dropDuplicates(list(keys))
 
 
-def dedup_rare(df: DataFrame, keys: Sequence[str],
-               order_by: Sequence[Column | str] | None = None, long: Sequence[str] = ()) -> DataFrame:
+def dedup_rare(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None,
+               long: Sequence[str] = (), near: str | None = None) -> DataFrame:
     """``dedup`` for tables whose keys hardly ever repeat, such as exported primary keys.
 
     A first pass over the key columns finds the repeated keys. Only their rows are
     shuffled and ranked; all others pass straight through. As long as the list of
     repeated keys is small it is broadcast, and the table is not shuffled at all.
+
+    Where keys turn out not to be rare (one row in ``RARE`` or more shares its key, at any
+    size of the table) or their list is too large to be sent, the table is shuffled once
+    instead, see ``dedup_dealt``; ``near`` names the column it is looked up by next.
     """
     repeated = keys_above(df, keys, 1, likely=True)
     if repeated is None:
         return df
+    held, most = repeated.agg(F.sum("_rows"), F.max("_rows")).first()
+    total = df.select(*map(quoted, keys)).count()
+    if held * RARE > total or not is_small(repeated):
+        return dedup_dealt(df, keys, order_by, long, near, total, most)
     copies, single = set_apart(df, keys, repeated)
     return single.unionByName(dedup(copies, keys, order_by, long))
 
 
+def dedup_dealt(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None, long: Sequence[str],
+                near: str | None, total: int, most: int) -> DataFrame:
+    """``dedup`` by one shuffle of whole rows into tasks of about ``TASK_ROWS`` rows.
+
+    ``total`` is the number of rows, ``most`` that of the most frequent key. Rows are dealt
+    by ``near`` if it has no large group, so that a join on it needs no other shuffle; the
+    few keys whose rows differ there are set apart. Without it they are dealt by key, and
+    a key with too many rows for one task is cut down before the exchange, as in ``dedup``.
+    """
+    tasks = max(2, -(-total // TASK_ROWS))
+    if most > MAX_GROUP_ROWS:
+        return dedup(df, keys, order_by, long)
+    if near in df.columns and near not in keys and keys_above(df, [near], MAX_GROUP_ROWS) is None:
+        at, n = quoted(near), F.count(F.lit(1))
+        apart = keep(
+            df.groupBy(*[quoted(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+            .agg(F.min(at).alias("_low"), F.max(at).alias("_high"), F.count(at).alias("_known"), n.alias("_rows"))
+            .where((F.col("_low") < F.col("_high")) | F.col("_known").between(1, F.col("_rows") - 1)))
+        spread = not apart.isEmpty()
+        if not spread or is_small(apart):
+            copies, single = set_apart(df, keys, apart) if spread else (None, df)
+            # of rows with one key the order decides among all other columns, of which ``near`` is one and the same
+            order = order_by or newest_first(df, keys, long)
+            one = first_per_group(single.repartition(tasks, at), [near, *keys], order)
+            return one.unionByName(dedup(copies, keys, order_by, long)) if spread else one
+    return dedup(df.repartition(tasks, *map(quoted, keys)), keys, order_by, long)
+
+
 def sequence(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str,
              max_group_rows: int = MAX_GROUP_ROWS, sizes: DataFrame | None = None,
              slice_on: Sequence[Column] = (), least_rows: int = LEAST_SLICE_ROWS) -> DataFrame:

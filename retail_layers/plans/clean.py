@@ -114,6 +114,7 @@ class TableRules:
     steps: tuple[Step, ...]
     required: tuple[str, ...] | None = None  # key columns that may not be NULL; default: all
     long: tuple[str, ...] = ()  # columns compared by their digest where rows of one key compete
+    near: str | None = None  # column the table is joined on next; rows that have to be shuffled are dealt by it
 
 
 @dataclass(frozen=True)
@@ -142,7 +143,7 @@ RULES: dict[str, TableRules] = {
         partial(clamp_negative, cols=ORDER_TOTALS), flag_total_mismatch,
         _codes("order_status_code", ORDER_STATUSES, "order_status_is_valid"),
         _timestamps("order_date"))),
-    "order_item": TableRules(("order_item_id",), (partial(clamp_negative, cols=LINE_AMOUNTS),)),
+    "order_item": TableRules(("order_item_id",), (partial(clamp_negative, cols=LINE_AMOUNTS),), near="order_id"),
     "product": TableRules(("product_id",), (normalize_product_name,)),
     "product_variant": TableRules(("product_variant_id",), (
         partial(trim_columns, cols=("sku", "variant_name")),)),
@@ -182,7 +183,7 @@ def clean_table(name: str, df: DataFrame, run_ts: Column | datetime,
             df = step(df, max_length=max_review_chars)
         else:
             df = step(df, zone=zone) if isinstance(step, Timestamps) else step(df)
-    keep_one = dedup_rare if rare_duplicates else dedup
+    keep_one = partial(dedup_rare, near=rules.near) if rare_duplicates else dedup
     return keep_one(require_keys(df, rules.required or rules.keys), rules.keys, long=rules.long)
 
 

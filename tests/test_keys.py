@@ -72,6 +72,23 @@ def test_dedup_rare_equals_dedup_and_shuffles_no_single_rows(spark, rows):
     assert keys.dedup_rare(unique, ["k"]) is unique
 
 
+@pytest.mark.parametrize("hot", [2, 20, 10_000])
+def test_keys_that_are_not_rare_are_dealt_once_by_the_next_joins_column(spark, rows, monkeypatch, hot):
+    """``near`` of one key may differ or be missing; ``hot`` rows of a key, or of ``near``, are too many for a task."""
+    monkeypatch.setattr(keys, "MAX_GROUP_ROWS", hot)
+    monkeypatch.setattr(keys, "TASK_ROWS", 100)
+    random.seed(8)
+    data = [(k, k // 3 if k % 5 else random.choice([None, 1, 2]), random.randint(0, 3), str(i))
+            for i, k in enumerate(random.randint(0, 300) for _ in range(900))]
+    df = spark.createDataFrame([*data, (None, 1, 0, "n"), (None, None, 0, "m")], "k int, o int, v int, p string")
+    same = df.where("k % 5 <> 0 and k % 3 = 0")
+    for given in (df, same):
+        want = rows(keys.dedup(given, ["k"]))
+        assert rows(keys.dedup_rare(given, ["k"], near="o")) == want and rows(keys.dedup_rare(given, ["k"])) == want
+    dealt = keys.dedup_rare(same, ["k"], near="o")._jdf.queryExecution().executedPlan().toString()
+    assert dealt.count("Exchange") == 1 and ("hashpartitioning(o#" in dealt) == (hot > 2)
+
+
 def brute_sequence(data):
     groups = {}
     for k, o, tie in data:

@@ -70,6 +70,13 @@ def test_customer_and_address_meet_without_another_exchange(spark, conf):
     assert exchanges(df) == ["customer_id", "customer_id"]
 
 
+def test_lines_with_many_repeated_keys_are_shuffled_once_up_to_the_join(spark, conf):
+    conf(**NO_BROADCAST)
+    df = lq.star_table(spark, SF, "fact_order_items")
+    assert exchanges(df) == ["order_id", "order_id"]
+    assert "order_date_key, product_variant_key, order_id" not in exchanges(lq.mart(spark, SF, "gold_daily_sales_product"))
+
+
 def test_marts_over_written_silver(silver, conf):
     conf(**NO_BROADCAST)
     customers = marts.daily_sales_by_customer(silver["fact_orders"], unique_orders=True)
