@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from retail_layers.operators import keys
 from retail_layers.plans import marts, star
 from retail_queries import layer_queries as lq
 from retail_queries import operator_queries as oq
@@ -77,6 +78,14 @@ def test_lines_with_many_repeated_keys_are_shuffled_once_up_to_the_join(spark, c
     assert "order_date_key, product_variant_key, order_id" not in exchanges(lq.mart(spark, SF, "gold_daily_sales_product"))
 
 
+def test_tasks_that_sort_whole_lines_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(keys, "TASK_ROWS", 50)
+    rows = lq.raw(spark, SF, "order_item").count()
+    for name in ("fact_order_items", "gold_daily_sales_product"):
+        df = lq.star_table(spark, SF, name) if name in lq.SOURCES else lq.mart(spark, SF, name)
+        assert f", {-(-rows // 50)}), REPARTITION_BY_NUM" in plan(df)
+
+
 def test_marts_over_written_silver(silver, conf):
     conf(**NO_BROADCAST)
     customers = marts.daily_sales_by_customer(silver["fact_orders"], unique_orders=True)
