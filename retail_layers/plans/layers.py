@@ -84,7 +84,7 @@ def run(spark: SparkSession, settings: Mapping, as_of: Column | date, run_ts: Co
     dependent = star.dependent_tables(enriched, written, max_group_rows, tables, zone)
     rows |= write_tables(dependent, silver_sink)
     written |= read_back(spark, dependent, silver_sink)
-    rows |= write_tables(marts.build_marts(written, unique_orders=True, zone=zone), gold_sink)
+    rows |= write_tables(marts.build_marts(written, True, zone, max_group_rows), gold_sink)
     for sink, run_sink in zip(switched, staged):
         published.publish(spark, sink, run_sink)
     return rows

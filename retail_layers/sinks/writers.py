@@ -54,7 +54,8 @@ def jdbc_options(jdbc: Mapping, table: str) -> dict[str, str]:
 def write_table(df: DataFrame, name: str, sink: Mapping) -> int:
     """Write one table and return its rows, counted by the writing tasks themselves.
 
-    ``partition_by`` of the sink may name folder columns per table.
+    ``partition_by`` of the sink may name folder columns per table, ``compression`` the codec of
+    Parquet (zstd unless given).
     """
     kind = sink_kind(sink)
     columns = sink.get("partition_by", {}).get(name, ()) if kind != "jdbc" else ()
@@ -66,7 +67,10 @@ def write_table(df: DataFrame, name: str, sink: Mapping) -> int:
     if kind == "jdbc":
         writer.format("jdbc").options(**jdbc_options(sink["jdbc"], name)).save()
         return seen.get["n"]
-    writer = writer.format(sink.get("format", "parquet"))
+    form = sink.get("format", "parquet")
+    writer = writer.format(form)
+    if form == "parquet":
+        writer = writer.option("compression", sink.get("compression", "zstd"))
     if columns:
         writer = writer.partitionBy(*columns)
     path = f"{sink['base_path'].rstrip('/')}/{name}"

@@ -97,6 +97,17 @@ def test_marts_over_written_silver(silver, conf):
     assert exchanges(products) == ["order_date_key, product_variant_key", "order_date_key, product_variant_key, order_id"]
 
 
+def test_stored_lines_are_shuffled_once_for_the_product_mart(silver, conf, rows):
+    conf(**NO_BROADCAST)
+    items, variants = silver["fact_order_items"], silver["dim_product_variant"]
+    want = marts.daily_sales_by_product(items, variants)
+    dealt = marts.build_marts(silver, unique_orders=True, max_key_rows=1_000_000)["gold_daily_sales_product"]
+    assert exchanges(dealt) == ["product_variant_key", "product_variant_key"]
+    hot = marts.daily_sales_by_product(items, variants, max_key_rows=1)
+    assert exchanges(hot) == exchanges(want) and len(exchanges(want)) > 2
+    assert rows(dealt) == rows(hot) == rows(want) and dealt.columns == want.columns
+
+
 def test_scans_read_only_what_is_used(silver):
     def read_schema(df):
         return set(re.findall(r"(\w+):", plan(df).split("ReadSchema: struct<")[1].split(">")[0]))
