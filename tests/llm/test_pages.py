@@ -133,3 +133,80 @@ def test_stream_is_the_same_in_any_batches():
     for size in (1, 2, 7, 400):
         out = pa.Table.from_batches(list(pages._repeated(iter(table.to_batches(max_chunksize=size))))).to_pylist()
         assert sorted((r["page"], r["place"]) for r in out) == want
+
+
+def test_neighbours_in_order_have_their_true_common_lengths():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    texts = [(host, page, rng.integers(1, 3, rng.integers(20, 60)).astype(np.uint64)) for host in (1, 2) for page in range(6)]
+    rows = sorted((host, page, tuple(t[k:].tolist()), k) for host, page, t in texts for k in range(len(t) - 7))
+    rows.sort(key=lambda r: (r[0], r[2][:pages.WIDTH], r[1], r[3]))
+    codes = [pages._codes(np.array(r[2], np.uint64))[0].tobytes() for r in rows]
+    assert [(r[0], c) for r, c in zip(rows, codes)] == sorted((r[0], c) for r, c in zip(rows, codes))
+    table = pa.table({"host": [r[0] for r in rows], "codes": codes, "page": [r[1] for r in rows], "place": [r[3] for r in rows],
+                      "need": [0] * len(rows)})
+
+    def length(a, b):
+        k = 0
+        while a[0] == b[0] and k < min(len(a[2]), len(b[2]), pages.WIDTH) and a[2][k] == b[2][k]:
+            k += 1
+        return k
+
+    want = [0, *(length(a, b) for a, b in zip(rows, rows[1:])), 0]
+    for size in (1, 3, 1000):
+        got = list(pages._common(iter(table.to_batches(max_chunksize=size))))
+        assert np.concatenate([g[5] for g in got]).tolist() == want[:-1]
+        assert np.concatenate([g[6] for g in got]).tolist() == want[1:]
+
+
+NOTE = " ".join(f"note{k}" for k in range(37))
+
+
+def test_whole_blocks_that_most_articles_of_a_host_share_go(spark):
+    def own(i, n=60):
+        return " ".join(f"w{i}x{k}" for k in range(n))
+
+    shared = " ".join(f"both{k}" for k in range(30))  # of two pages
+    rows, want = [], {}
+    for i in range(6):
+        rows.append((i, f"https://a.example/{i}", f"<article><p>{own(i)}</p><p>{NOTE}</p><p>{shared if i < 2 else own(i, 9)}</p><p>{NOTE} {own(i, 3)}</p></article>"))
+        want[i] = "\n".join([own(i), shared if i < 2 else own(i, 9), f"{NOTE} {own(i, 3)}"])
+    for i in range(10, 20):  # four of ten pages
+        rows.append((i, f"https://b.example/{i}", f"<article><p>{own(i)}</p>" + (f"<p>{NOTE}</p>" if i < 14 else "") + "</article>"))
+        want[i] = own(i) + ("\n" + NOTE if i < 14 else "")
+    for i in range(20, 26):  # copies of each other
+        rows.append((i, f"https://c.example/{i}", f"<article><p>{own(0)}</p><p>{NOTE}</p><p>edition {i}</p></article>"))
+        want[i] = f"{own(0)}\n{NOTE}\nedition {i}"
+    for i in range(30, 36):  # what a menu shows of an article is no evidence against it
+        rows.append((i, f"https://d.example/{i}", f"<nav>{own(35)}</nav><article><p>{own(i)}</p></article>"))
+        want[i] = own(i)
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.extract(df).collect()} == want
+
+
+def test_repeated_strings_of_unmarked_pages_against_all_windows(spark):
+    import numpy as np
+    rng = np.random.default_rng(8)
+    pool = [" ".join(f"p{j}t{rng.integers(0, 4)}" for _ in range(rng.integers(5, 40))) for j in range(8)]
+    rows = []
+    for i in range(24):
+        parts = [pool[k] if k < len(pool) else " ".join(f"u{rng.integers(0, 3)}" for _ in range(rng.integers(1, 30))) for k in rng.integers(0, 14, 5)]
+        rows.append((i, f"https://h{i % 3}.example/{i}", "".join(f"<p>{x}</p>" for x in parts)))
+    held = {}
+    for i, _, page in rows:
+        words = " ".join(pages.structured(page)[1]).split()
+        for k in range(len(words) - 7):
+            held.setdefault((i % 3, *words[k:k + 8]), set()).add(i)
+    want = {}
+    for i, _, page in rows:
+        parts = pages.structured(page)[1]
+        words = " ".join(parts).split()
+        gone = {k + j for k in range(len(words) - 7) if len(held[(i % 3, *words[k:k + 8])]) > 1 for j in range(8)}
+        at, out = 0, []
+        for p in parts:
+            n = len(p.split())
+            out.append(" ".join(w for j, w in enumerate(p.split()) if at + j not in gone))
+            at += n
+        want[i] = "\n".join(x for x in out if x)
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.extract(df).collect()} == want
