@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_layers.operators.columns import quoted
-from retail_layers.operators.skew import is_small, keys_above, matches
+from retail_layers.operators.skew import MAX_BROADCAST_ROWS, is_small, keys_above, matches
 from retail_layers.scratch import keep
 
 SALTS = 1 << 16  # places the rows of hot keys are dealt to in a join they take no part in
@@ -16,7 +16,7 @@ SALTS = 1 << 16  # places the rows of hot keys are dealt to in a join they take
 
 def lookup_left(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str] | Mapping[str, str],
                 dim_on: str | None = None, max_key_rows: int | None = None,
-                sizes: DataFrame | None = None) -> DataFrame:
+                sizes: DataFrame | None = None, dim_rows: int = 0) -> DataFrame:
     """Add ``cols`` of ``dim`` to every row of ``df``; rows without a match get NULLs.
 
     Only the key and the asked-for columns of ``dim`` take part, so nothing else can
@@ -25,7 +25,9 @@ def lookup_left(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str] | Ma
 
     There is no broadcast hint on ``dim``: the size that decides is the one Spark
     measures, and past its threshold the join is sort-merged, with hot keys split where
-    the join ends its stage. An aggregation that reuses the join's partitioning keeps
+    the join ends its stage. Before anything has run that size is the one of compressed files,
+    many times smaller than the rows in memory; where ``dim_rows`` says that there are more than
+    ``MAX_BROADCAST_ROWS``, the join is sort-merged whatever that size. An aggregation that reuses the join's partitioning keeps
     Spark from splitting; for that case ``max_key_rows`` names the rows above which a key
     is hot (``sizes`` may name a cheaper frame to count them on). What ``dim`` holds for
     the hot keys is written, measured and sent to the rows of ``df``, which are read once:
@@ -35,6 +37,8 @@ def lookup_left(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str] | Ma
     renames = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     right = dim.select(quoted(dim_on or on).alias(on),
                        *[quoted(c).alias(out) for c, out in renames.items()])
+    if dim_rows > MAX_BROADCAST_ROWS:
+        right = right.hint("merge")
     hot = None if max_key_rows is None else keys_above(df if sizes is None else sizes, [on], max_key_rows)
     if hot is None:
         return df.join(right, on, "left")

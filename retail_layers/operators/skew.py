@@ -15,6 +15,8 @@ from retail_layers.scratch import keep
 MAX_GROUP_ROWS = 2_000_000
 # A measured frame up to this size is sent to every executor; larger ones are shuffled.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# A table of more rows is never sent whole, also where its compressed files look small enough.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def keys_above(df: DataFrame, keys: Sequence[str], rows: int, likely: bool = False) -> DataFrame | None:

@@ -44,14 +44,16 @@ def _with_attributes(df: DataFrame, keys: Sequence[str], dim: DataFrame | None,
 
 
 def daily_sales_by_product(items: DataFrame, variants: DataFrame | None = None,
-                           max_key_rows: int | None = None) -> DataFrame:
-    """``max_key_rows`` says that ``items`` are stored, so that counting them first is cheap: if no
-    variant has more rows they are shuffled once, by variant, for totals, orders and attributes alike."""
+                           max_key_rows: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
+    """``max_key_rows`` says that ``items`` are stored, so that counting them first is cheap, or that
+    ``sizes`` is a cheaper frame to count them on: if no variant has more rows they are shuffled once, by
+    variant, for totals, orders and attributes alike, into tasks of about ``TASK_ROWS`` rows."""
+    counted = items if sizes is None else sizes
     used = ["order_date_key", "product_variant_key", "order_id", "quantity", "gross_amount", "discount_amount",
             "tax_amount", "shipping_amount", "net_line_amount"]
     if (variants is not None and max_key_rows is not None and "product_variant_key" in items.columns
-            and keys_above(items, ["product_variant_key"], max_key_rows) is None):
-        tasks = max(2, -(-items.count() // TASK_ROWS))
+            and keys_above(counted, ["product_variant_key"], max_key_rows) is None):
+        tasks = max(2, -(-counted.count() // TASK_ROWS))
         items = items.select(*map(quoted, _present(items, used))).repartition(tasks, "product_variant_key")
     totals = [
         F.sum("quantity").alias("total_quantity_sold"),
@@ -109,14 +111,15 @@ def payment_summary(payments: DataFrame, zone: str | None = None) -> DataFrame:
 
 
 def build_marts(star: Mapping[str, DataFrame], unique_orders: bool = False,
-                zone: str | None = None, max_key_rows: int | None = None) -> dict[str, DataFrame]:
+                zone: str | None = None, max_key_rows: int | None = None,
+                sizes: DataFrame | None = None) -> dict[str, DataFrame]:
     """The marts whose facts exist; days of reviews and payments are cut in ``zone``, or in
-    the session's zone if it is None. ``max_key_rows`` is for facts that are stored, see
-    ``daily_sales_by_product``."""
+    the session's zone if it is None. ``max_key_rows`` is for facts that are stored or
+    whose lines can be counted on ``sizes``, see ``daily_sales_by_product``."""
     marts: dict[str, DataFrame] = {}
     if "fact_order_items" in star:
         marts["gold_daily_sales_product"] = daily_sales_by_product(
-            star["fact_order_items"], star.get("dim_product_variant"), max_key_rows)
+            star["fact_order_items"], star.get("dim_product_variant"), max_key_rows, sizes)
     if "fact_orders" in star:
         marts["gold_daily_sales_customer"] = daily_sales_by_customer(
             star["fact_orders"], star.get("dim_customer"), unique_orders)

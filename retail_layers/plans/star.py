@@ -144,15 +144,16 @@ def fact_orders(orders: DataFrame, zone: str | None = None) -> DataFrame:
 
 
 def fact_order_items(items: DataFrame, orders: DataFrame | None = None,
-                     max_key_rows: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
-    """Every line with its order's customer and date key; ``orders`` is ``fact_orders``.
+                     max_key_rows: int | None = None, sizes: DataFrame | None = None, orders_rows: int = 0) -> DataFrame:
+    """Every line with its order's customer and date key; ``orders`` is ``fact_orders``, of
+    about ``orders_rows`` rows.
 
     Lines of orders with more than ``max_key_rows`` lines (counted on ``sizes``) are set
     apart and not shuffled, see ``lookup_left``.
     """
     if orders is not None and "order_id" in items.columns:
         items = lookup_left(items, orders, "order_id", ["customer_key", "order_date_key"],
-                            max_key_rows=max_key_rows, sizes=sizes)
+                            max_key_rows=max_key_rows, sizes=sizes, dim_rows=orders_rows)
     return project(items.withColumnRenamed("product_variant_id", "product_variant_key"),
                    FACT_ORDER_ITEMS)
 
@@ -203,8 +204,9 @@ def dependent_tables(enriched: Mapping[str, DataFrame], star: Mapping[str, DataF
     if "product_variant" in enriched:
         more["dim_product_variant"] = dim_product_variant(enriched["product_variant"], star.get("dim_product"))
     if "order_item" in enriched:
-        more["fact_order_items"] = fact_order_items(enriched["order_item"], star.get("fact_orders"),
-                                                    max_key_rows, (raw or {}).get("order_item"))
+        given = raw or {}
+        more["fact_order_items"] = fact_order_items(enriched["order_item"], star.get("fact_orders"), max_key_rows,
+                                                    given.get("order_item"), given["orders"].count() if "orders" in given else 0)
     return more
 
 

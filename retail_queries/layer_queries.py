@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_layers.operators.skew import MAX_GROUP_ROWS
 from retail_layers.plans import clean, enrich, marts, star
 from retail_queries.layer_sql import AS_OF, RUN_TS, layer, layer_in_zone
 from retail_queries.shapes import raw
@@ -61,7 +62,8 @@ def star_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def mart(spark: SparkSession, sf: str, name: str) -> DataFrame:
     built = star_tables(spark, sf, MART_SOURCES[name])
-    return marts.build_marts(built, unique_orders=True)[name]
+    lines = raw(spark, sf, "order_item").select(F.col("product_variant_id").alias("product_variant_key"))
+    return marts.build_marts(built, unique_orders=True, max_key_rows=MAX_GROUP_ROWS, sizes=lines)[name]
 
 
 def flat_metadata(df: DataFrame) -> DataFrame:

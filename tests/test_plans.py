@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from retail_layers.operators import keys
+from retail_layers.operators import joins, keys
 from retail_layers.plans import marts, star
 from retail_queries import layer_queries as lq
 from retail_queries import operator_queries as oq
@@ -86,6 +86,27 @@ def test_tasks_that_sort_whole_lines_follow_the_rows(spark, monkeypatch):
         assert f", {-(-rows // 50)}), REPARTITION_BY_NUM" in plan(df)
 
 
+def test_product_mart_takes_no_number_of_tasks_from_the_session(spark, conf, monkeypatch):
+    conf(**NO_BROADCAST)
+    monkeypatch.setattr(marts, "TASK_ROWS", 50)
+    df = lq.mart(spark, SF, "gold_daily_sales_product")
+    tasks = -(-lq.raw(spark, SF, "order_item").count() // 50)
+    shown = plan(df)
+    assert "hashpartitioning(product_variant_key#" in shown and f", {tasks}), REPARTITION_BY_NUM" in shown
+    assert "order_date_key, product_variant_key" not in exchanges(df)
+
+
+def test_orders_of_many_rows_are_not_sent_whole(spark, monkeypatch):
+    orders = lq.raw(spark, SF, "orders").count()
+
+    def joined():
+        return steps(lq.star_table(spark, SF, "fact_order_items"), "SortMergeJoin")
+
+    assert not [b for b in joined() if "order_id" in b]
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", orders - 1)
+    assert [b for b in joined() if "order_id" in b]
+
+
 def test_marts_over_written_silver(silver, conf):
     conf(**NO_BROADCAST)
     customers = marts.daily_sales_by_customer(silver["fact_orders"], unique_orders=True)
